@@ -44,4 +44,9 @@ def overwrite_months(
 
 def _writer(df: DataFrame, fmt: str):
     writer = df.write.format(fmt).mode("overwrite")
-    return writer.option("header", True) if fmt == "csv" else writer
+    if fmt == "csv":
+        # Spark trims text on writing CSV unless told not to.
+        writer = writer.options(
+            header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
+    return writer
