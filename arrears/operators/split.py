@@ -3,12 +3,15 @@
 Rows of each class are put in the order of a salted hash and cut at given
 ranks. Ranking all rows of a class would be one task per class. Instead, rows
 are counted by class and hash prefix, the counts show which prefix holds each
-cut, and only the rows of those prefixes are ranked. Every row is then compared
-with the cuts of its class, which are a few rows, and so needs no shuffle.
+cut, and only the rows of those prefixes are ranked. The cuts are a few rows;
+placing a row compares it with the cuts of its class and needs no shuffle.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,79 +43,79 @@ def class_sizes(counts: DataFrame, label: str = "label", ratio: float = TRAIN_RA
     )
 
 
-def cut_points(
-    df: DataFrame,
-    key: str = "loan_id",
-    label: str = "label",
-    ratio: float = TRAIN_RATIO,
-    seed: int = SPLIT_SEED,
-    folds: int = 1,
-) -> DataFrame:
-    """One row per class: the last rank keys of ``folds`` equal parts of its train rows.
+@dataclass(frozen=True)
+class StratifiedCuts:
+    """Cuts of each class: the last rank keys of ``folds`` equal parts of its train rows.
 
     The order is the md5 of key and seed, then the key, then a hash of the
     whole row, so that rows of one loan are cut exactly. Only rows equal in all
     columns stay together.
     """
-    ranked = df.select(F.col(label), _rank_key(df, key, seed).alias("k"))
-    prefix = F.substring("k.hash", 1, _PREFIX)
-
-    counts = ranked.groupBy(label, prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
-    sizes = class_sizes(counts.groupBy(label).agg(F.sum("n").alias("n")), label, ratio)
-    ends = [F.floor(F.col("n_train") * i / folds) for i in range(1, folds)] + [F.col("n_train")]
-    wanted = sizes.select(label, F.posexplode(F.array(*ends)).alias("cut", "rank"))
-
-    running = Window.partitionBy(label).orderBy("prefix")
-    spans = counts.withColumn("end", F.sum("n").over(running))
-    edges = (
-        spans.join(F.broadcast(wanted), label)
-        .where(_holds_rank())
-        .select(label, "prefix", "cut", (F.col("rank") - F.col("end") + F.col("n")).alias("rank"))
-    )
-
-    near = ranked.withColumn("prefix", prefix).join(
-        F.broadcast(edges.select(label, "prefix").distinct()), [label, "prefix"], "left_semi"
-    )
-    copies = near.groupBy(label, "prefix", "k").agg(F.count(F.lit(1)).alias("n"))
-    in_prefix = Window.partitionBy(label, "prefix").orderBy("k")
-    found = (
-        copies.withColumn("end", F.sum("n").over(in_prefix))
-        .join(F.broadcast(edges), [label, "prefix"])
-        .where(_holds_rank())
-        .select(label, "cut", "k")
-    )
-
-    # A class without train rows has no cut: one below every key stands in.
-    lowest = F.struct(
-        F.lit("").alias("hash"), F.lit("").alias("key"), F.lit(-(2**63)).alias("row")
-    )
-    return (
-        wanted.join(F.broadcast(found), [label, "cut"], "left")
-        .groupBy(label)
-        .agg(F.collect_list(F.coalesce("k", lowest)).alias("cuts"))
-    )
 
-
-def stratified_split(
-    df: DataFrame,
-    key: str = "loan_id",
-    label: str = "label",
-    ratio: float = TRAIN_RATIO,
-    seed: int = SPLIT_SEED,
-    folds: int = 1,
-) -> DataFrame:
+    cuts: dict[object, list[tuple[str, str, int]]]
+    folds: int
+    key: str
+    label: str
+    seed: int
+
+    @classmethod
+    def fit(
+        cls,
+        df: DataFrame,
+        key: str = "loan_id",
+        label: str = "label",
+        ratio: float = TRAIN_RATIO,
+        seed: int = SPLIT_SEED,
+        folds: int = 1,
+    ) -> StratifiedCuts:
+        ranked = df.select(F.col(label), _rank_key(df, key, seed).alias("k"))
+        prefix = F.substring("k.hash", 1, _PREFIX)
+        edges = _edges(ranked.select(label, prefix.alias("prefix")), label, ratio, folds)
+        edges = edges.collect()  # one row per class and fold
+
+        schema = f"`{label}` {dict(df.dtypes)[label]}, prefix string, cut int, rank bigint"
+        edges_df = df.sparkSession.createDataFrame(edges, schema)
+        near = ranked.withColumn("prefix", prefix).join(
+            F.broadcast(edges_df.select(label, "prefix").distinct()), [label, "prefix"], "left_semi"
+        )
+        copies = near.groupBy(label, "prefix", "k").agg(F.count(F.lit(1)).alias("n"))
+        in_prefix = Window.partitionBy(label, "prefix").orderBy("k")
+        found = (
+            copies.withColumn("end", F.sum("n").over(in_prefix))
+            .join(F.broadcast(edges_df), [label, "prefix"])
+            .where(_holds_rank())
+            .select(label, "cut", "k")
+        )
+        cuts = defaultdict(list)
+        for row in sorted(found.collect(), key=lambda row: row.cut):  # as many as edges
+            cuts[row[label]].append(tuple(row.k))
+        return cls(dict(cuts), folds, key, label, seed)
+
+    def part(self, df: DataFrame) -> Column:
+        """Number of cuts before a row: 0 to folds - 1 are train parts, the next is test.
+
+        A part without rows has no cut and every row of the class is past it.
+        """
+        row = _rank_key(df, self.key, self.seed)
+        places = F.lit(self.folds)
+        for value, keys in self.cuts.items():
+            passed = F.lit(self.folds - len(keys))
+            for key in keys:
+                passed += (_literal_key(key) < row).cast("int")
+            places = F.when(F.col(self.label) == value, passed).otherwise(places)
+        return places
+
+
+def stratified_split(df: DataFrame, folds: int = 1, **options) -> DataFrame:
     """Add ``split`` and ``fold`` to rows with a ``segment``.
 
     Rows of the ``train_test`` segment become ``train`` or ``test``; train rows
     are numbered 0 to ``folds`` - 1 in stratified parts of equal size. The
     out-of-time rows keep ``oot``.
     """
-    cuts = cut_points(df.where(F.col("segment") == "train_test"), key, label, ratio, seed, folds)
-    rank_key = _rank_key(df, key, seed)
-    passed = F.size(F.filter("cuts", lambda cut: cut < rank_key))
-    placed = df.join(F.broadcast(cuts), label, "left").withColumn(
-        "fold", F.when(F.col("segment") == "train_test", passed)
-    )
+    inside = F.col("segment") == "train_test"
+    cuts = StratifiedCuts.fit(df.where(inside), folds=folds, **options)
+    placed = df.withColumn("fold", F.when(inside, cuts.part(df)))
     split = (
         F.when(F.col("segment") == "oot", "oot")
         .when(F.col("fold") < folds, "train")
@@ -125,6 +128,21 @@ def stratified_split(
     )
 
 
+def _edges(prefixes: DataFrame, label: str, ratio: float, folds: int) -> DataFrame:
+    """Class, prefix and rank inside the prefix of each cut."""
+    counts = prefixes.groupBy(label, "prefix").agg(F.count(F.lit(1)).alias("n"))
+    sizes = class_sizes(counts.groupBy(label).agg(F.sum("n").alias("n")), label, ratio)
+    ends = [F.floor(F.col("n_train") * i / folds) for i in range(1, folds)] + [F.col("n_train")]
+    wanted = sizes.select(label, F.posexplode(F.array(*ends)).alias("cut", "rank"))
+    running = Window.partitionBy(label).orderBy("prefix")
+    return (
+        counts.withColumn("end", F.sum("n").over(running))
+        .join(F.broadcast(wanted), label)
+        .where(_holds_rank())
+        .select(label, "prefix", "cut", (F.col("rank") - F.col("end") + F.col("n")).alias("rank"))
+    )
+
+
 def _holds_rank() -> Column:
     return (F.col("end") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("end"))
 
@@ -135,3 +153,9 @@ def _rank_key(df: DataFrame, key: str, seed: int) -> Column:
         F.col(key).alias("key"),
         F.xxhash64(*[F.col(name) for name in df.columns]).alias("row"),
     )
+
+
+def _literal_key(key: tuple[str, str, int]) -> Column:
+    return F.struct(*[
+        F.lit(value).alias(name) for name, value in zip(("hash", "key", "row"), key, strict=True)
+    ])

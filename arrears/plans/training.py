@@ -53,26 +53,31 @@ def training_rows(labels: DataFrame, features: DataFrame, cal: TrainingCalendar)
     return joined.withColumn("segment", segment(cal))
 
 
+def build_training_rows(
+    spark: SparkSession, labels: DataFrame, features: DataFrame, cal: TrainingCalendar, bank: str
+) -> DataFrame:
+    """Joined rows, kept as a table of the model version: all later steps read it."""
+    path = f"{training_path(bank, cal)}/joined"
+    training_rows(labels, features, cal).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def build_training_set(
     spark: SparkSession,
-    labels: DataFrame,
-    features: DataFrame,
+    rows: DataFrame,
     cal: TrainingCalendar,
     bank: str,
     ratio: float = TRAIN_RATIO,
     folds: int = SEARCH_FOLDS,
 ) -> DataFrame:
-    """Joined rows with split and fold, kept as a table of the model version.
+    """Joined rows with split and fold, kept like the joined rows."""
+    path = f"{training_path(bank, cal)}/split"
+    stratified_split(rows, folds=folds, ratio=ratio).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
 
-    The join is written before it is split: finding the cuts reads the rows
-    twice, the scaler once and the search many times.
-    """
-    path = f"{bank}/training_sets/{model_version(cal.train_date)}"
-    training_rows(labels, features, cal).write.mode("overwrite").parquet(f"{path}/joined")
-    joined = spark.read.parquet(f"{path}/joined")
-    split = stratified_split(joined, ratio=ratio, folds=folds)
-    split.write.mode("overwrite").parquet(f"{path}/split")
-    return spark.read.parquet(f"{path}/split")
+def training_path(bank: str, cal: TrainingCalendar) -> str:
+    return f"{bank}/training_sets/{model_version(cal.train_date)}"
 
 
 def evaluate(scored: DataFrame, score: str = "score") -> DataFrame:
@@ -105,7 +110,8 @@ def train(
     work_dir(spark)  # lets the boosting iterations cut their lineage
     cal = TrainingCalendar.of(train_date)
     version = model_version(cal.train_date)
-    rows = build_training_set(spark, labels, features, cal, bank, ratio, folds)
+    joined = build_training_rows(spark, labels, features, cal, bank)
+    rows = build_training_set(spark, joined, cal, bank, ratio, folds)
     train_rows = rows.where(F.col("split") == "train")
     scaler = Scaler.fit(train_rows, feature_columns(rows.columns))
 
@@ -119,7 +125,7 @@ def train(
         matrix.unpersist()
 
     pipeline = fitted_pipeline(scaler, search.model)
-    scored = f"{bank}/training_sets/{version}/scored"
+    scored = f"{training_path(bank, cal)}/scored"
     score_splits(pipeline, rows).write.mode("overwrite").parquet(scored)
     report = evaluate(spark.read.parquet(scored))
     entry = register(
