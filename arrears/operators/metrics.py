@@ -16,8 +16,11 @@ def auc(df: DataFrame, by: str, score: str, label: str = "label", ranges: int =
     Ranking all scores of a group would be one task per group: the scores are
     cut into ranges at approximate quantiles, each range is ranked on its own
     and shifted by the negatives below it. The cuts only balance the work.
-    Rows without a score are left out.
+    Rows without a score are left out. ``by`` names a handful of groups, such as
+    the splits: their cuts are broadcast.
     """
+    if ranges < 2:
+        raise ValueError("the score axis needs at least two ranges")
     value = F.col(score).cast("double")
     scores = (
         df.where(value.isNotNull() & ~F.isnan(value))

@@ -120,7 +120,7 @@ def random_search(
     train: DataFrame,
     candidates: list[Candidate],
     folds: int = SEARCH_FOLDS,
-    parallelism: int = 4,
+    parallelism: int = 8,
     seed: int = MODEL_SEED,
 ) -> SearchResult:
     """Cross-validate the candidates on ``fold`` and refit the best on all rows.

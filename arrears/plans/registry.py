@@ -2,34 +2,37 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from arrears.functions.dates import TrainingCalendar, version_of
+from arrears.operators.scaling import Scaler
+from arrears.schemas import ddl
 
 _DATES = ["train_date", "train_test_start", "train_test_end", "oot_start", "oot_end"]
 _SPLITS = ["train", "test", "oot"]
 
 
-def _fields(names: list[str], kind: str) -> str:
-    return ", ".join(f"{name} {kind}" for name in names)
+def _struct(**fields: str) -> str:
+    return "struct<" + ", ".join(f"{name}: {kind}" for name, kind in fields.items()) + ">"
+
+
+def _per_split(*names: str, kind: str) -> dict[str, str]:
+    return {f"{name}_{split}": kind for name in names for split in _SPLITS}
 
 
-REGISTRY_SCHEMA = T.StructType.fromDDL(
-    "features array<string>, "
-    f"stdscaler struct<mean: map<string, double>, scale: map<string, double>>, "
-    f"data_dates struct<{_fields(_DATES, 'date')}, train_test_ratio double>, "
-    f"data_stats struct<{_fields([f'n_{s}' for s in _SPLITS], 'bigint')}, "
-    f"{_fields([f'event_rate_{s}' for s in _SPLITS], 'double')}>, "
-    f"results struct<{_fields([f'auc_{s}' for s in _SPLITS], 'double')}, "
-    f"{_fields([f'gini_{s}' for s in _SPLITS], 'double')}>, "
-    "hp_params map<string, double>, "
-    "model_version string"
-)
+REGISTRY_TYPES = {
+    "model_version": "string",
+    "features": "array<string>",
+    "stdscaler": _struct(mean="map<string, double>", scale="map<string, double>"),
+    "data_dates": _struct(**dict.fromkeys(_DATES, "date"), train_test_ratio="double"),
+    "data_stats": _struct(
+        **_per_split("n", kind="bigint"), **_per_split("event_rate", kind="double")
+    ),
+    "results": _struct(**_per_split("auc", "gini", kind="double")),
+    "hp_params": "map<string, double>",
+}
 
 
 def registry_path(bank: str) -> str:
@@ -47,7 +50,7 @@ def register(
     pipeline: PipelineModel,
     cal: TrainingCalendar,
     ratio: float,
-    scaler,
+    scaler: Scaler,
     report: list[Row],
     hp_params: dict[str, float],
 ) -> DataFrame:
@@ -59,15 +62,15 @@ def register(
         return {f"{name}_{s}": by_split[s][name] if s in by_split else None for s in _SPLITS}
 
     row = {
+        "model_version": version,
         "features": list(scaler.mean),
         "stdscaler": {"mean": scaler.mean, "scale": scaler.scale},
         "data_dates": {name: getattr(cal, name) for name in _DATES} | {"train_test_ratio": ratio},
         "data_stats": per_split("n") | per_split("event_rate"),
         "results": per_split("auc") | per_split("gini"),
         "hp_params": {name: float(value) for name, value in hp_params.items()},
-        "model_version": version,
     }
-    df = spark.createDataFrame([row], REGISTRY_SCHEMA)
+    df = spark.createDataFrame([row], ddl(REGISTRY_TYPES))
     (
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("model_version").parquet(registry_path(bank))
@@ -77,8 +80,8 @@ def register(
 
 def registry(spark: SparkSession, bank: str) -> DataFrame:
     """All registered models, one row each."""
-    df = spark.read.schema(REGISTRY_SCHEMA).parquet(registry_path(bank))
-    return df.select("model_version", *[n for n in REGISTRY_SCHEMA.names if n != "model_version"])
+    df = spark.read.schema(ddl(REGISTRY_TYPES)).parquet(registry_path(bank))
+    return df.select(*REGISTRY_TYPES)
 
 
 def load_model(spark: SparkSession, bank: str, model_name: str) -> tuple[PipelineModel, list[str]]:

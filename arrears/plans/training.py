@@ -103,7 +103,7 @@ def train(
     n_iter: int = SEARCH_CANDIDATES,
     folds: int = SEARCH_FOLDS,
     ratio: float = TRAIN_RATIO,
-    parallelism: int = 4,
+    parallelism: int = 8,
     space: dict[str, list] | None = None,
 ) -> TrainingRun:
     """Search, fit, evaluate and register the model of a training date."""

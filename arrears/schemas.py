@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 SNAPSHOT = "snapshot_date"
 FEATURE_PREFIX = "fe_"
 KEYS = ["loan_id", "Customer_ID", SNAPSHOT]
@@ -49,9 +47,9 @@ PREDICTION_TYPES = {
 SILVER_TYPES = LOAN_TYPES | DELINQUENCY_TYPES
 
 
-def struct(types: dict[str, str]) -> T.StructType:
-    """Schema of a column-to-type map."""
-    return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in types.items()))
+def ddl(types: dict[str, str]) -> str:
+    """Schema text of a column-to-type map."""
+    return ", ".join(f"`{name}` {kind}" for name, kind in types.items())
 
 
 def feature_columns(columns: list[str]) -> list[str]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from arrears.functions.dates import to_day
 from arrears.functions.delinquency import conform
-from arrears.schemas import SNAPSHOT, feature_columns, struct
+from arrears.schemas import SNAPSHOT, ddl, feature_columns
 
 
 def read_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
@@ -18,14 +18,15 @@ def read_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
 
     Columns are text unless ``infer`` is set, so that only the header is read
     before the query runs: inference costs a pass over the whole feed and may
-    give the months of one feed different types.
+    give the months of one feed different types. A file whose header names the
+    columns in another order fails the read instead of mixing them up.
     """
-    return spark.read.option("header", True).option("inferSchema", infer).csv(path)
+    return spark.read.options(header=True, inferSchema=infer, enforceSchema=False).csv(path)
 
 
 def read_months(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
     """Month-partitioned parquet table, all months, in the order of ``types``."""
-    return spark.read.schema(struct(types)).parquet(path).select(*types)
+    return spark.read.schema(ddl(types)).parquet(path).select(*types)
 
 
 def read_features(spark: SparkSession, path: str, date_format: str | None = None) -> DataFrame:

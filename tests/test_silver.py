@@ -1,0 +1,102 @@
+"""Hand-made edge rows for the silver and label columns."""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from arrears.operators.labels import label_loans
+from arrears.operators.silver import conform_loans, silver_loans
+from arrears.schemas import LOAN_TYPES, SILVER_TYPES, ddl
+
+# case, due, overdue, snapshot, instalment -> missed, first missed, dpd, label
+CASES = [
+    ("clean", "100", "0", "2023-03-01", "6", 0, None, 0, 0),
+    ("short month", "100", "100", "2023-03-01", "6", 1, date(2023, 2, 1), 28, 0),
+    ("30-day month", "100", "100", "2023-05-01", "6", 1, date(2023, 4, 1), 30, 1),
+    ("partial miss", "100", "0.01", "2023-05-01", "6", 1, date(2023, 4, 1), 30, 1),
+    ("two missed", "100", "200", "2023-05-01", "6", 2, date(2023, 3, 1), 61, 1),
+    ("zero due", "0", "50", "2023-05-01", "6", 0, None, None, 0),
+    ("due null", None, "50", "2023-05-01", "6", 0, None, None, 0),
+    ("overdue null", "100", None, "2023-05-01", "6", 0, None, 0, 0),
+    ("overdue nan", "100", "NaN", "2023-05-01", "6", 0, None, 0, 0),
+    ("negative", "100", "-20", "2023-05-01", "6", 0, None, 0, 0),
+    ("float ceil", "1.14", "3.42", "2023-05-01", "6", 4, date(2023, 1, 1), 120, 1),
+    ("month end", "100", "100", "2024-03-31", "6", 1, date(2024, 2, 29), 31, 1),
+    ("bad text", "100", "abc", "2023-05-01", "6", 0, None, 0, 0),
+    ("no instalment", "100", "0", "2023-05-01", None, 0, None, 0, None),
+    ("decimal text", "100", "100", "2023-05-01", "6.0", 1, date(2023, 4, 1), 30, 1),
+    ("infinite", "100", "Infinity", "2023-05-01", "6", 0, None, None, 0),
+    ("ratio past int", "0.001", "1e12", "2023-05-01", "6", 0, None, None, 0),
+    ("date overflow", "1", "1e9", "2023-05-01", "6", 1_000_000_000, None, None, 0),
+]
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    text = dict.fromkeys(LOAN_TYPES, "string")
+    data = [
+        {"loan_id": case, "Customer_ID": "7", "loan_start_date": "2022-01-01", "tenure": "10",
+         "installment_num": inst, "loan_amt": "1000", "due_amt": due, "paid_amt": "5",
+         "overdue_amt": overdue, "balance": "x", "snapshot_date": snap}
+        for case, due, overdue, snap, inst, *_ in CASES
+    ]
+    return spark.createDataFrame(data, ddl(text))
+
+
+@pytest.fixture(scope="module")
+def silver(raw):
+    return {row.loan_id: row for row in silver_loans(raw).collect()}
+
+
+@pytest.fixture(scope="module")
+def labels(raw):
+    return {row.loan_id: row for row in label_loans(silver_loans(raw)).collect()}
+
+
+@pytest.mark.parametrize("case", CASES, ids=[case[0] for case in CASES])
+def test_edge_row(silver, labels, case):
+    name, _, _, _, inst, missed, first_missed, dpd, label = case
+    row = silver[name]
+    assert (row.installments_missed, row.first_missed_date, row.dpd) == (missed, first_missed, dpd)
+    assert row.mob == (6 if inst else 0)
+    assert (labels[name].label if name in labels else None) == label
+
+
+def test_all_numbers_are_filled_and_nothing_else(silver):
+    assert silver["due null"].due_amt == 0 and silver["overdue nan"].overdue_amt == 0
+    assert silver["clean"].balance == 0
+    assert silver["clean"].first_missed_date is None
+
+
+def test_types_and_order(raw):
+    df = silver_loans(raw)
+    assert dict(df.dtypes) == SILVER_TYPES
+    assert df.columns == list(SILVER_TYPES)
+
+
+def test_extra_columns_pass_through(raw):
+    df = silver_loans(raw.withColumn("branch", F.lit("x")).withColumn("score", F.lit(None).cast("int")))
+    assert df.columns == [*SILVER_TYPES, "branch", "score"]
+    assert set(df.select("branch", "score").distinct().collect()) == {("x", 0)}
+
+
+def test_other_date_formats(spark):
+    df = spark.createDataFrame(
+        [{name: "1" for name in LOAN_TYPES} | {"loan_start_date": "1/2/2023",
+                                               "snapshot_date": "1/5/2023"}],
+        ddl(dict.fromkeys(LOAN_TYPES, "string")),
+    )
+    row = conform_loans(df, "d/M/yyyy").first()
+    assert (row.loan_start_date, row.snapshot_date) == (date(2023, 2, 1), date(2023, 5, 1))
+
+
+def test_silver_is_one_generated_stage(raw):
+    plan = silver_loans(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "*(1)" in plan and "*(2)" not in plan
+
+
+def test_label_definition_names_its_rule(raw):
+    row = label_loans(silver_loans(raw), dpd=60, mob=6).where("loan_id = 'two missed'").first()
+    assert (row.label, row.label_def) == (1, "60dpd_6mob")
+    assert label_loans(silver_loans(raw), mob=3).count() == 0

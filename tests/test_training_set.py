@@ -1,0 +1,104 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from arrears.functions.dates import TrainingCalendar
+from arrears.operators.scaling import Scaler, fit_scaler
+from arrears.operators.training_set import join_features, segment, split_stats, training_matrix
+from conftest import rows
+
+LABELS = "loan_id string, Customer_ID string, label int, label_def string, snapshot_date date"
+FEATURES = "Customer_ID string, snapshot_date date, fe_1 double, fe_2 double"
+D1, D2 = date(2024, 1, 1), date(2024, 2, 1)
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame(
+        [("a", "1", 1, "x", D1), ("b", "2", 0, "x", D1), ("c", "1", 0, "x", D2), ("d", None, 1, "x", D1)],
+        LABELS,
+    )
+
+
+@pytest.fixture(scope="module")
+def features(spark):
+    return spark.createDataFrame(
+        [("1", D1, 1.0, None), ("1", D1, 2.0, 5.0), ("2", D2, 3.0, 6.0), ("9", D1, 4.0, 7.0),
+         (None, D1, 8.0, 8.0)],
+        FEATURES,
+    )
+
+
+def test_join_equals_left_outer_join(labels, features):
+    plain = labels.join(features, ["Customer_ID", "snapshot_date"], "left")
+    got = join_features(labels, features)
+    assert got.columns == plain.columns
+    assert rows(got) == rows(plain)
+    assert got.count() == 5
+
+
+def test_join_without_any_match(labels, features):
+    got = join_features(labels, features.where(F.lit(False)))
+    assert got.count() == 4 and got.where("fe_1 IS NOT NULL").count() == 0
+
+
+def test_join_with_a_hot_key_on_both_sides(spark):
+    labels = spark.range(3000).selectExpr(
+        "cast(id AS string) AS loan_id", "if(id % 3 = 0, 'hot', cast(id AS string)) AS Customer_ID",
+        "0 AS label", "'x' AS label_def", "date'2024-01-01' AS snapshot_date",
+    )
+    features = spark.range(60).selectExpr(
+        "if(id % 3 = 0, 'hot', cast(id AS string)) AS Customer_ID",
+        "date'2024-01-01' AS snapshot_date", "cast(id AS double) AS fe_1",
+    )
+    got = join_features(labels, features)
+    plain = labels.join(features, ["Customer_ID", "snapshot_date"], "left")
+    assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+    assert got.where("Customer_ID = 'hot'").count() == 1000 * 20
+
+
+def test_segments(spark):
+    cal = TrainingCalendar.of("2024-09-01")
+    days = ["2023-06-30", "2023-07-01", "2024-06-30", "2024-07-01", "2024-08-31", "2024-09-01"]
+    df = spark.createDataFrame([(d,) for d in days], "d string").select(
+        F.col("d").cast("date").alias("snapshot_date")
+    )
+    got = [row.s for row in df.select("snapshot_date", segment(cal).alias("s")).orderBy("snapshot_date").collect()]
+    assert got == [None, "train_test", "train_test", "oot", "oot", None]
+
+
+def test_matrix_and_stats(labels, features):
+    df = join_features(labels, features).withColumn("split", F.lit("train"))
+    matrix = training_matrix(df, "loan_id")
+    assert matrix.dtypes == [
+        ("loan_id", "string"), ("label", "double"), ("fe_1", "double"), ("fe_2", "double")
+    ]
+    assert split_stats(df).first().asDict() == {"split": "train", "n": 5, "event_rate": 0.6}
+
+
+def test_event_rate_rounds_half_to_even(spark):
+    df = spark.range(40).selectExpr("'s' AS split", "if(id < 1, 1, 0) AS label")
+    assert split_stats(df).first().event_rate == 0.02
+
+
+def test_scaler_ignores_missing_and_keeps_it(spark):
+    df = spark.createDataFrame(
+        [(1.0, 0.1, None), (3.0, 0.1, None), (None, 0.1, None), (float("nan"), 0.1, None)],
+        "fe_1 double, fe_2 double, fe_3 double",
+    ).repartition(4)
+    names = ["fe_1", "fe_2", "fe_3"]
+    stats = {row.feature: row for row in fit_scaler(df, names).collect()}
+    assert (stats["fe_1"].mean, stats["fe_1"].scale, stats["fe_1"].n) == (2.0, 1.0, 2)
+    assert (stats["fe_2"].scale, stats["fe_3"].mean, stats["fe_3"].n) == (1.0, None, 0)
+    out = Scaler.fit(df, names).transform(df)
+    values = sorted((row.fe_1 for row in out.collect()), key=lambda v: (v is None, v))
+    assert values == [-1.0, 1.0, None, None]
+    assert all(abs(row.fe_2) < 1e-12 and row.fe_3 is None for row in out.collect())
+
+
+def test_scaled_columns_have_mean_0_and_deviation_1(spark):
+    df = spark.range(1000).selectExpr("rand(1) * 50 AS fe_1", "randn(2) + 9 AS fe_2")
+    out = Scaler.fit(df, ["fe_1", "fe_2"]).transform(df)
+    row = out.selectExpr("avg(fe_1) a", "stddev_pop(fe_1) b", "avg(fe_2) c", "stddev_pop(fe_2) d").first()
+    assert [row.a, row.b, row.c, row.d] == pytest.approx([0, 1, 0, 1], abs=1e-9)
