@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 # Ranges of the score axis that are ranked on their own.
@@ -14,48 +14,49 @@ def auc(df: DataFrame, by: str, score: str, label: str = "label", ranges: int =
 
     Rows first collapse to one row per distinct score, so ties cost nothing.
     Ranking all scores of a group would be one task per group: the scores are
-    cut into ranges at approximate quantiles, each range is ranked on its own
-    and shifted by the negatives below it. The cuts only balance the work.
+    cut into ranges at approximate quantiles, each range is ranked on its own,
+    and a range beats all negatives of the ranges below it. The cuts only
+    balance the work; they do not change the result.
     Rows without a score are left out. ``by`` names a handful of groups, such as
     the splits: their cuts are broadcast.
     """
     if ranges < 2:
         raise ValueError("the score axis needs at least two ranges")
     value = F.col(score).cast("double")
-    scores = (
-        df.where(value.isNotNull() & ~F.isnan(value))
-        .groupBy(by, value.alias("score"))
-        .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
+    rows = df.where(value.isNotNull() & ~F.isnan(value)).select(
+        by, value.alias("score"), F.col(label).alias("label")
     )
     steps = [i / ranges for i in range(1, ranges)]
-    cuts = scores.groupBy(by).agg(
-        F.percentile_approx("score", steps, ranges * 20).alias("cuts")
+    cuts = rows.groupBy(by).agg(F.percentile_approx("score", steps, ranges * 20).alias("cuts"))
+    scores = rows.groupBy(by, "score").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
     # One row of at most ``ranges`` numbers per group.
     ranged = scores.join(F.broadcast(cuts), by).select(
         by, "score", "pos", "neg",
         F.size(F.filter("cuts", lambda cut: cut < F.col("score"))).alias("range"),
     )
-    below = Window.partitionBy(by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(by, "range").agg(F.sum("neg").alias("neg"))
-        .select(by, "range", F.coalesce(F.sum("neg").over(below), F.lit(0)).alias("offset"))
+    lower_scores = Window.partitionBy(by, "range").orderBy("score")
+    by_range = (
+        ranged.withColumn("below", _sum_before("neg", lower_scores))
+        .groupBy(by, "range")
+        .agg(
+            F.sum("pos").alias("pos"),
+            F.sum("neg").alias("neg"),
+            # Twice the negatives each positive beats inside the range, as whole numbers.
+            F.sum(_whole("pos") * _whole(2 * F.col("below") + F.col("neg"))).alias("won"),
+        )
     )
-    inside = (
-        Window.partitionBy(by, "range").orderBy("score")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    # Twice the number of negatives a score beats, as whole numbers.
-    beaten = 2 * (F.coalesce(F.col("inside"), F.lit(0)) + F.col("offset")) + F.col("neg")
-    pairs = (
-        ranged.withColumn("inside", F.sum("neg").over(inside))
-        .join(F.broadcast(offsets), [by, "range"])
-        .select(by, "pos", "neg", (_whole("pos") * beaten.cast("decimal(19,0)")).alias("won"))
-    )
-    totals = pairs.groupBy(by).agg(
-        F.sum("won").cast("double").alias("won"),
-        F.sum("pos").cast("double").alias("pos"),
-        F.sum("neg").cast("double").alias("neg"),
+    lower_ranges = Window.partitionBy(by).orderBy("range")
+    totals = (
+        by_range.withColumn("below", _sum_before("neg", lower_ranges))
+        .groupBy(by)
+        .agg(
+            F.sum(F.col("won") + _whole("pos") * _whole(2 * F.col("below")))
+            .cast("double").alias("won"),
+            F.sum("pos").cast("double").alias("pos"),
+            F.sum("neg").cast("double").alias("neg"),
+        )
     )
     return totals.select(
         by, F.try_divide(F.col("won"), 2 * F.col("pos") * F.col("neg")).alias("auc")
@@ -77,5 +78,12 @@ def gini(auc_column: Column) -> Column:
     return F.bround(2 * auc_column - 1, 3)
 
 
-def _whole(name: str) -> Column:
-    return F.col(name).cast("decimal(19,0)")
+def _sum_before(name: str, window: WindowSpec) -> Column:
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(name).over(earlier), F.lit(0))
+
+
+def _whole(value: Column | str) -> Column:
+    """Wide enough for the product of two row counts."""
+    value = F.col(value) if isinstance(value, str) else value
+    return value.cast("decimal(19,0)")

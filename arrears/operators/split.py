@@ -3,7 +3,8 @@
 Rows of each class are put in the order of a salted hash and cut at given
 ranks. Ranking all rows of a class would be one task per class. Instead, rows
 are counted by class and hash prefix, the counts show which prefix holds each
-cut, and only the rows of those prefixes are ranked. The cuts are a few rows;
+cut, and only the loans of those prefixes are counted and ranked; a loan with
+many rows is narrowed down once more in the same way. The cuts are a few rows:
 placing a row compares it with the cuts of its class and needs no shuffle.
 """
 
@@ -12,9 +13,11 @@ from __future__ import annotations
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from arrears.schemas import ddl
+
 # Train share, seed of the split.
 TRAIN_RATIO = 0.8
 SPLIT_SEED = 88
@@ -22,6 +25,10 @@ SPLIT_SEED = 88
 # Hex digits of the prefix: 16^4 counts per class, however many rows there are.
 _PREFIX = 4
 
+# Rows of one loan are counted by the upper 16 bits of their 64-bit hash.
+_ROW_SHIFT = 48
+_LAST_ROW = 2**63 - 1
+
 
 def class_sizes(counts: DataFrame, label: str = "label", ratio: float = TRAIN_RATIO) -> DataFrame:
     """Train rows per class, from one row per class with its count ``n``.
@@ -68,28 +75,21 @@ class StratifiedCuts:
         seed: int = SPLIT_SEED,
         folds: int = 1,
     ) -> StratifiedCuts:
-        ranked = df.select(F.col(label), _rank_key(df, key, seed).alias("k"))
-        prefix = F.substring("k.hash", 1, _PREFIX)
-        edges = _edges(ranked.select(label, prefix.alias("prefix")), label, ratio, folds)
-        edges = edges.collect()  # one row per class and fold
-
-        schema = f"`{label}` {dict(df.dtypes)[label]}, prefix string, cut int, rank bigint"
-        edges_df = df.sparkSession.createDataFrame(edges, schema)
-        near = ranked.withColumn("prefix", prefix).join(
-            F.broadcast(edges_df.select(label, "prefix").distinct()), [label, "prefix"], "left_semi"
-        )
-        copies = near.groupBy(label, "prefix", "k").agg(F.count(F.lit(1)).alias("n"))
-        in_prefix = Window.partitionBy(label, "prefix").orderBy("k")
-        found = (
-            copies.withColumn("end", F.sum("n").over(in_prefix))
-            .join(F.broadcast(edges_df), [label, "prefix"])
-            .where(_holds_rank())
-            .select(label, "cut", "k")
-        )
-        cuts = defaultdict(list)
-        for row in sorted(found.collect(), key=lambda row: row.cut):  # as many as edges
-            cuts[row[label]].append(tuple(row.k))
-        return cls(dict(cuts), folds, key, label, seed)
+        levels = _levels(df, key, seed)
+        edges = _first_edges(df, levels["prefix"], label, ratio, folds)
+        edges = _refine(df, levels, label, edges, ["prefix"], "loan")
+        # A cut behind the last row of a loan needs no order inside the loan.
+        inside = [edge for edge in edges if edge.rank < edge.n]
+        if inside:
+            inside = _refine(df, levels, label, inside, ["loan"], "bucket")
+            inside = _refine(df, levels, label, inside, ["loan", "bucket"], "row")
+
+        cuts = {(edge[label], edge.cut): (*edge.loan, _LAST_ROW) for edge in edges}
+        cuts |= {(edge[label], edge.cut): (*edge.loan, edge.row) for edge in inside}
+        by_class = defaultdict(list)
+        for (value, _), rank_key in sorted(cuts.items(), key=lambda item: item[0][1]):
+            by_class[value].append(rank_key)
+        return cls(dict(by_class), folds, key, label, seed)
 
     def part(self, df: DataFrame) -> Column:
         """Number of cuts before a row: 0 to folds - 1 are train parts, the next is test.
@@ -128,34 +128,82 @@ def stratified_split(df: DataFrame, folds: int = 1, **options) -> DataFrame:
     )
 
 
-def _edges(prefixes: DataFrame, label: str, ratio: float, folds: int) -> DataFrame:
-    """Class, prefix and rank inside the prefix of each cut."""
-    counts = prefixes.groupBy(label, "prefix").agg(F.count(F.lit(1)).alias("n"))
+def _first_edges(
+    df: DataFrame, prefix: Column, label: str, ratio: float, folds: int
+) -> list[Row]:
+    """Prefix that holds each cut, with the cut's rank inside: a row per class and fold."""
+    counts = df.groupBy(label, prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
     sizes = class_sizes(counts.groupBy(label).agg(F.sum("n").alias("n")), label, ratio)
     ends = [F.floor(F.col("n_train") * i / folds) for i in range(1, folds)] + [F.col("n_train")]
     wanted = sizes.select(label, F.posexplode(F.array(*ends)).alias("cut", "rank"))
     running = Window.partitionBy(label).orderBy("prefix")
-    return (
-        counts.withColumn("end", F.sum("n").over(running))
-        .join(F.broadcast(wanted), label)
-        .where(_holds_rank())
-        .select(label, "prefix", "cut", (F.col("rank") - F.col("end") + F.col("n")).alias("rank"))
+    spans = counts.withColumn("end", F.sum("n").over(running))
+    return _holding(spans.join(F.broadcast(wanted), label), [label, "prefix"]).collect()
+
+
+def _refine(
+    df: DataFrame,
+    levels: dict[str, Column],
+    label: str,
+    edges: list[Row],
+    given: list[str],
+    level: str,
+) -> list[Row]:
+    """Look inside the groups that hold a cut: the next level's group and rank."""
+    at_edge = F.lit(False)
+    for edge in edges:
+        same = F.col(label) == edge[label]
+        for name in given:
+            same &= levels[name] == _literal(edge[name])
+        at_edge |= same
+    keys = [label, *given]
+    groups = (
+        df.where(at_edge)
+        .select(label, *[levels[name].alias(name) for name in [*given, level]])
+        .groupBy(*keys, level).agg(F.count(F.lit(1)).alias("n"))
+    )
+    running = Window.partitionBy(*keys).orderBy(level)
+    spans = groups.withColumn("end", F.sum("n").over(running))
+    kinds = dict(groups.dtypes) | {"cut": "int", "rank": "bigint"}
+    names = [*keys, "cut", "rank"]
+    wanted = df.sparkSession.createDataFrame(
+        [tuple(edge[name] for name in names) for edge in edges],
+        ddl({name: kinds[name] for name in names}),
+    )
+    return _holding(spans.join(F.broadcast(wanted), keys), [*keys, level]).collect()
+
+
+def _holding(spans: DataFrame, keys: list[str]) -> DataFrame:
+    """Groups whose ranks, up to ``end``, include the wanted ``rank``."""
+    start = F.col("end") - F.col("n")
+    return spans.where((start < F.col("rank")) & (F.col("rank") <= F.col("end"))).select(
+        *keys, "cut", (F.col("rank") - start).alias("rank"), "n"
     )
 
 
-def _holds_rank() -> Column:
-    return (F.col("end") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("end"))
+def _levels(df: DataFrame, key: str, seed: int) -> dict[str, Column]:
+    """Parts of the rank key, coarse to fine; few groups lie inside each one."""
+    md5 = F.md5(F.concat(F.col(key), F.lit(f"|{seed}")))
+    row = F.xxhash64(*[F.col(name) for name in df.columns])
+    return {
+        "prefix": F.substring(md5, 1, _PREFIX),
+        "loan": F.struct(md5.alias("hash"), F.col(key).alias("key")),
+        "bucket": F.shiftright(row, _ROW_SHIFT),
+        "row": row,
+    }
+
+
+def _literal(value) -> Column:
+    if isinstance(value, Row):
+        return F.struct(*[F.lit(part).alias(name) for name, part in value.asDict().items()])
+    return F.lit(value)
 
 
 def _rank_key(df: DataFrame, key: str, seed: int) -> Column:
-    return F.struct(
-        F.md5(F.concat(F.col(key), F.lit(f"|{seed}"))).alias("hash"),
-        F.col(key).alias("key"),
-        F.xxhash64(*[F.col(name) for name in df.columns]).alias("row"),
-    )
+    levels = _levels(df, key, seed)
+    return F.struct(levels["loan"].alias("loan"), levels["row"].alias("row"))
 
 
 def _literal_key(key: tuple[str, str, int]) -> Column:
-    return F.struct(*[
-        F.lit(value).alias(name) for name, value in zip(("hash", "key", "row"), key, strict=True)
-    ])
+    loan = F.struct(F.lit(key[0]).alias("hash"), F.lit(key[1]).alias("key"))
+    return F.struct(loan.alias("loan"), F.lit(key[2]).cast("bigint").alias("row"))

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from arrears.functions.dates import to_day
 from arrears.schemas import SNAPSHOT
@@ -36,10 +37,14 @@ def overwrite_months(
     _writer(rows, fmt).option("partitionOverwriteMode", "dynamic").partitionBy(SNAPSHOT).save(path)
 
     written = set(seen.get.get("months") or [])
-    body = T.StructType([field for field in df.schema if field.name != SNAPSHOT])
-    for month in sorted({to_day(month) for month in months} - written):
-        empty = df.sparkSession.createDataFrame([], body)
-        _writer(empty, fmt).save(f"{path}/{SNAPSHOT}={month.isoformat()}")
+    emptied = sorted({to_day(month) for month in months} - written)
+    nothing = df.drop(SNAPSHOT).where(F.lit(False))
+
+    def clear(month: date) -> None:
+        _writer(nothing, fmt).save(f"{path}/{SNAPSHOT}={month.isoformat()}")
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(inheritable_thread_target(df.sparkSession)(clear), emptied))
 
 
 def _writer(df: DataFrame, fmt: str):

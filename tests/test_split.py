@@ -57,14 +57,19 @@ def test_equals_plain_ranking(spark, monkeypatch, prefix):
     assert Counter(row.loan_id for row in got.collect()) == expected_train(data)
 
 
-def test_one_loan_with_a_third_of_the_rows_is_cut_exactly(spark):
-    data = [("hot", 0, float(i)) for i in range(700)]
+@pytest.mark.parametrize("hot, folds", [(700, 1), (15000, 1), (15000, 3)])
+def test_a_loan_with_many_of_the_rows_is_cut_exactly(spark, hot, folds):
+    data = [("hot", 0, float(i)) for i in range(hot)]
     data += [(str(i), int(i % 4 == 0), 0.0) for i in range(1300)]
-    out = stratified_split(frame(spark, data)).cache()
+    out = stratified_split(frame(spark, data), folds=folds).cache()
     sizes = train_sizes(Counter(label for _, label, _ in data))
     got = {(r.label, r.split): r["count"] for r in out.groupBy("label", "split").count().collect()}
     assert {c: got[c, "train"] for c in sizes} == sizes
     assert out.count() == len(data)
+    folded = out.where("split = 'train'").groupBy("label", "fold").count().collect()
+    for label in (0, 1):
+        parts = [row["count"] for row in folded if row.label == label]
+        assert len(parts) == folds and max(parts) - min(parts) <= 1
     cold = [row.loan_id for row in out.where("split = 'train' AND loan_id <> 'hot'").collect()]
     assert Counter(cold) == Counter({k: 1 for k in expected_train(data) if k != "hot"})
 
