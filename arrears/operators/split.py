@@ -91,19 +91,28 @@ class StratifiedCuts:
             by_class[value].append(rank_key)
         return cls(dict(by_class), folds, key, label, seed)
 
-    def part(self, df: DataFrame) -> Column:
-        """Number of cuts before a row: 0 to folds - 1 are train parts, the next is test.
+    def place(self, df: DataFrame, part: str) -> DataFrame:
+        """Add the number of cuts before a row: the parts of train in order, then test.
 
         A part without rows has no cut and every row of the class is past it.
         """
-        row = _rank_key(df, self.key, self.seed)
-        places = F.lit(self.folds)
+        passed = F.lit(self.folds)
         for value, keys in self.cuts.items():
-            passed = F.lit(self.folds - len(keys))
-            for key in keys:
-                passed += (_literal_key(key) < row).cast("int")
-            places = F.when(F.col(self.label) == value, passed).otherwise(places)
-        return places
+            cuts = sum((self._after(df, key).cast("int") for key in keys), F.lit(0))
+            passed = F.when(
+                F.col(self.label) == value, cuts + F.lit(self.folds - len(keys))
+            ).otherwise(passed)
+        hashed = df.withColumn("_hash", _md5(self.key, self.seed))
+        return hashed.select(*df.columns, passed.alias(part))
+
+    def _after(self, df: DataFrame, rank_key: tuple[str, str, int]) -> Column:
+        """Whether a row comes after a rank key; most rows differ in the hash already."""
+        cut_hash, cut_key, cut_row = rank_key
+        key, row = F.col(self.key), _row_hash(df)
+        in_loan = (key == cut_key) & (row > F.lit(cut_row).cast("bigint"))
+        return (F.col("_hash") > cut_hash) | (
+            (F.col("_hash") == cut_hash) & ((key > cut_key) | in_loan)
+        )
 
 
 def stratified_split(df: DataFrame, folds: int = 1, **options) -> DataFrame:
@@ -115,16 +124,10 @@ def stratified_split(df: DataFrame, folds: int = 1, **options) -> DataFrame:
     """
     inside = F.col("segment") == "train_test"
     cuts = StratifiedCuts.fit(df.where(inside), folds=folds, **options)
-    placed = df.withColumn("fold", F.when(inside, cuts.part(df)))
-    split = (
-        F.when(F.col("segment") == "oot", "oot")
-        .when(F.col("fold") < folds, "train")
-        .when(F.col("fold") == folds, "test")
-    )
-    return placed.select(
-        *df.columns,
-        split.alias("split"),
-        F.when(F.col("fold") < folds, F.col("fold")).alias("fold"),
+    train = inside & (F.col("_part") < folds)
+    split = F.when(F.col("segment") == "oot", "oot").when(train, "train").when(inside, "test")
+    return cuts.place(df, "_part").select(
+        *df.columns, split.alias("split"), F.when(train, F.col("_part")).alias("fold")
     )
 
 
@@ -132,13 +135,17 @@ def _first_edges(
     df: DataFrame, prefix: Column, label: str, ratio: float, folds: int
 ) -> list[Row]:
     """Prefix that holds each cut, with the cut's rank inside: a row per class and fold."""
-    counts = df.groupBy(label, prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    # At most 16^4 rows per class, read twice below.
+    counts = df.groupBy(label, prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n")).persist()
     sizes = class_sizes(counts.groupBy(label).agg(F.sum("n").alias("n")), label, ratio)
     ends = [F.floor(F.col("n_train") * i / folds) for i in range(1, folds)] + [F.col("n_train")]
     wanted = sizes.select(label, F.posexplode(F.array(*ends)).alias("cut", "rank"))
     running = Window.partitionBy(label).orderBy("prefix")
     spans = counts.withColumn("end", F.sum("n").over(running))
-    return _holding(spans.join(F.broadcast(wanted), label), [label, "prefix"]).collect()
+    try:
+        return _holding(spans.join(F.broadcast(wanted), label), [label, "prefix"]).collect()
+    finally:
+        counts.unpersist()
 
 
 def _refine(
@@ -150,15 +157,12 @@ def _refine(
     level: str,
 ) -> list[Row]:
     """Look inside the groups that hold a cut: the next level's group and rank."""
-    at_edge = F.lit(False)
-    for edge in edges:
-        same = F.col(label) == edge[label]
-        for name in given:
-            same &= levels[name] == _literal(edge[name])
-        at_edge |= same
     keys = [label, *given]
+    near = df
+    for name in given:
+        near = near.where(levels[name].isin([_literal(value) for value in {e[name] for e in edges}]))
     groups = (
-        df.where(at_edge)
+        near
         .select(label, *[levels[name].alias(name) for name in [*given, level]])
         .groupBy(*keys, level).agg(F.count(F.lit(1)).alias("n"))
     )
@@ -183,8 +187,7 @@ def _holding(spans: DataFrame, keys: list[str]) -> DataFrame:
 
 def _levels(df: DataFrame, key: str, seed: int) -> dict[str, Column]:
     """Parts of the rank key, coarse to fine; few groups lie inside each one."""
-    md5 = F.md5(F.concat(F.col(key), F.lit(f"|{seed}")))
-    row = F.xxhash64(*[F.col(name) for name in df.columns])
+    md5, row = _md5(key, seed), _row_hash(df)
     return {
         "prefix": F.substring(md5, 1, _PREFIX),
         "loan": F.struct(md5.alias("hash"), F.col(key).alias("key")),
@@ -199,11 +202,9 @@ def _literal(value) -> Column:
     return F.lit(value)
 
 
-def _rank_key(df: DataFrame, key: str, seed: int) -> Column:
-    levels = _levels(df, key, seed)
-    return F.struct(levels["loan"].alias("loan"), levels["row"].alias("row"))
+def _md5(key: str, seed: int) -> Column:
+    return F.md5(F.concat(F.col(key), F.lit(f"|{seed}")))
 
 
-def _literal_key(key: tuple[str, str, int]) -> Column:
-    loan = F.struct(F.lit(key[0]).alias("hash"), F.lit(key[1]).alias("key"))
-    return F.struct(loan.alias("loan"), F.lit(key[2]).cast("bigint").alias("row"))
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(name) for name in df.columns])
