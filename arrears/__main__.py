@@ -68,6 +68,7 @@ def main(argv: list[str] | None = None) -> None:
             n_iter=args.candidates,
         )
         run.report.show()
+        training.reload_check(spark, layout.bank, run).show()
     else:
         months = month_list(args.snapshotdate, args.end) if args.end else [args.snapshotdate]
         features = read_features(spark, args.features)

@@ -255,5 +255,12 @@ ORACLE: dict[str, str] = {
            + CAST(sum(CASE WHEN label = 0 AND fe_7 < 70 THEN 1 ELSE 0 END) AS DOUBLE)
              / nullif(sum(CASE WHEN label = 0 THEN 1 ELSE 0 END), 0)) / 2 AS auc
         FROM split WHERE fe_7 IS NOT NULL GROUP BY split""",
+    "prediction_store": _features(f"""
+        SELECT Customer_ID, snapshot_date,
+               'credit_model_{TRAIN_DATE:%Y_%m_%d}.pkl' AS model_name, true AS is_probability
+        FROM features WHERE {_POINT}"""),
+    "score_backfill": _features(f"""
+        SELECT snapshot_date, count(*) AS n, count(*) AS n_probabilities
+        FROM features WHERE {_MONTHS_IN} GROUP BY snapshot_date"""),
     "score_input": _features(f"SELECT * FROM features WHERE {_POINT}"),
 }

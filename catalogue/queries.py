@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.functions.dates import (
@@ -313,9 +313,12 @@ def batch_score(spark, sf_dir):
 
 def prediction_store(spark, sf_dir):
     mart = store(spark, sf_dir)
-    return scoring.score(
+    stored = scoring.score(
         spark, mart.features, mart.run and mart.bank, VERSION + MODEL_SUFFIX, mart.predictions, [POINT]
     )
+    return stored.select(
+        "Customer_ID", "snapshot_date", "model_name", is_probability().alias("is_probability")
+    )
 
 
 def score_backfill(spark, sf_dir):
@@ -325,10 +328,14 @@ def score_backfill(spark, sf_dir):
         mart.folder("score_backfill"), MONTHS,
     )
     return scored.groupBy("snapshot_date").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("model_predictions").alias("mean_prediction")
+        F.count(F.lit(1)).alias("n"), F.count_if(is_probability()).alias("n_probabilities")
     )
 
 
+def is_probability() -> Column:
+    return F.col("model_predictions").between(0, 1)
+
+
 QUERIES: dict[str, Query] = {
     "month_spine": month_coverage,
     "train_calendar": train_calendar,

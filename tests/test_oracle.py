@@ -9,6 +9,7 @@ import __spark_entry__ as driver
 
 SPARK_TYPES = {
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+    "boolean": "BOOLEAN",
 }
 
 
