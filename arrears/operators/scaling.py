@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,13 +13,14 @@ def fit_scaler(df: DataFrame, columns: list[str]) -> DataFrame:
     """Mean, scale and count of each column, in one pass over the rows.
 
     NULL and NaN are left out. The scale is the population standard deviation,
-    or 1 for a column that has a single value.
+    or 1 for a column that has a single value or a deviation too small to divide by.
     """
     stats = []
     for name in columns:
         value = _present(name)
-        constant = F.min(value) == F.max(value)
-        scale = F.when(constant, F.lit(1.0)).otherwise(F.stddev_pop(value))
+        deviation = F.stddev_pop(value)
+        constant = (F.min(value) == F.max(value)) | (deviation == 0)
+        scale = F.when(constant, F.lit(1.0)).otherwise(deviation)
         stats.append(F.struct(
             F.lit(name).alias("feature"),
             F.avg(value).alias("mean"),
@@ -38,6 +40,9 @@ class Scaler:
     @classmethod
     def fit(cls, df: DataFrame, columns: list[str]) -> Scaler:
         rows = fit_scaler(df, columns).collect()  # one row per feature
+        infinite = [row.feature for row in rows if not math.isfinite(row.mean or 0)]
+        if infinite:
+            raise ValueError(f"infinite values in {', '.join(infinite)}")
         return cls(
             mean={row.feature: row.mean for row in rows},
             scale={row.feature: row.scale for row in rows},

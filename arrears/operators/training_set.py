@@ -23,13 +23,19 @@ def join_features(labels: DataFrame, features: DataFrame) -> DataFrame:
     It is written as matched rows plus unmatched rows. Adaptive execution can
     split a hot key on both sides of an inner join, but only on the left side
     of a left outer join, where copies of one feature key would all meet in one
-    task. The feature keys of the second part shrink to one row per key before
-    they are shuffled.
+    task.
     """
-    matched = labels.join(features, JOIN_KEYS, "inner")
-    known = features.select(JOIN_KEYS).distinct()
-    unmatched = labels.join(known, JOIN_KEYS, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    matched = matched_rows(labels, features)
+    return matched.unionByName(unmatched_rows(labels, features), allowMissingColumns=True)
+
+
+def matched_rows(labels: DataFrame, features: DataFrame) -> DataFrame:
+    return labels.join(features, JOIN_KEYS, "inner")
+
+
+def unmatched_rows(labels: DataFrame, known: DataFrame) -> DataFrame:
+    """Label rows whose key is not in ``known``; keys become distinct before the shuffle."""
+    return labels.join(known.select(JOIN_KEYS).distinct(), JOIN_KEYS, "left_anti")
 
 
 def segment(cal: TrainingCalendar) -> Column:

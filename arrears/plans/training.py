@@ -27,9 +27,11 @@ from arrears.operators.split import TRAIN_RATIO, stratified_split
 from arrears.operators.training_set import (
     in_window,
     join_features,
+    matched_rows,
     segment,
     split_stats,
     training_matrix,
+    unmatched_rows,
 )
 from arrears.plans.registry import load_model, register
 from arrears.schemas import KEYS, feature_columns
@@ -56,9 +58,20 @@ def training_rows(labels: DataFrame, features: DataFrame, cal: TrainingCalendar)
 def build_training_rows(
     spark: SparkSession, labels: DataFrame, features: DataFrame, cal: TrainingCalendar, bank: str
 ) -> DataFrame:
-    """Joined rows, kept as a table of the model version: all later steps read it."""
+    """The same rows as a table of the model version, which all later steps read.
+
+    The matched rows are written first. Their keys then show which label rows
+    are left, so the feature feed is read once and only the keys that found a
+    label are shuffled again.
+    """
     path = f"{training_path(bank, cal)}/joined"
-    training_rows(labels, features, cal).write.mode("overwrite").parquet(path)
+    wanted = in_window(labels, cal)
+    matched = matched_rows(wanted, in_window(features, cal))
+    matched.withColumn("segment", segment(cal)).write.mode("overwrite").parquet(path)
+    written = spark.read.parquet(path)
+    rest = unmatched_rows(wanted, written).withColumn("segment", segment(cal))
+    same_columns = written.where(F.lit(False)).unionByName(rest, allowMissingColumns=True)
+    same_columns.write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
 

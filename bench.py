@@ -49,8 +49,8 @@ def jobs(mart: Store) -> dict:
         "layer_counts": query("layer_counts"),
         "label_store_scan": query("label_store_scan"),
         "bad_rate_by_mob": query("bad_rate_by_mob"),
-        "training_join": lambda: run_out(training.training_rows(
-            datamart.read_labels(spark, mart.labels), mart.features, CALENDAR)),
+        "training_join": lambda: training.build_training_rows(
+            spark, datamart.read_labels(spark, mart.labels), mart.features, CALENDAR, bank),
         "stratified_split": query("stratified_split"),
         "scaler_fit": query("scaler_fit"),
         "scaler_apply": query("scaler_apply"),

@@ -143,3 +143,16 @@ def test_command_line():
     args = parser().parse_args(["score", "--snapshotdate", "2024-01-01", "--modelname", "m.pkl"])
     assert (args.job, args.end, args.bank) == ("score", None, "model_bank")
     assert parser().parse_args(["train", "--snapshotdate", "2024-09-01"]).candidates == 100
+
+
+def test_training_rows_table_equals_the_join(spark, sf_dir, mart, tmp_path):
+    from arrears.plans import datamart
+    from catalogue.fixtures import CALENDAR
+
+    labels, features = datamart.read_labels(spark, mart.labels), mart.features
+    plain = training.training_rows(labels, features, CALENDAR)
+    for _ in range(2):  # a rerun replaces the table
+        table = training.build_training_rows(spark, labels, features, CALENDAR, str(tmp_path))
+    assert table.columns == plain.columns
+    assert table.exceptAll(plain).count() == 0 and table.count() == plain.count()
+    assert table.where("fe_1 IS NULL").count() > 0

@@ -33,6 +33,9 @@ def test_matches_oracle(spark, duck, sf_dir, name):
     columns = sorted(df.columns)
     kinds = {row[0]: row[1] for row in duck.execute(f"DESCRIBE {sql}").fetchall()}
     assert {c: SPARK_TYPES[kind] for c, kind in df.dtypes} == kinds
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for slow in ("CartesianProduct", "NestedLoopJoin", "PythonUDF", "EvalPython", "InPandas"):
+        assert slow not in plan
     got, want = df.toPandas()[columns], duck.execute(sql).df()[columns]
     assert len(got) > 0
     assert canonical(got) == canonical(want)

@@ -1,10 +1,14 @@
 """Hand-made edge rows for the silver and label columns."""
 
-from datetime import date
+import math
+import random
+from datetime import date, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from arrears.functions.dates import add_months
 from arrears.operators.labels import label_loans
 from arrears.operators.silver import conform_loans, silver_loans
 from arrears.schemas import LOAN_TYPES, SILVER_TYPES, ddl
@@ -100,3 +104,37 @@ def test_label_definition_names_its_rule(raw):
     row = label_loans(silver_loans(raw), dpd=60, mob=6).where("loan_id = 'two missed'").first()
     assert (row.label, row.label_def) == (1, "60dpd_6mob")
     assert label_loans(silver_loans(raw), mob=3).count() == 0
+
+
+def test_random_rows_follow_the_rules(spark):
+    rng = random.Random(11)
+    amounts = [None, float("nan"), 0.0, -5.0, 0.01, 1.14, 3.42, 99.99, 100.0, 333.33, 1e6]
+    data = []
+    for i in range(2000):
+        due, overdue = rng.choice(amounts), rng.choice(amounts)
+        if rng.random() < 0.5:
+            due = round(rng.uniform(1, 500), 2)
+            overdue = round(due * rng.choice([0, 0.3, 1, 2, 3, 7, 10]), 2)
+        snap = date(2019, 1, 1) + timedelta(days=rng.randrange(2000))
+        data.append((str(i), due, overdue, snap))
+    blank = [name for name in LOAN_TYPES if name not in ("loan_id", "due_amt", "overdue_amt", "snapshot_date")]
+    df = spark.createDataFrame(data, "loan_id string, due_amt double, overdue_amt double, snapshot_date date")
+    df = df.withColumns({name: F.lit(None).cast("string") for name in blank})
+    # As text: Python has no dates before the year 1.
+    text = silver_loans(df).withColumn("first_missed_date", F.col("first_missed_date").cast("string"))
+    got = {row.loan_id: row for row in text.collect()}
+    for key, due, overdue, snap in data:
+        narrow = [np.nan if v is None else float(np.float32(v)) for v in (due, overdue)]
+        d, o = narrow
+        known = not (due is None or overdue is None or d == 0)
+        ratio = o / d if known else math.nan
+        missed = 0 if math.isnan(ratio) else math.ceil(ratio)
+        missed = missed if -(2**31) <= missed < 2**31 else 0
+        first = add_months(snap, -missed) if 0 < missed < 20_000 else None
+        owed = 0 if math.isnan(o) else o
+        dpd = 0 if owed <= 0 else (snap - first).days if first else None
+        row = got[key]
+        assert row.installments_missed == missed, (due, overdue)
+        if missed < 20_000:
+            want = (first and first.isoformat(), dpd)
+            assert (row.first_missed_date, row.dpd) == want, (due, overdue, snap)

@@ -102,3 +102,10 @@ def test_scaled_columns_have_mean_0_and_deviation_1(spark):
     out = Scaler.fit(df, ["fe_1", "fe_2"]).transform(df)
     row = out.selectExpr("avg(fe_1) a", "stddev_pop(fe_1) b", "avg(fe_2) c", "stddev_pop(fe_2) d").first()
     assert [row.a, row.b, row.c, row.d] == pytest.approx([0, 1, 0, 1], abs=1e-9)
+
+
+def test_scaler_with_extreme_values(spark):
+    df = spark.createDataFrame([(1e-200, 1.0), (2e-200, float("inf"))], "fe_1 double, fe_2 double")
+    assert Scaler.fit(df, ["fe_1"]).scale["fe_1"] == 1.0
+    with pytest.raises(ValueError, match="fe_2"):
+        Scaler.fit(df, ["fe_2"])
