@@ -1,4 +1,4 @@
-"""Command line: ``python -m arrears bronze|backfill|train|score``."""
+"""Command line: ``python -m arrears bronze|backfill|vintage|train|score``."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from arrears.functions.delinquency import LABEL_DPD, LABEL_MOB
 from arrears.layout import Layout
 from arrears.operators.model import SEARCH_CANDIDATES
 from arrears.plans import datamart, scoring, training
+from arrears.plans.vintage import vintage_report
 from arrears.session import build_session
 from arrears.sources.tables import read_features
 
@@ -34,6 +35,10 @@ def parser() -> argparse.ArgumentParser:
     backfill.add_argument("--dpd", type=int, default=LABEL_DPD)
     backfill.add_argument("--mob", type=int, default=LABEL_MOB)
 
+    vintage = jobs.add_parser("vintage", help="bad rate by month on book")
+    vintage.add_argument("--before", required=True, help="loans started before YYYY-MM-DD")
+    vintage.add_argument("--dpd", type=int, default=LABEL_DPD)
+
     train = jobs.add_parser("train", help="search, evaluate and register a model")
     train.add_argument("--snapshotdate", required=True, help="YYYY-MM-DD")
     train.add_argument("--features", default=FEATURE_FEED)
@@ -58,6 +63,8 @@ def main(argv: list[str] | None = None) -> None:
         datamart.build_bronze(spark, args.loans, layout.bronze, months)
         datamart.build_silver(spark, layout.bronze, layout.silver, months)
         datamart.build_labels(spark, layout.silver, layout.labels, months, args.dpd, args.mob)
+    elif args.job == "vintage":
+        vintage_report(spark, layout.silver, args.before, args.dpd).show(100)
     elif args.job == "train":
         run = training.train(
             spark,

@@ -108,7 +108,7 @@ class StratifiedCuts:
     def _after(self, df: DataFrame, rank_key: tuple[str, str, int]) -> Column:
         """Whether a row comes after a rank key; most rows differ in the hash already."""
         cut_hash, cut_key, cut_row = rank_key
-        key, row = F.col(self.key), _row_hash(df)
+        key, row = _text(self.key), _row_hash(df)
         in_loan = (key == cut_key) & (row > F.lit(cut_row).cast("bigint"))
         return (F.col("_hash") > cut_hash) | (
             (F.col("_hash") == cut_hash) & ((key > cut_key) | in_loan)
@@ -190,7 +190,7 @@ def _levels(df: DataFrame, key: str, seed: int) -> dict[str, Column]:
     md5, row = _md5(key, seed), _row_hash(df)
     return {
         "prefix": F.substring(md5, 1, _PREFIX),
-        "loan": F.struct(md5.alias("hash"), F.col(key).alias("key")),
+        "loan": F.struct(md5.alias("hash"), _text(key).alias("key")),
         "bucket": F.shiftright(row, _ROW_SHIFT),
         "row": row,
     }
@@ -203,7 +203,11 @@ def _literal(value) -> Column:
 
 
 def _md5(key: str, seed: int) -> Column:
-    return F.md5(F.concat(F.col(key), F.lit(f"|{seed}")))
+    return F.md5(F.concat(_text(key), F.lit(f"|{seed}")))
+
+
+def _text(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("string"), F.lit(""))
 
 
 def _row_hash(df: DataFrame) -> Column:

@@ -44,9 +44,10 @@ def read_bronze(
     bronze_path: str,
     months: Months | None = None,
     columns: list[str] | None = None,
+    infer: bool = False,
 ) -> DataFrame:
-    """Bronze rows as text; only the partitions of ``months`` are read."""
-    df = read_csv(spark, bronze_path).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
+    """Bronze rows, as text unless inferred; only the partitions of ``months`` are read."""
+    df = read_csv(spark, bronze_path, infer).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
     df = df.select(*columns) if columns else df
     return df if months is None else df.where(in_months(months))
 
@@ -56,11 +57,12 @@ def build_silver(
     bronze_path: str,
     silver_path: str,
     months: Months,
+    infer: bool = False,
     date_format: str | None = None,
 ) -> DataFrame:
     """Silver table of the given months. Bronze files are already laid out by month."""
     months = list(months)
-    rows = silver_loans(read_bronze(spark, bronze_path, months), date_format)
+    rows = silver_loans(read_bronze(spark, bronze_path, months, infer=infer), date_format)
     overwrite_months(rows, silver_path, months, rebalance=False)
     return read_silver(spark, silver_path).where(in_months(months))
 

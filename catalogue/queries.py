@@ -20,7 +20,7 @@ from arrears.operators import labels as lab
 from arrears.operators import metrics, silver, split, training_set
 from arrears.operators.scaling import Scaler, fit_scaler
 from arrears.plans import datamart, scoring, training, vintage
-from arrears.schemas import KEYS, LOAN_TYPES, SILVER_TYPES, feature_columns
+from arrears.schemas import KEYS, LOAN_TYPES, feature_columns
 from arrears.sources.tables import in_months, read_csv
 from catalogue.fixtures import (
     CALENDAR,

@@ -151,6 +151,19 @@ def test_inferred_feed_gives_the_same_silver(spark, mart, tmp_path):
     assert rows(datamart.build_silver(spark, bronze2, silver2, MONTHS).where("loan_id <> 'L007'")) == want
 
 
+def test_inferred_types_fill_other_numbers_too(spark, tmp_path):
+    raw, bronze = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    (tmp_path / "raw").mkdir()
+    lines = [",".join(LOAN_TYPES) + ",visits"]
+    lines += [",".join(map(str, loan(i, "2023-01-01")[:-1])) + f",{i or ''}" for i in range(3)]
+    (tmp_path / "raw" / "l.csv").write_text("\n".join(lines) + "\n")
+    datamart.build_bronze(spark, raw, bronze, MONTHS[:1])
+    for infer, want in ((True, [0, 1, 2]), (False, [None, "1", "2"])):
+        datamart.build_silver(spark, bronze, str(tmp_path / f"s{infer}"), MONTHS[:1], infer=infer)
+        table = spark.read.parquet(str(tmp_path / f"s{infer}"))
+        assert [row.visits for row in table.orderBy("loan_id").collect()] == want
+
+
 def test_swapped_header_fails_instead_of_mixing_columns(spark, tmp_path):
     for name, header, line in (("a", "x,y", "1,2"), ("b", "y,x", "2,1")):
         (tmp_path / f"{name}.csv").write_text(f"{header}\n{line}\n")
@@ -165,7 +178,9 @@ def test_feature_feed(spark, tmp_path):
     df = read_features(spark, str(tmp_path))
     assert df.dtypes == [("snapshot_date", "date"), ("Customer_ID", "string"), ("fe_1", "double"),
                          ("note", "string"), ("fe_2", "double")]
-    assert rows(df) == [(date(2023, 1, 1), "007", 1.0, "hello", 2.5), (date(2023, 2, 1), "8", None, "x", None)]
+    assert rows(df) == [
+        (date(2023, 1, 1), "007", 1.0, "hello", 2.5), (date(2023, 2, 1), "8", None, "x", None)
+    ]
 
 
 def test_vintage_report(spark, mart):

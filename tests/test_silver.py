@@ -80,7 +80,8 @@ def test_types_and_order(raw):
 
 
 def test_extra_columns_pass_through(raw):
-    df = silver_loans(raw.withColumn("branch", F.lit("x")).withColumn("score", F.lit(None).cast("int")))
+    extra = {"branch": F.lit("x"), "score": F.lit(None).cast("int")}
+    df = silver_loans(raw.withColumns(extra))
     assert df.columns == [*SILVER_TYPES, "branch", "score"]
     assert set(df.select("branch", "score").distinct().collect()) == {("x", 0)}
 
@@ -117,8 +118,9 @@ def test_random_rows_follow_the_rules(spark):
             overdue = round(due * rng.choice([0, 0.3, 1, 2, 3, 7, 10]), 2)
         snap = date(2019, 1, 1) + timedelta(days=rng.randrange(2000))
         data.append((str(i), due, overdue, snap))
-    blank = [name for name in LOAN_TYPES if name not in ("loan_id", "due_amt", "overdue_amt", "snapshot_date")]
-    df = spark.createDataFrame(data, "loan_id string, due_amt double, overdue_amt double, snapshot_date date")
+    given = {"loan_id": "string", "due_amt": "double", "overdue_amt": "double", "snapshot_date": "date"}
+    blank = [name for name in LOAN_TYPES if name not in given]
+    df = spark.createDataFrame(data, ddl(given))
     df = df.withColumns({name: F.lit(None).cast("string") for name in blank})
     # As text: Python has no dates before the year 1.
     text = silver_loans(df).withColumn("first_missed_date", F.col("first_missed_date").cast("string"))

@@ -110,3 +110,20 @@ def test_placing_rows_needs_no_shuffle(spark):
     out = stratified_split(frame(spark, [(str(i), i % 2, 0.0) for i in range(100)]))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_numbers_and_missing_keys_are_placed_too(spark):
+    df = spark.range(100).selectExpr(
+        "if(id < 30, NULL, id) AS loan_id", "0 AS label", "cast(id AS double) AS fe_1",
+        "'train_test' AS segment",
+    )
+    sizes = {r.split: r["count"] for r in stratified_split(df).groupBy("split").count().collect()}
+    assert sizes == {"train": 80, "test": 20}
+
+
+def test_split_does_not_depend_on_partitions(spark):
+    df = frame(spark, [(str(i % 400), int(i % 3 == 0), float(i)) for i in range(1200)])
+    columns = ["loan_id", "label", "fe_1", "split", "fold"]
+    a = stratified_split(df.repartition(1), folds=3).select(columns)
+    b = stratified_split(df.repartition(7, "fe_1"), folds=3).select(columns)
+    assert a.exceptAll(b).count() == 0

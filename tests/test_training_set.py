@@ -64,8 +64,8 @@ def test_segments(spark):
     df = spark.createDataFrame([(d,) for d in days], "d string").select(
         F.col("d").cast("date").alias("snapshot_date")
     )
-    got = [row.s for row in df.select("snapshot_date", segment(cal).alias("s")).orderBy("snapshot_date").collect()]
-    assert got == [None, "train_test", "train_test", "oot", "oot", None]
+    cut = df.select("snapshot_date", segment(cal).alias("s")).orderBy("snapshot_date")
+    assert [row.s for row in cut.collect()] == [None, "train_test", "train_test", "oot", "oot", None]
 
 
 def test_matrix_and_stats(labels, features):
