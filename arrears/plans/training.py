@@ -178,6 +178,5 @@ def reload_check(spark: SparkSession, bank: str, run: TrainingRun) -> DataFrame:
     return (
         before.withColumnRenamed("auc", "auc_before")
         .join(F.broadcast(after.withColumnRenamed("auc", "auc_after")), "split")
-        .select("auc_before", "auc_after", F.col("auc_before").eqNullSafe(F.col("auc_after"))
-                .alias("equal"))
+        .withColumn("equal", F.col("auc_before").eqNullSafe(F.col("auc_after")))
     )

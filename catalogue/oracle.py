@@ -159,6 +159,13 @@ def _features(body: str) -> str:
     return f"WITH {_FEATURES} {body}"
 
 
+def _per_split(value: str, name: str) -> str:
+    return ", ".join(
+        f"(SELECT {value} FROM split WHERE split = '{s}') AS {name}_{s}"
+        for s in ("train", "test", "oot")
+    )
+
+
 ORACLE: dict[str, str] = {
     "month_spine": _raw("""
         , span AS (SELECT min(snapshot_date) AS a, max(snapshot_date) AS b FROM loan_daily),
@@ -255,9 +262,19 @@ ORACLE: dict[str, str] = {
            + CAST(sum(CASE WHEN label = 0 AND fe_7 < 70 THEN 1 ELSE 0 END) AS DOUBLE)
              / nullif(sum(CASE WHEN label = 0 THEN 1 ELSE 0 END), 0)) / 2 AS auc
         FROM split WHERE fe_7 IS NOT NULL GROUP BY split""",
+    "model_registry": f"""WITH {_SPLIT}
+        SELECT 'credit_model_{TRAIN_DATE:%Y_%m_%d}' AS model_version, '{",".join(_FE)}' AS features,
+               {_TRAIN} AS train_date, {_START} AS train_test_start,
+               CAST({_OOT_START} - INTERVAL 1 DAY AS DATE) AS train_test_end,
+               {_OOT_START} AS oot_start, CAST({_TRAIN} - INTERVAL 1 DAY AS DATE) AS oot_end,
+               0.8E0 AS train_test_ratio, {_per_split("count(*)", "n")},
+               {_per_split("round_even(avg(label), 2)", "event_rate")},
+               9 AS n_params, 1 AS gini_follows_auc""",
+    "model_reload": f"""WITH {_SPLIT}
+        SELECT split, count(*) AS n, 1 AS equal FROM split WHERE split = 'oot' GROUP BY split""",
     "prediction_store": _features(f"""
         SELECT Customer_ID, snapshot_date,
-               'credit_model_{TRAIN_DATE:%Y_%m_%d}.pkl' AS model_name, true AS is_probability
+               'credit_model_{TRAIN_DATE:%Y_%m_%d}.pkl' AS model_name, 1 AS is_probability
         FROM features WHERE {_POINT}"""),
     "score_backfill": _features(f"""
         SELECT snapshot_date, count(*) AS n, count(*) AS n_probabilities

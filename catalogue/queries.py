@@ -296,12 +296,29 @@ def eval_report(spark, sf_dir):
 
 
 def model_registry(spark, sf_dir):
-    return store(spark, sf_dir).run.registry
+    row = store(spark, sf_dir).run.registry
+    checked = [
+        F.col(f"results.gini_{name}").eqNullSafe(metrics.gini(F.col(f"results.auc_{name}")))
+        for name in ("train", "test", "oot")
+    ]
+    return row.select(
+        "model_version",
+        F.array_join("features", ",").alias("features"),
+        "data_dates.*",
+        "data_stats.*",
+        F.size("hp_params").alias("n_params"),
+        (checked[0] & checked[1] & checked[2]).cast("int").alias("gini_follows_auc"),
+    )
 
 
 def model_reload(spark, sf_dir):
     mart = store(spark, sf_dir)
-    return training.reload_check(spark, mart.bank, mart.run)
+    check = training.reload_check(spark, mart.bank, mart.run)
+    oot = mart.run.training_set.where(F.col("split") == "oot")
+    rows = oot.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return check.join(F.broadcast(rows), "split").select(
+        "split", "n", F.col("equal").cast("int").alias("equal")
+    )
 
 
 def batch_score(spark, sf_dir):
@@ -328,12 +345,12 @@ def score_backfill(spark, sf_dir):
         mart.folder("score_backfill"), MONTHS,
     )
     return scored.groupBy("snapshot_date").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(is_probability()).alias("n_probabilities")
+        F.count(F.lit(1)).alias("n"), F.sum(is_probability()).alias("n_probabilities")
     )
 
 
 def is_probability() -> Column:
-    return F.col("model_predictions").between(0, 1)
+    return F.col("model_predictions").between(0, 1).cast("int")
 
 
 QUERIES: dict[str, Query] = {
