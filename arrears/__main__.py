@@ -22,6 +22,8 @@ def parser() -> argparse.ArgumentParser:
     main = argparse.ArgumentParser(prog="arrears", description=__doc__)
     main.add_argument("--mart", default=Layout.mart, help="data mart folder")
     main.add_argument("--bank", default=Layout.bank, help="model bank folder")
+    main.add_argument("--bronze-format", default="csv", choices=["csv", "parquet"])
+    main.add_argument("--features-format", default="csv", choices=["csv", "parquet"])
     jobs = main.add_subparsers(dest="job", required=True)
 
     bronze = jobs.add_parser("bronze", help="load one month of the loan feed")
@@ -56,12 +58,13 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     layout = Layout(args.mart, args.bank)
     spark = build_session()
+    bronze = args.bronze_format
     if args.job == "bronze":
-        datamart.build_bronze(spark, args.loans, layout.bronze, [args.snapshotdate])
+        datamart.build_bronze(spark, args.loans, layout.bronze, [args.snapshotdate], fmt=bronze)
     elif args.job == "backfill":
         months = month_list(args.start, args.end)
-        datamart.build_bronze(spark, args.loans, layout.bronze, months)
-        datamart.build_silver(spark, layout.bronze, layout.silver, months)
+        datamart.build_bronze(spark, args.loans, layout.bronze, months, fmt=bronze)
+        datamart.build_silver(spark, layout.bronze, layout.silver, months, fmt=bronze)
         datamart.build_labels(spark, layout.silver, layout.labels, months, args.dpd, args.mob)
     elif args.job == "vintage":
         vintage_report(spark, layout.silver, args.before, args.dpd).show(100)
@@ -69,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
         run = training.train(
             spark,
             datamart.read_labels(spark, layout.labels),
-            read_features(spark, args.features),
+            read_features(spark, args.features, args.features_format),
             args.snapshotdate,
             layout.bank,
             n_iter=args.candidates,
@@ -78,7 +81,7 @@ def main(argv: list[str] | None = None) -> None:
         training.reload_check(spark, layout.bank, run).show()
     else:
         months = month_list(args.snapshotdate, args.end) if args.end else [args.snapshotdate]
-        features = read_features(spark, args.features)
+        features = read_features(spark, args.features, args.features_format)
         scoring.score(
             spark, features, layout.bank, args.modelname, layout.predictions, months
         ).show()

@@ -13,7 +13,7 @@ from arrears.operators.labels import label_loans
 from arrears.operators.silver import silver_loans
 from arrears.schemas import LABEL_TYPES, SILVER_TYPES, SNAPSHOT
 from arrears.sources.sinks import overwrite_months
-from arrears.sources.tables import in_months, read_csv, read_months
+from arrears.sources.tables import in_months, read_csv, read_feed, read_months
 
 Months = Iterable[date | str]
 
@@ -31,12 +31,17 @@ def build_bronze(
     months: Months,
     infer: bool = False,
     date_format: str | None = None,
+    fmt: str = "csv",
 ) -> DataFrame:
-    """Copy the given months of the raw feed, unchanged, into the bronze table."""
+    """Copy the given months of the raw CSV feed, unchanged, into the bronze table.
+
+    The table is CSV like the feed; as parquet it takes less room and later
+    reads fetch only the columns they use.
+    """
     months = list(months)
     rows = snapshots(read_csv(spark, raw_path, infer), months, date_format)
-    overwrite_months(rows, bronze_path, months, fmt="csv")
-    return read_bronze(spark, bronze_path, months, columns=rows.columns)
+    overwrite_months(rows, bronze_path, months, fmt)
+    return read_bronze(spark, bronze_path, months, columns=rows.columns, fmt=fmt)
 
 
 def read_bronze(
@@ -45,9 +50,10 @@ def read_bronze(
     months: Months | None = None,
     columns: list[str] | None = None,
     infer: bool = False,
+    fmt: str = "csv",
 ) -> DataFrame:
     """Bronze rows, as text unless inferred; only the partitions of ``months`` are read."""
-    df = read_csv(spark, bronze_path, infer).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
+    df = read_feed(spark, bronze_path, fmt, infer).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
     df = df.select(*columns) if columns else df
     return df if months is None else df.where(in_months(months))
 
@@ -59,10 +65,12 @@ def build_silver(
     months: Months,
     infer: bool = False,
     date_format: str | None = None,
+    fmt: str = "csv",
 ) -> DataFrame:
     """Silver table of the given months. Bronze files are already laid out by month."""
     months = list(months)
-    rows = silver_loans(read_bronze(spark, bronze_path, months, infer=infer), date_format)
+    bronze = read_bronze(spark, bronze_path, months, infer=infer, fmt=fmt)
+    rows = silver_loans(bronze, date_format)
     overwrite_months(rows, silver_path, months, rebalance=False)
     return read_silver(spark, silver_path).where(in_months(months))
 

@@ -29,9 +29,16 @@ def read_months(spark: SparkSession, path: str, types: dict[str, str]) -> DataFr
     return spark.read.schema(ddl(types)).parquet(path).select(*types)
 
 
-def read_features(spark: SparkSession, path: str, date_format: str | None = None) -> DataFrame:
+def read_feed(spark: SparkSession, path: str, fmt: str = "csv", infer: bool = False) -> DataFrame:
+    """A feed as CSV or in a format that carries its own types, such as parquet."""
+    return read_csv(spark, path, infer) if fmt == "csv" else spark.read.format(fmt).load(path)
+
+
+def read_features(
+    spark: SparkSession, path: str, fmt: str = "csv", date_format: str | None = None
+) -> DataFrame:
     """Feature feed: customer, month and every ``fe_`` column as double."""
-    return conform_features(read_csv(spark, path), date_format)
+    return conform_features(read_feed(spark, path, fmt), date_format)
 
 
 def conform_features(df: DataFrame, date_format: str | None = None) -> DataFrame:

@@ -164,6 +164,17 @@ def test_inferred_types_fill_other_numbers_too(spark, tmp_path):
         assert [row.visits for row in table.orderBy("loan_id").collect()] == want
 
 
+def test_parquet_bronze_gives_the_same_silver(spark, mart, tmp_path):
+    raw, bronze, silver, _ = mart
+    datamart.build_bronze(spark, raw, bronze, MONTHS)
+    want = rows(datamart.build_silver(spark, bronze, silver, MONTHS))
+    b2, s2 = str(tmp_path / "b2"), str(tmp_path / "s2")
+    datamart.build_bronze(spark, raw, b2, MONTHS, fmt="parquet")
+    assert rows(datamart.build_silver(spark, b2, s2, MONTHS, fmt="parquet")) == want
+    table = datamart.read_bronze(spark, b2, MONTHS, fmt="parquet")
+    assert table.where("Customer_ID = '007'").first().branch == "a, b"
+
+
 def test_swapped_header_fails_instead_of_mixing_columns(spark, tmp_path):
     for name, header, line in (("a", "x,y", "1,2"), ("b", "y,x", "2,1")):
         (tmp_path / f"{name}.csv").write_text(f"{header}\n{line}\n")
@@ -175,9 +186,11 @@ def test_feature_feed(spark, tmp_path):
     (tmp_path / "f.csv").write_text(
         "snapshot_date,Customer_ID,fe_1,note,fe_2\n2023-01-01,007,1,hello,2.5\n2023-02-01,8,,x,bad\n"
     )
-    df = read_features(spark, str(tmp_path))
+    df = read_features(spark, str(tmp_path / "f.csv"))
     assert df.dtypes == [("snapshot_date", "date"), ("Customer_ID", "string"), ("fe_1", "double"),
                          ("note", "string"), ("fe_2", "double")]
+    df.write.parquet(str(tmp_path / "parquet"))
+    assert rows(read_features(spark, str(tmp_path / "parquet"), "parquet")) == rows(df)
     assert rows(df) == [
         (date(2023, 1, 1), "007", 1.0, "hello", 2.5), (date(2023, 2, 1), "8", None, "x", None)
     ]
