@@ -133,6 +133,7 @@ def train(
         matrix = stage.transform(matrix)
     matrix = matrix.select("features", "label", "fold").persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        matrix.count()  # fills the cache once, before the fits start side by side
         search = random_search(matrix, draw_candidates(n_iter, space), folds, parallelism)
     finally:
         matrix.unpersist()
