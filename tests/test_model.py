@@ -32,7 +32,7 @@ def test_candidates_are_drawn_without_repeats():
     assert len(model.draw_candidates(5000)) == 1728 == math.prod(map(len, model.SEARCH_SPACE.values()))
 
 
-def test_candidates_map_to_spark_parameters():
+def test_candidates_map_to_spark_parameters(spark):
     settings = {tuple(model.spark_params(c).items()) for c in model.draw_candidates(5000)}
     assert len(settings) == 192
     gbt = model.classifier(model.draw_candidates(1)[0])
