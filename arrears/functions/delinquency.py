@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from arrears.schemas import quoted
+
 # The default label is 30 days past due at 6 months on book.
 LABEL_DPD = 30
 LABEL_MOB = 6
@@ -18,7 +20,7 @@ def conform(column: str, kind: str, date_format: str | None = None) -> Column:
 
     Numbers pass through double, so the text ``6.0`` is a valid integer.
     """
-    value = F.col(column)
+    value = F.col(quoted(column))
     if kind == "date" and date_format:
         return F.try_to_date(value, date_format)
     if kind in ("int", "float"):

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from arrears.operators.metrics import hard_auc
 from arrears.operators.scaling import Scaler
+from arrears.schemas import quoted
 
 # Model seed, search seed, candidates and folds of the search.
 MODEL_SEED = 88
@@ -88,21 +89,27 @@ def preparation(scaler: Scaler) -> list[Transformer]:
     Scaled features keep missing values out of the trees: a missing one sits at
     the train mean and raises a flag of its own.
     """
-    names = list(scaler.mean)
     terms = []
-    for name in names:
-        missing = f"(`{name}` IS NULL OR isnan(CAST(`{name}` AS DOUBLE)))"
+    for i, name in enumerate(scaler.mean):
+        value = f"CAST({quoted(name)} AS DOUBLE)"
+        missing = f"({value} IS NULL OR isnan({value}))"
         mean, scale = scaler.mean[name], scaler.scale[name]
-        scaled = "0D" if mean is None else f"(CAST(`{name}` AS DOUBLE) - {mean!r}D) / {scale!r}D"
-        terms.append(f"CASE WHEN {missing} THEN 0D ELSE {scaled} END AS `z_{name}`")
-        terms.append(f"CASE WHEN {missing} THEN 1D ELSE 0D END AS `missing_{name}`")
-    inputs = [f"z_{name}" for name in names] + [f"missing_{name}" for name in names]
+        scaled = "0D" if mean is None else f"({value} - {mean!r}D) / {scale!r}D"
+        terms.append(f"CASE WHEN {missing} THEN 0D ELSE {scaled} END AS z_{i}")
+        terms.append(f"CASE WHEN {missing} THEN 1D ELSE 0D END AS missing_{i}")
+    count = range(len(scaler.mean))
+    inputs = [f"z_{i}" for i in count] + [f"missing_{i}" for i in count]
     return [
         SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__"),
         VectorAssembler(inputCols=inputs, outputCol="features"),
     ]
 
 
+def input_names(scaler: Scaler) -> list[str]:
+    """What each element of the model's vector stands for."""
+    return [*scaler.mean, *[f"{name} missing" for name in scaler.mean]]
+
+
 def probability() -> Column:
     """Probability of class 1 in a transformed frame."""
     return vector_to_array("probability")[1]

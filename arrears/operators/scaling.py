@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arrears.schemas import quoted
+
 
 def fit_scaler(df: DataFrame, columns: list[str]) -> DataFrame:
     """Mean, scale and count of each column, in one pass over the rows.
@@ -57,5 +59,5 @@ class Scaler:
 
 
 def _present(name: str) -> Column:
-    value = F.col(name).cast("double")
+    value = F.col(quoted(name)).cast("double")
     return F.when(~F.isnan(value), value)

@@ -11,7 +11,7 @@ from arrears.functions.delinquency import (
     first_missed_date,
     installments_missed,
 )
-from arrears.schemas import LOAN_TYPES, SILVER_TYPES
+from arrears.schemas import LOAN_TYPES, SILVER_TYPES, quoted
 
 
 def conform_loans(df: DataFrame, date_format: str | None = None) -> DataFrame:
@@ -48,4 +48,4 @@ def silver_loans(df: DataFrame, date_format: str | None = None) -> DataFrame:
 
 
 def _others(df: DataFrame) -> list[str]:
-    return [name for name in df.columns if name not in SILVER_TYPES]
+    return [quoted(name) for name in df.columns if name not in SILVER_TYPES]

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from arrears.schemas import ddl
+from arrears.schemas import ddl, quoted
 
 # Train share, seed of the split.
 TRAIN_RATIO = 0.8
@@ -103,7 +103,7 @@ class StratifiedCuts:
                 F.col(self.label) == value, cuts + F.lit(self.folds - len(keys))
             ).otherwise(passed)
         hashed = df.withColumn("_hash", _md5(self.key, self.seed))
-        return hashed.select(*df.columns, passed.alias(part))
+        return hashed.select(*map(quoted, df.columns), passed.alias(part))
 
     def _after(self, df: DataFrame, rank_key: tuple[str, str, int]) -> Column:
         """Whether a row comes after a rank key; most rows differ in the hash already."""
@@ -127,7 +127,7 @@ def stratified_split(df: DataFrame, folds: int = 1, **options) -> DataFrame:
     train = inside & (F.col("_part") < folds)
     split = F.when(F.col("segment") == "oot", "oot").when(train, "train").when(inside, "test")
     return cuts.place(df, "_part").select(
-        *df.columns, split.alias("split"), F.when(train, F.col("_part")).alias("fold")
+        *map(quoted, df.columns), split.alias("split"), F.when(train, F.col("_part")).alias("fold")
     )
 
 
@@ -211,4 +211,4 @@ def _text(key: str) -> Column:
 
 
 def _row_hash(df: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(name) for name in df.columns])
+    return F.xxhash64(*map(quoted, df.columns))

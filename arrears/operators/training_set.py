@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrears.functions.dates import TrainingCalendar
-from arrears.schemas import SNAPSHOT, feature_columns
+from arrears.schemas import SNAPSHOT, feature_columns, quoted
 from arrears.sources.tables import between_days
 
 JOIN_KEYS = ["Customer_ID", SNAPSHOT]
@@ -48,9 +48,8 @@ def segment(cal: TrainingCalendar) -> Column:
 
 def training_matrix(df: DataFrame, *keep: str) -> DataFrame:
     """Features and the label as double, with the columns to ``keep`` in front."""
-    return df.select(
-        *keep, F.col("label").cast("double").alias("label"), *feature_columns(df.columns)
-    )
+    features = map(quoted, feature_columns(df.columns))
+    return df.select(*keep, F.col("label").cast("double").alias("label"), *features)
 
 
 def split_stats(df: DataFrame) -> DataFrame:

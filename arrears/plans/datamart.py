@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from arrears.functions.delinquency import LABEL_DPD, LABEL_MOB, conform
 from arrears.operators.labels import label_loans
 from arrears.operators.silver import silver_loans
-from arrears.schemas import LABEL_TYPES, SILVER_TYPES, SNAPSHOT
+from arrears.schemas import LABEL_TYPES, SILVER_TYPES, SNAPSHOT, quoted
 from arrears.sources.sinks import overwrite_months
 from arrears.sources.tables import in_months, read_csv, read_feed, read_months
 
@@ -54,7 +54,7 @@ def read_bronze(
 ) -> DataFrame:
     """Bronze rows, as text unless inferred; only the partitions of ``months`` are read."""
     df = read_feed(spark, bronze_path, fmt, infer).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
-    df = df.select(*columns) if columns else df
+    df = df.select(*map(quoted, columns)) if columns else df
     return df if months is None else df.where(in_months(months))
 
 

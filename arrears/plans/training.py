@@ -18,6 +18,7 @@ from arrears.operators.model import (
     SearchResult,
     draw_candidates,
     fitted_pipeline,
+    input_names,
     preparation,
     probability,
     random_search,
@@ -162,7 +163,7 @@ def search_table(spark: SparkSession, search: SearchResult) -> DataFrame:
 
 def importance_table(spark: SparkSession, run: TrainingRun) -> DataFrame:
     """One row per input of the model with its importance."""
-    names = run.pipeline.stages[-2].getInputCols()
+    names = input_names(run.scaler)
     weights = run.search.model.featureImportances.toArray()
     return spark.createDataFrame(
         [(name, float(weight)) for name, weight in zip(names, weights, strict=True)],

@@ -52,6 +52,11 @@ def ddl(types: dict[str, str]) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in types.items())
 
 
+def quoted(name: str) -> str:
+    """Column name as it must be written where a dot would mean a field."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def feature_columns(columns: list[str]) -> list[str]:
     """Feature columns, found by their prefix, in table order."""
     return [name for name in columns if name.startswith(FEATURE_PREFIX)]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from arrears.functions.dates import to_day
 from arrears.functions.delinquency import conform
-from arrears.schemas import SNAPSHOT, ddl, feature_columns
+from arrears.schemas import SNAPSHOT, ddl, feature_columns, quoted
 
 
 def read_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
@@ -46,7 +46,7 @@ def conform_features(df: DataFrame, date_format: str | None = None) -> DataFrame
     kinds = {"Customer_ID": "string", SNAPSHOT: "date"}
     kinds |= {name: "double" for name in feature_columns(df.columns)}
     return df.select(*[
-        conform(name, kinds[name], date_format).alias(name) if name in kinds else F.col(name)
+        conform(name, kinds[name], date_format).alias(name) if name in kinds else quoted(name)
         for name in df.columns
     ])
 

@@ -10,7 +10,10 @@ import __spark_entry__ as driver
 from arrears.__main__ import parser
 from arrears.operators import model
 from arrears.operators.scaling import Scaler
+from arrears.operators.split import stratified_split
+from arrears.operators.training_set import join_features
 from arrears.plans import registry, scoring, training
+from arrears.sources.tables import read_features
 from catalogue.fixtures import MONTHS, POINT
 from catalogue.queries import VERSION
 from catalogue.store import store
@@ -50,6 +53,25 @@ def test_preparation_handles_missing_values(spark):
     assert got == [(-1.0, 0.0, 0.0, 1.0), (0.0, 0.0, 1.0, 0.0), (0.0, 0.0, 1.0, 1.0), (1.0, 0.0, 0.0, 1.0)]
 
 
+def test_column_names_may_hold_dots(spark, tmp_path):
+    (tmp_path / "f.csv").write_text(
+        "Customer_ID,snapshot_date,fe_a.b,home.city\n1,2023-01-01,1.5,x\n2,2023-01-01,,y\n"
+    )
+    features = read_features(spark, str(tmp_path / "f.csv"))
+    assert features.columns == ["Customer_ID", "snapshot_date", "fe_a.b", "home.city"]
+    labels = features.selectExpr(
+        "Customer_ID AS loan_id", "Customer_ID", "0 AS label", "'x' AS label_def", "snapshot_date")
+    rows = join_features(labels, features).withColumn("segment", F.lit("train_test"))
+    split = stratified_split(rows)
+    scaler = Scaler.fit(split, ["fe_a.b"])
+    matrix = training.training_matrix(split, "loan_id")
+    for stage in model.preparation(scaler):
+        matrix = stage.transform(matrix)
+    vectors = sorted(tuple(row.features.toArray()) for row in matrix.collect())
+    assert vectors == [(0.0, 0.0), (0.0, 1.0)]
+    assert model.input_names(scaler) == ["fe_a.b", "fe_a.b missing"]
+
+
 def test_search_reports_every_candidate_once_and_picks_the_best(spark, mart):
     table = training.search_table(spark, mart.run.search).collect()
     assert [row.candidate for row in table] == list(range(len(table)))

@@ -80,10 +80,10 @@ def test_types_and_order(raw):
 
 
 def test_extra_columns_pass_through(raw):
-    extra = {"branch": F.lit("x"), "score": F.lit(None).cast("int")}
+    extra = {"home.branch": F.lit("x"), "score": F.lit(None).cast("int")}
     df = silver_loans(raw.withColumns(extra))
-    assert df.columns == [*SILVER_TYPES, "branch", "score"]
-    assert set(df.select("branch", "score").distinct().collect()) == {("x", 0)}
+    assert df.columns == [*SILVER_TYPES, "home.branch", "score"]
+    assert set(df.select("`home.branch`", "score").distinct().collect()) == {("x", 0)}
 
 
 def test_other_date_formats(spark):
