@@ -27,6 +27,22 @@ per_item AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN per_word USING (r) LEFT JOIN per_item USING (r)""",
+    "op2_jaccard_join": f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, {_WORDS} AS w FROM documents),
+grams AS MATERIALIZED (
+  SELECT DISTINCT r, array_to_string(w[p:p + least(5, len(w)) - 1], ' ') AS g
+  FROM d, unnest(range(1, greatest(2, len(w) - 3))) AS u(p) WHERE len(w) > 0),
+sizes AS (SELECT r, count(*) AS n FROM grams GROUP BY r),
+shared AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM grams a JOIN grams b USING (g) WHERE a.r <> b.r GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT x, y FROM shared JOIN sizes sx ON sx.r = x JOIN sizes sy ON sy.r = y WHERE 5 * c >= 4 * (sx.n + sy.n - c)),
+reach AS (SELECT r, r AS o FROM d UNION SELECT reach.r, y FROM reach JOIN links ON x = o),
+classes AS (SELECT r, min(o) AS c FROM reach GROUP BY r),
+partners AS (SELECT x AS r, count(*) AS n FROM links GROUP BY x)
+SELECT d.doc_id, first_value(d.doc_id) OVER best AS class_id, count(*) OVER (PARTITION BY c) AS class_size,
+  coalesce(n, 0) AS n_links, row_number() OVER best = 1 AS kept
+FROM d JOIN classes USING (r) LEFT JOIN partners USING (r)
+WINDOW best AS (PARTITION BY c ORDER BY d.doc_id)""",
     "op9_exact_dedup": """
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import decontaminate, exact_dedup, quality
+from arrears.llm import decontaminate, exact_dedup, jaccard_join, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = jaccard_join.jaccard_classes(_table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "class_size", "n_links", "kept")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -40,6 +45,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_jaccard_join": op2_jaccard_join,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality": op10_quality,
 }
