@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import decontaminate, exact_dedup, jaccard_join, quality
+from arrears.llm import decontaminate, exact_dedup, jaccard_join, packing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,12 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "class_size", "n_links", "kept")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -46,6 +53,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard_join": op2_jaccard_join,
+    "op4_packing": op4_packing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality": op10_quality,
 }

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 1 << 20
+BLOCK = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -95,6 +95,11 @@ def find_words(texts: pa.Array, table: np.ndarray = WORDS) -> Words:
     start[edges] = inside[edges]
     end[edges - 1] = inside[edges - 1]
     starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
+    return Words(hash_runs(low, starts, ends), starts, ends, np.searchsorted(starts, offsets), low)
+
+
+def hash_runs(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each run of bytes; runs are in order and do not overlap."""
     hashes = np.empty(len(starts), np.uint64)
     a = 0
     while a < len(starts):
@@ -103,11 +108,11 @@ def find_words(texts: pa.Array, table: np.ndarray = WORDS) -> Words:
         power, inverse = _power_tables(int(stop - origin))
         block = low[origin:stop]
         sums = np.zeros(len(block) + 1, np.uint64)
-        np.cumsum(np.where(block != 0, _VALUES[block], np.uint64(0)) * power[: len(block)], out=sums[1:])
+        np.cumsum(_VALUES[block] * power[: len(block)], out=sums[1:])
         s = starts[a:b] - origin
         hashes[a:b] = (sums[ends[a:b] - origin] - sums[s]) * inverse[s]
         a = b
-    return Words(mix(hashes), starts, ends, np.searchsorted(starts, offsets), low)
+    return mix(hashes)
 
 
 def grams(words: np.ndarray, k: int) -> np.ndarray:
