@@ -26,6 +26,9 @@ from arrears.llm.tables import column, text_column
 HOT_SHARES = 4096
 HOT_ROWS = 64
 
+#: Characters of a text that splitters are made of.
+HEAD = 32
+
 #: Fixed value: the characters that normalising deletes.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -57,9 +60,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         .withColumn("slice", F.pmod(F.xxhash64("doc_id", "points"), n_slices))
         .drop("hot_sha")
     )
-    run = Window.partitionBy("norm", "slice")
+    # Splitters are sampled from beginnings, as whole texts would swell the sample; the hash parts texts that begin
+    # alike. Equal texts agree in all of it, and the sort and the comparison take the whole text.
+    sliced = sliced.withColumn("head", F.substring("norm", 1, HEAD))
+    run = Window.partitionBy("head", "text_sha256", "norm", "slice")
     first = run.orderBy(F.desc("points"), F.asc_nulls_last("doc_id"))
-    placed = sliced.repartitionByRange("norm", "slice").select(
+    placed = sliced.repartitionByRange("head", "text_sha256", "slice").select(
         "*",
         F.row_number().over(first).alias("place"),
         F.first("doc_id").over(first).alias("first_id"),
