@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arrears.llm.tables import column, ship, text_column, written
 from arrears.llm.words import byte_table, bytes_of, hash_runs, slices
@@ -300,5 +301,5 @@ def _placed(spark: SparkSession, ranked: DataFrame, places: list[tuple[int, int,
                 names=[*batch.schema.names, "sequence_id", "offset"],
             )
 
-    schema = ranked.schema.add("sequence_id", "long").add("offset", "long")
-    return ranked.mapInArrow(place, schema)
+    added = [T.StructField(c, T.LongType()) for c in ("sequence_id", "offset")]
+    return ranked.mapInArrow(place, T.StructType([*ranked.schema.fields, *added]))
