@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import decontaminate, exact_dedup, jaccard_join, packing, quality
+from arrears.llm import decontaminate, exact_dedup, jaccard_join, maxent, packing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,17 +34,26 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _remainder(doc_id: str, divisor: int) -> Column:
+    """crc32 of the id as text, modulo ``divisor``."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(divisor))
+
+
+def op6_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.language_scores(_table(spark, sf_dir, "documents"), _remainder("doc_id", 10) == 0)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    learnt = labels.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0)
+    learnt = labels.where(_remainder("doc_id", 5) != 0)
     model = quality.fit(docs, learnt)
     return quality.scored(docs.select("doc_id", "text"), model).select(
         "doc_id",
-        (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0).alias("held_out"),
+        (_remainder("doc_id", 5) == 0).alias("held_out"),
         "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
     )
@@ -54,6 +63,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard_join": op2_jaccard_join,
     "op4_packing": op4_packing,
+    "op6_maxent": op6_maxent,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality": op10_quality,
 }

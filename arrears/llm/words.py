@@ -1,7 +1,8 @@
 """Words of many texts at once, as 64-bit hashes, found on the UTF-8 bytes with numpy.
 
 A tokenisation is a table over the 256 byte values: 0 ends a word, any other
-value is the byte that counts (so A-Z can stand for a-z). The hash of a word is
+value is the byte that counts (so A-Z can stand for a-z, and 255, which UTF-8
+does not use, for NUL). The hash of a word is
 a polynomial over its bytes, taken from one running sum per block of text.
 """
 
@@ -25,13 +26,13 @@ def byte_table(is_word) -> np.ndarray:
     for b in range(256):
         low = b + 32 if 65 <= b <= 90 else b
         if is_word(low):
-            table[b] = low
+            table[b] = low or 255
     return table
 
 
 #: Letters, digits and every byte of a non-ASCII character.
 WORDS = byte_table(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
-#: Everything but white space and NUL, which cannot be told from the end mark.
+#: Everything but white space.
 CHUNKS = byte_table(lambda b: b != 32 and not 9 <= b <= 13)
 
 
