@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.llm import decontaminate, exact_dedup, jaccard_join, maxent, packing, quality
+from arrears.session import work_dir
+from arrears.llm import decontaminate, exact_dedup, jaccard_join, maxent, packing, quality, secrets, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +31,11 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "class_size", "n_links", "kept")
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_filter.judged(_table(spark, sf_dir, "pages").select("page_id", "url"))
+    return found.select("page.page_id", "host", "path", "rule", "verdict")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False
@@ -43,6 +51,26 @@ def op6_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.language_scores(_table(spark, sf_dir, "documents"), _remainder("doc_id", 10) == 0)
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan_versions(docs, f"{work_dir(spark)}/llm/ledger-{uuid.uuid4().hex}")
+    base = [rule.kind for rule in secrets.BASE]
+    return found.select(
+        "version.doc_id",
+        *(F.size(_of_kinds([kind])).cast("long").alias(f"n_{kind}") for kind in base),
+        F.sha2(_joined(_of_kinds(base)), 256).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
+    )
+
+
+def _of_kinds(kinds: list[str]) -> Column:
+    return F.filter("spans", lambda s: s["kind"].isin(kinds))
+
+
+def _joined(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -62,8 +90,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_url_filter": op3_url_filter,
     "op4_packing": op4_packing,
     "op6_maxent": op6_maxent,
+    "op7_secrets": op7_secrets,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality": op10_quality,
 }
