@@ -43,6 +43,15 @@ SELECT d.doc_id, first_value(d.doc_id) OVER best AS class_id, count(*) OVER (PAR
   coalesce(n, 0) AS n_links, row_number() OVER best = 1 AS kept
 FROM d JOIN classes USING (r) LEFT JOIN partners USING (r)
 WINDOW best AS (PARTITION BY c ORDER BY d.doc_id)""",
+    "op8_warc": """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest, sha256(coalesce(html, '')) AS content
+  FROM pages),
+m AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY content) END AS best FROM p)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN best <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN best <> page_id THEN best END AS refers_to
+FROM m""",
     "op9_exact_dedup": """
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm

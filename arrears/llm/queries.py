@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.session import work_dir
-from arrears.llm import decontaminate, exact_dedup, jaccard_join, maxent, packing, quality, secrets, url_filter
+from arrears.llm import decontaminate, exact_dedup, jaccard_join, maxent, packing, quality, secrets, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,18 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = f"{work_dir(spark)}/llm/archives-{uuid.uuid4().hex}"
+    warc.write_archives(_table(spark, sf_dir, "pages"), archives)
+    return warc.capture_index(spark, archives).select(
+        warc.id_of(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.id_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -94,6 +106,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op6_maxent": op6_maxent,
     "op7_secrets": op7_secrets,
+    "op8_warc": op8_warc,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality": op10_quality,
 }
