@@ -43,6 +43,18 @@ SELECT d.doc_id, first_value(d.doc_id) OVER best AS class_id, count(*) OVER (PAR
   coalesce(n, 0) AS n_links, row_number() OVER best = 1 AS kept
 FROM d JOIN classes USING (r) LEFT JOIN partners USING (r)
 WINDOW best AS (PARTITION BY c ORDER BY d.doc_id)""",
+    "op5_chat": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+c AS (
+  SELECT *, len(regexp_extract_all(role || text, '\\|<\|\w{1,40}\|>|</?s>|<</?SYS>>|\[/?INST\]')) AS n FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(role) + length(text) + n + 24) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id""",
     "op8_warc": """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest, sha256(coalesce(html, '')) AS content

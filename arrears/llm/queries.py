@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.session import work_dir
-from arrears.llm import decontaminate, exact_dedup, jaccard_join, maxent, packing, quality, secrets, url_filter, warc
+from arrears.llm import chat, decontaminate, exact_dedup, jaccard_join, maxent, packing, quality, secrets, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,26 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    # Fixed value: the conversation that the contract adds.
+    said = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], table.schema)
+    made = chat.formatted(chat.turns_of_rows(table.union(added)))
+    read = made.select(
+        "conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("pieces")).alias("loss")
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def _remainder(doc_id: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(divisor))
@@ -104,6 +124,7 @@ QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_url_filter": op3_url_filter,
     "op4_packing": op4_packing,
+    "op5_chat": op5_chat,
     "op6_maxent": op6_maxent,
     "op7_secrets": op7_secrets,
     "op8_warc": op8_warc,
