@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -11,12 +9,12 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
 }
 
-_local_dirs: dict[str, str] = {}
-
 
 def build_session(app: str = "arrears", master: str | None = None, **conf: str) -> SparkSession:
     """Session with this library's defaults; ``conf`` keys use ``__`` for dots."""
@@ -30,20 +28,18 @@ def build_session(app: str = "arrears", master: str | None = None, **conf: str)
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or else a folder in the warehouse.
 
-    Only a local master may run without the setting; it then gets one
-    temporary folder per application.
+    On a cluster a warehouse on a local disk will not do.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not context.master.startswith("local"):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        one_machine = context.master.partition("[")[0] == "local"
+        if not one_machine and warehouse.startswith(("file:", "/")):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        app = context.applicationId
-        if app not in _local_dirs:
-            _local_dirs[app] = tempfile.mkdtemp(prefix="arrears-")
-        root = _local_dirs[app]
+        root = warehouse.rstrip("/") + "/arrears-work"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(f"{root}/checkpoints")
     return root
