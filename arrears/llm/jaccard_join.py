@@ -147,14 +147,18 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
 
 
 def _in_units(members: DataFrame, key: str, n_blocks: str) -> DataFrame:
-    """Members copied to every unit of their group: one for each pair of its blocks, with the member's own block."""
+    """Members copied to every unit of their group: one for each pair of its blocks, with the member's own block.
+
+    They come in order of node, so trees are rooted at their smallest node, and
+    units that share members mostly give the same links.
+    """
     return (
         members.withColumn("block", F.pmod(F.xxhash64("node"), F.col(n_blocks)))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(n_blocks) - 1)))
         .withColumn("a", F.least("block", "other"))
         .withColumn("b", F.greatest("block", "other"))
         .repartition(F.col(key), "a", "b")
-        .sortWithinPartitions(key, "a", "b")
+        .sortWithinPartitions(key, "a", "b", "node")
     )
 
 
