@@ -1,9 +1,11 @@
-"""Command line: ``python -m arrears bronze|backfill|vintage|train|score``."""
+"""Command line: ``python -m arrears bronze|backfill|counts|vintage|train|score``."""
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame, SparkSession
+
 from arrears.functions.dates import month_list
 from arrears.functions.delinquency import LABEL_DPD, LABEL_MOB
 from arrears.layout import Layout
@@ -29,22 +31,29 @@ def parser() -> argparse.ArgumentParser:
     bronze = jobs.add_parser("bronze", help="load one month of the loan feed")
     bronze.add_argument("--snapshotdate", required=True, help="YYYY-MM-DD")
     bronze.add_argument("--loans", default=LOAN_FEED)
+    bronze.add_argument("--infer", action="store_true", help="guess the types of the feed's columns")
 
     backfill = jobs.add_parser("backfill", help="build bronze, silver and gold of many months")
     backfill.add_argument("--start", required=True, help="YYYY-MM-DD")
     backfill.add_argument("--end", required=True, help="YYYY-MM-DD")
     backfill.add_argument("--loans", default=LOAN_FEED)
+    backfill.add_argument("--infer", action="store_true", help="guess the types of the feed's columns")
     backfill.add_argument("--dpd", type=int, default=LABEL_DPD)
     backfill.add_argument("--mob", type=int, default=LABEL_MOB)
 
+    counts = jobs.add_parser("counts", help="rows of each layer by month")
+    counts.add_argument("--out", help="folder of the table; below the mart if not given")
+
     vintage = jobs.add_parser("vintage", help="bad rate by month on book")
     vintage.add_argument("--before", required=True, help="loans started before YYYY-MM-DD")
     vintage.add_argument("--dpd", type=int, default=LABEL_DPD)
+    vintage.add_argument("--out", help="folder of the table; below the mart if not given")
 
     train = jobs.add_parser("train", help="search, evaluate and register a model")
     train.add_argument("--snapshotdate", required=True, help="YYYY-MM-DD")
     train.add_argument("--features", default=FEATURE_FEED)
     train.add_argument("--candidates", type=int, default=SEARCH_CANDIDATES)
+    train.add_argument("--parallelism", type=int, default=8, help="fits side by side; each keeps a copy of its rows")
 
     score = jobs.add_parser("score", help="score one month, or all months up to --end")
     score.add_argument("--snapshotdate", required=True, help="YYYY-MM-DD")
@@ -60,14 +69,22 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     bronze = args.bronze_format
     if args.job == "bronze":
-        datamart.build_bronze(spark, args.loans, layout.bronze, [args.snapshotdate], fmt=bronze)
+        datamart.build_bronze(
+            spark, args.loans, layout.bronze, [args.snapshotdate], infer=args.infer, fmt=bronze
+        )
     elif args.job == "backfill":
         months = month_list(args.start, args.end)
-        datamart.build_bronze(spark, args.loans, layout.bronze, months, fmt=bronze)
-        datamart.build_silver(spark, layout.bronze, layout.silver, months, fmt=bronze)
+        datamart.build_bronze(spark, args.loans, layout.bronze, months, infer=args.infer, fmt=bronze)
+        datamart.build_silver(
+            spark, layout.bronze, layout.silver, months, infer=args.infer, fmt=bronze
+        )
         datamart.build_labels(spark, layout.silver, layout.labels, months, args.dpd, args.mob)
+        report(counts_of(spark, layout, bronze), layout.report("counts"))
+    elif args.job == "counts":
+        report(counts_of(spark, layout, bronze), args.out or layout.report("counts"))
     elif args.job == "vintage":
-        vintage_report(spark, layout.silver, args.before, args.dpd).show(100)
+        curve = vintage_report(spark, layout.silver, args.before, args.dpd)
+        report(curve, args.out or layout.report("vintage"))
     elif args.job == "train":
         run = training.train(
             spark,
@@ -76,6 +93,7 @@ def main(argv: list[str] | None = None) -> None:
             args.snapshotdate,
             layout.bank,
             n_iter=args.candidates,
+            parallelism=args.parallelism,
         )
         run.report.show()
         training.reload_check(spark, layout.bank, run).show()
@@ -87,5 +105,20 @@ def main(argv: list[str] | None = None) -> None:
         ).show()
 
 
+def counts_of(spark: SparkSession, layout: Layout, fmt: str) -> DataFrame:
+    return datamart.layer_counts(
+        bronze=datamart.read_bronze(spark, layout.bronze, fmt=fmt),
+        silver=datamart.read_silver(spark, layout.silver, others=False),
+        gold=datamart.read_labels(spark, layout.labels),
+    ).orderBy("layer", "snapshot_date")
+
+
+def report(df: DataFrame, path: str) -> None:
+    """Write a report whole and show its beginning."""
+    df.write.mode("overwrite").parquet(path)
+    print(f"written to {path}; it begins:")
+    df.sparkSession.read.schema(df.schema).parquet(path).orderBy(*df.columns[:2]).show()
+
+
 if __name__ == "__main__":
     main()

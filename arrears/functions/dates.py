@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import calendar
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,7 +17,9 @@ MODEL_SUFFIX = ".pkl"
 
 
 def to_day(value: date | str) -> date:
-    """Date of a ``yyyy-mm-dd`` text; dates pass through."""
+    """Date of a ``yyyy-mm-dd`` text or of a point in time; dates pass through."""
+    if isinstance(value, datetime):
+        return value.date()
     return date.fromisoformat(value) if isinstance(value, str) else value
 
 

@@ -11,8 +11,8 @@ from arrears.schemas import quoted
 LABEL_DPD = 30
 LABEL_MOB = 6
 
-# Five million years: further back, Spark's date type overflows and fails the job.
-_MOST_MONTHS_BACK = 60_000_000
+#: Counts of days and instalments stop at the ends of their type instead of wrapping round.
+_INT = (-(2**31), 2**31 - 1)
 
 
 def conform(column: str, kind: str, date_format: str | None = None) -> Column:
@@ -29,21 +29,30 @@ def conform(column: str, kind: str, date_format: str | None = None) -> Column:
 
 
 def installments_missed(overdue: Column, due: Column) -> Column:
-    """Number of instalments the overdue amount stands for, rounded up."""
-    return F.ceil(F.try_divide(overdue, due)).try_cast("int")
+    """Number of instalments the overdue amount stands for, rounded up, at most the greatest integer."""
+    return _bounded(F.ceil(F.try_divide(overdue, due)))
 
 
 def first_missed_date(snapshot: Column, missed: Column) -> Column:
-    """Month of the oldest unpaid instalment; NULL when none is missed."""
-    return F.when(missed.between(1, _MOST_MONTHS_BACK), F.add_months(snapshot, -missed))
+    """Month of the oldest unpaid instalment; NULL when none is missed, or before the first date there is."""
+    return F.when(missed > 0, F.try_add(snapshot, F.make_ym_interval(F.lit(0), -missed)))
 
 
-def days_past_due(overdue: Column, snapshot: Column, first_missed: Column) -> Column:
+def days_past_due(overdue: Column, snapshot: Column, missed: Column, first_missed: Column) -> Column:
     """Days since the first missed date; 0 without overdue money.
 
-    NULL when money is overdue but no missed month is known.
+    NULL when money is overdue but no missed month is known. A first missed
+    date before the first date there is counts as the greatest integer, as does
+    any greater number of days: such a loan must not look as if it were paid.
     """
-    return F.when(overdue > 0, F.datediff(snapshot, first_missed)).otherwise(F.lit(0))
+    days = _bounded(F.unix_date(snapshot).cast("bigint") - F.unix_date(first_missed))
+    longest = F.when(snapshot.isNotNull() & (missed > 0), F.lit(_INT[1]))
+    return F.when(overdue > 0, F.coalesce(days, longest)).otherwise(F.lit(0))
+
+
+def _bounded(whole: Column) -> Column:
+    # least and greatest skip NULL, which must stay.
+    return F.when(whole.isNotNull(), F.least(F.greatest(whole, F.lit(_INT[0])), F.lit(_INT[1])).cast("int"))
 
 
 def is_bad(dpd: Column, threshold: int = LABEL_DPD) -> Column:

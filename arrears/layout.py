@@ -23,6 +23,9 @@ class Layout:
     def labels(self) -> str:
         return f"{self.mart}/gold/label_store"
 
+    def report(self, name: str) -> str:
+        return f"{self.mart}/reports/{name}"
+
     @property
     def predictions(self) -> str:
         return f"{self.mart}/gold/model_predictions"

@@ -5,32 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# Ranges of the score axis that are ranked on their own.
+# Least ranges of the score axis that are ranked on their own; more shuffle partitions give more.
 RANGES = 256
 
 
-def auc(df: DataFrame, by: str, score: str, label: str = "label", ranges: int = RANGES) -> DataFrame:
+def auc(df: DataFrame, by: str, score: str, label: str = "label", ranges: int | None = None) -> DataFrame:
     """Exact area under the ROC curve; ties count half, NULL for a single class.
 
     Rows first collapse to one row per distinct score, so ties cost nothing.
     Ranking all scores of a group would be one task per group: the scores are
-    cut into ranges at approximate quantiles, each range is ranked on its own,
+    cut into ranges at approximate quantiles of the distinct scores, so that one
+    score of most rows does not fill a range; each range is ranked on its own,
     and a range beats all negatives of the ranges below it. The cuts only
     balance the work; they do not change the result.
     Rows without a score are left out. ``by`` names a handful of groups, such as
     the splits: their cuts are broadcast.
     """
+    if ranges is None:
+        ranges = max(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if ranges < 2:
         raise ValueError("the score axis needs at least two ranges")
     value = F.col(score).cast("double")
     rows = df.where(value.isNotNull() & ~F.isnan(value)).select(
         by, value.alias("score"), F.col(label).alias("label")
     )
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = rows.groupBy(by).agg(F.percentile_approx("score", steps, ranges * 20).alias("cuts"))
     scores = rows.groupBy(by, "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
+    cuts = score_cuts(scores, by, ranges)
     # One row of at most ``ranges`` numbers per group.
     ranged = scores.join(F.broadcast(cuts), by).select(
         by, "score", "pos", "neg",
@@ -63,6 +65,12 @@ def auc(df: DataFrame, by: str, score: str, label: str = "label", ranges: int =
     )
 
 
+def score_cuts(scores: DataFrame, by: str, ranges: int) -> DataFrame:
+    """Per group, the upper ends of all ranges but the last; ``scores`` has a row for each distinct score."""
+    steps = [i / ranges for i in range(1, ranges)]
+    return scores.groupBy(by).agg(F.percentile_approx("score", steps, ranges * 20).alias("cuts"))
+
+
 def hard_auc(df: DataFrame, by: str, prediction: str, label: str = "label") -> DataFrame:
     """Area under the ROC curve of 0/1 predictions: the mean of both class recalls."""
     hit = F.col(prediction) == F.col(label)

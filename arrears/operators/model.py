@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 import random
 from concurrent.futures import ThreadPoolExecutor
@@ -39,8 +38,11 @@ SEARCH_SPACE = {
     "reg_lambda": [1, 1.5, 2],
 }
 
+#: A row's second derivative of the logistic loss is at most a quarter.
+_ROWS_PER_WEIGHT = 4
+
 # Spark's name of each parameter. The trees of Spark ML have no L1 or L2 penalty
-# on their leaves: reg_alpha and reg_lambda are drawn and recorded, not applied.
+# on their leaves: reg_alpha and reg_lambda are drawn, not applied.
 GBT_PARAMS = {
     "n_estimators": "maxIter",
     "max_depth": "maxDepth",
@@ -61,25 +63,40 @@ def draw_candidates(
 ) -> list[Candidate]:
     """``n`` different combinations of the space, or all when it has fewer."""
     space = SEARCH_SPACE if space is None else space
-    lists = [range(len(values)) for values in space.values()]
-    size = math.prod(map(len, lists))
-    grid = list(itertools.product(*space.values()))
+    size = math.prod(map(len, space.values()))
     picks = random.Random(seed).sample(range(size), min(n, size))
-    return [dict(zip(space, grid[pick], strict=True)) for pick in picks]
+    return [combination(space, pick) for pick in picks]
+
+
+def combination(space: dict[str, list], number: int) -> Candidate:
+    """The combination with this number; the last list's values follow each other."""
+    chosen = {}
+    for name, values in reversed(space.items()):
+        number, place = divmod(number, len(values))
+        chosen[name] = values[place]
+    return {name: chosen[name] for name in space}
 
 
-def spark_params(candidate: Candidate) -> dict[str, object]:
-    """Arguments of ``GBTClassifier`` for a candidate."""
+def spark_params(candidate: Candidate, n_rows: int) -> dict[str, object]:
+    """Arguments of ``GBTClassifier`` for a candidate fitted on ``n_rows`` rows.
+
+    ``gamma`` is a gain summed over the rows, Spark's is one per row;
+    ``min_child_weight`` is a sum of second derivatives, Spark counts rows.
+    """
     params = {GBT_PARAMS[name]: value for name, value in candidate.items() if name in GBT_PARAMS}
     if "featureSubsetStrategy" in params:
         params["featureSubsetStrategy"] = str(params["featureSubsetStrategy"])
+    if "minInfoGain" in params:
+        params["minInfoGain"] = params["minInfoGain"] / max(1, n_rows)
+    if "minInstancesPerNode" in params:
+        params["minInstancesPerNode"] = max(1, math.ceil(_ROWS_PER_WEIGHT * params["minInstancesPerNode"]))
     return params
 
 
-def classifier(candidate: Candidate, seed: int = MODEL_SEED) -> GBTClassifier:
+def classifier(candidate: Candidate, n_rows: int, seed: int = MODEL_SEED) -> GBTClassifier:
     return GBTClassifier(
         featuresCol="features", labelCol="label", lossType="logistic", seed=seed,
-        **spark_params(candidate),
+        **spark_params(candidate, n_rows),
     )
 
 
@@ -121,6 +138,7 @@ class SearchResult:
     candidates: list[Candidate]
     scores: list[float]
     best: int
+    n_rows: int
 
 
 def random_search(
@@ -135,13 +153,18 @@ def random_search(
     ``train`` has ``features``, ``label`` and ``fold`` and is read once per fit,
     so it should be persisted. A candidate's score is the mean over folds of
     the AUC of its 0/1 predictions. Candidates that Spark cannot tell apart are
-    fitted once.
+    fitted once. Each of the ``parallelism`` fits that run side by side keeps a
+    copy of its rows while it runs.
     """
     distinct = {_identity(candidate): candidate for candidate in candidates}
+    # One row per fold.
+    sizes = {row.fold: row["count"] for row in train.groupBy("fold").count().collect()}
+    n_rows = sum(sizes.values())
 
     def score(job: tuple[tuple, int]) -> float | None:
         identity, fold = job
-        model = classifier(distinct[identity], seed).fit(train.where(F.col("fold") != fold))
+        rest = train.where(F.col("fold") != fold)
+        model = classifier(distinct[identity], n_rows - sizes.get(fold, 0), seed).fit(rest)
         held_out = model.transform(train.where(F.col("fold") == fold))
         row = hard_auc(held_out, "fold", "prediction").first()
         return None if row is None else row.auc
@@ -157,8 +180,8 @@ def random_search(
              for identity in distinct}
     scores = [means[_identity(candidate)] for candidate in candidates]
     best = max(range(len(candidates)), key=lambda i: (not math.isnan(scores[i]), scores[i], -i))
-    model = classifier(candidates[best], seed).fit(train)
-    return SearchResult(model, candidates, scores, best)
+    model = classifier(candidates[best], n_rows, seed).fit(train)
+    return SearchResult(model, candidates, scores, best, n_rows)
 
 
 def fitted_pipeline(scaler: Scaler, model: GBTClassificationModel) -> PipelineModel:
@@ -166,7 +189,7 @@ def fitted_pipeline(scaler: Scaler, model: GBTClassificationModel) -> PipelineMo
 
 
 def _identity(candidate: Candidate) -> tuple:
-    return tuple(sorted(spark_params(candidate).items()))
+    return tuple(sorted((name, value) for name, value in candidate.items() if name in GBT_PARAMS))
 
 
 def _mean(values) -> float:

@@ -37,7 +37,9 @@ def add_delinquency(df: DataFrame) -> DataFrame:
     )
     return dated.withColumn(
         "dpd",
-        days_past_due(F.col("overdue_amt"), F.col("snapshot_date"), F.col("first_missed_date")),
+        days_past_due(
+            F.col("overdue_amt"), F.col("snapshot_date"), F.col("installments_missed"), F.col("first_missed_date")
+        ),
     )
 
 

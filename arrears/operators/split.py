@@ -55,15 +55,18 @@ class StratifiedCuts:
     """Cuts of each class: the last rank keys of ``folds`` equal parts of its train rows.
 
     The order is the md5 of key and seed, then the key, then a hash of the
-    whole row, so that rows of one loan are cut exactly. Only rows equal in all
-    columns stay together.
+    whole row, then a hash of its ``row_id``: columns that differ for equal rows,
+    such as file and row number of a written table. So a loan with many rows and
+    a group of equal rows are cut exactly. Without a ``row_id`` equal rows stay
+    together.
     """
 
-    cuts: dict[object, list[tuple[str, str, int]]]
+    cuts: dict[object, list[tuple[str, str, int, int]]]
     folds: int
     key: str
     label: str
     seed: int
+    row_id: tuple[str, ...] = ()
 
     @classmethod
     def fit(
@@ -74,8 +77,9 @@ class StratifiedCuts:
         ratio: float = TRAIN_RATIO,
         seed: int = SPLIT_SEED,
         folds: int = 1,
+        row_id: tuple[str, ...] = (),
     ) -> StratifiedCuts:
-        levels = _levels(df, key, seed)
+        levels = _levels(df, key, seed, row_id)
         edges = _first_edges(df, levels["prefix"], label, ratio, folds)
         edges = _refine(df, levels, label, edges, ["prefix"], "loan")
         # A cut behind the last row of a loan needs no order inside the loan.
@@ -83,13 +87,18 @@ class StratifiedCuts:
         if inside:
             inside = _refine(df, levels, label, inside, ["loan"], "bucket")
             inside = _refine(df, levels, label, inside, ["loan", "bucket"], "row")
-
-        cuts = {(edge[label], edge.cut): (*edge.loan, _LAST_ROW) for edge in edges}
-        cuts |= {(edge[label], edge.cut): (*edge.loan, edge.row) for edge in inside}
+        copies = [edge for edge in inside if edge.rank < edge.n] if row_id else []
+        if copies:
+            copies = _refine(df, levels, label, copies, ["loan", "row"], "copy_bucket")
+            copies = _refine(df, levels, label, copies, ["loan", "row", "copy_bucket"], "copy")
+
+        cuts = {(edge[label], edge.cut): (*edge.loan, _LAST_ROW, _LAST_ROW) for edge in edges}
+        cuts |= {(edge[label], edge.cut): (*edge.loan, edge.row, _LAST_ROW) for edge in inside}
+        cuts |= {(edge[label], edge.cut): (*edge.loan, edge.row, edge.copy) for edge in copies}
         by_class = defaultdict(list)
         for (value, _), rank_key in sorted(cuts.items(), key=lambda item: item[0][1]):
             by_class[value].append(rank_key)
-        return cls(dict(by_class), folds, key, label, seed)
+        return cls(dict(by_class), folds, key, label, seed, row_id)
 
     def place(self, df: DataFrame, part: str) -> DataFrame:
         """Add the number of cuts before a row: the parts of train in order, then test.
@@ -105,11 +114,12 @@ class StratifiedCuts:
         hashed = df.withColumn("_hash", _md5(self.key, self.seed))
         return hashed.select(*map(quoted, df.columns), passed.alias(part))
 
-    def _after(self, df: DataFrame, rank_key: tuple[str, str, int]) -> Column:
+    def _after(self, df: DataFrame, rank_key: tuple[str, str, int, int]) -> Column:
         """Whether a row comes after a rank key; most rows differ in the hash already."""
-        cut_hash, cut_key, cut_row = rank_key
-        key, row = _text(self.key), _row_hash(df)
-        in_loan = (key == cut_key) & (row > F.lit(cut_row).cast("bigint"))
+        cut_hash, cut_key, cut_row, cut_copy = rank_key
+        key, row, copy = _text(self.key), _row_hash(df, self.row_id), _copy_hash(self.row_id)
+        last_row, last_copy = F.lit(cut_row).cast("bigint"), F.lit(cut_copy).cast("bigint")
+        in_loan = (key == cut_key) & ((row > last_row) | ((row == last_row) & (copy > last_copy)))
         return (F.col("_hash") > cut_hash) | (
             (F.col("_hash") == cut_hash) & ((key > cut_key) | in_loan)
         )
@@ -120,14 +130,15 @@ def stratified_split(df: DataFrame, folds: int = 1, **options) -> DataFrame:
 
     Rows of the ``train_test`` segment become ``train`` or ``test``; train rows
     are numbered 0 to ``folds`` - 1 in stratified parts of equal size. The
-    out-of-time rows keep ``oot``.
+    out-of-time rows keep ``oot``. ``row_id`` columns are left out of the result.
     """
     inside = F.col("segment") == "train_test"
     cuts = StratifiedCuts.fit(df.where(inside), folds=folds, **options)
     train = inside & (F.col("_part") < folds)
     split = F.when(F.col("segment") == "oot", "oot").when(train, "train").when(inside, "test")
+    kept = [quoted(name) for name in df.columns if name not in cuts.row_id]
     return cuts.place(df, "_part").select(
-        *map(quoted, df.columns), split.alias("split"), F.when(train, F.col("_part")).alias("fold")
+        *kept, split.alias("split"), F.when(train, F.col("_part")).alias("fold")
     )
 
 
@@ -185,14 +196,16 @@ def _holding(spans: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _levels(df: DataFrame, key: str, seed: int) -> dict[str, Column]:
+def _levels(df: DataFrame, key: str, seed: int, row_id: tuple[str, ...]) -> dict[str, Column]:
     """Parts of the rank key, coarse to fine; few groups lie inside each one."""
-    md5, row = _md5(key, seed), _row_hash(df)
+    md5, row, copy = _md5(key, seed), _row_hash(df, row_id), _copy_hash(row_id)
     return {
         "prefix": F.substring(md5, 1, _PREFIX),
         "loan": F.struct(md5.alias("hash"), _text(key).alias("key")),
         "bucket": F.shiftright(row, _ROW_SHIFT),
         "row": row,
+        "copy_bucket": F.shiftright(copy, _ROW_SHIFT),
+        "copy": copy,
     }
 
 
@@ -210,5 +223,9 @@ def _text(key: str) -> Column:
     return F.coalesce(F.col(key).cast("string"), F.lit(""))
 
 
-def _row_hash(df: DataFrame) -> Column:
-    return F.xxhash64(*map(quoted, df.columns))
+def _row_hash(df: DataFrame, row_id: tuple[str, ...]) -> Column:
+    return F.xxhash64(*[quoted(name) for name in df.columns if name not in row_id])
+
+
+def _copy_hash(row_id: tuple[str, ...]) -> Column:
+    return F.xxhash64(*map(quoted, row_id)) if row_id else F.lit(0).cast("bigint")

@@ -32,15 +32,17 @@ def build_bronze(
     infer: bool = False,
     date_format: str | None = None,
     fmt: str = "csv",
+    rebalance: bool = True,
 ) -> DataFrame:
     """Copy the given months of the raw CSV feed, unchanged, into the bronze table.
 
     The table is CSV like the feed; as parquet it takes less room and later
-    reads fetch only the columns they use.
+    reads fetch only the columns they use. A feed that already lies by month
+    needs no ``rebalance``.
     """
     months = list(months)
     rows = snapshots(read_csv(spark, raw_path, infer), months, date_format)
-    overwrite_months(rows, bronze_path, months, fmt)
+    overwrite_months(rows, bronze_path, months, fmt, rebalance)
     return read_bronze(spark, bronze_path, months, columns=rows.columns, fmt=fmt)
 
 
@@ -75,8 +77,9 @@ def build_silver(
     return read_silver(spark, silver_path).where(in_months(months))
 
 
-def read_silver(spark: SparkSession, silver_path: str) -> DataFrame:
-    return read_months(spark, silver_path, SILVER_TYPES)
+def read_silver(spark: SparkSession, silver_path: str, others: bool = True) -> DataFrame:
+    """Silver rows; the feed's columns that the schema does not name follow its own."""
+    return read_months(spark, silver_path, SILVER_TYPES, others)
 
 
 def build_labels(
@@ -89,7 +92,7 @@ def build_labels(
 ) -> DataFrame:
     """Label store of the given months; few rows are left of each silver file."""
     months = list(months)
-    rows = label_loans(read_silver(spark, silver_path).where(in_months(months)), dpd, mob)
+    rows = label_loans(read_silver(spark, silver_path, others=False).where(in_months(months)), dpd, mob)
     overwrite_months(rows, label_path, months)
     return read_labels(spark, label_path).where(in_months(months))
 

@@ -32,6 +32,7 @@ REGISTRY_TYPES = {
     ),
     "results": _struct(**_per_split("auc", "gini", kind="double")),
     "hp_params": "map<string, double>",
+    "applied_params": "map<string, double>",
 }
 
 
@@ -53,8 +54,13 @@ def register(
     scaler: Scaler,
     report: list[Row],
     hp_params: dict[str, float],
+    applied_params: dict[str, float],
 ) -> DataFrame:
-    """Save a model and its one registry row; a version saved before is replaced."""
+    """Save a model and its one registry row; a version saved before is replaced.
+
+    ``hp_params`` are the drawn values, ``applied_params`` what the fit was
+    given, by Spark's names: not every drawn value has a counterpart.
+    """
     pipeline.write().overwrite().save(model_path(bank, version))
     by_split = {row.split: row for row in report}
 
@@ -69,6 +75,7 @@ def register(
         "data_stats": per_split("n") | per_split("event_rate"),
         "results": per_split("auc") | per_split("gini"),
         "hp_params": {name: float(value) for name, value in hp_params.items()},
+        "applied_params": {name: float(value) for name, value in applied_params.items()},
     }
     df = spark.createDataFrame([row], ddl(REGISTRY_TYPES))
     (

@@ -22,12 +22,12 @@ from arrears.operators.model import (
     preparation,
     probability,
     random_search,
+    spark_params,
 )
 from arrears.operators.scaling import Scaler
 from arrears.operators.split import TRAIN_RATIO, stratified_split
 from arrears.operators.training_set import (
     in_window,
-    join_features,
     matched_rows,
     segment,
     split_stats,
@@ -37,6 +37,7 @@ from arrears.operators.training_set import (
 from arrears.plans.registry import load_model, register
 from arrears.schemas import KEYS, feature_columns
 from arrears.session import work_dir
+from arrears.sources.tables import ROW_ID, read_numbered
 
 
 @dataclass(frozen=True)
@@ -50,22 +51,16 @@ class TrainingRun:
     registry: DataFrame
 
 
-def training_rows(labels: DataFrame, features: DataFrame, cal: TrainingCalendar) -> DataFrame:
-    """Labels of the calendar's windows with their features and time segment."""
-    joined = join_features(in_window(labels, cal), in_window(features, cal))
-    return joined.withColumn("segment", segment(cal))
-
-
 def build_training_rows(
     spark: SparkSession, labels: DataFrame, features: DataFrame, cal: TrainingCalendar, bank: str
 ) -> DataFrame:
-    """The same rows as a table of the model version, which all later steps read.
+    """Labels of the calendar's windows with features and time segment, as a table that all later steps read.
 
     The matched rows are written first. Their keys then show which label rows
     are left, so the feature feed is read once and only the keys that found a
     label are shuffled again.
     """
-    path = f"{training_path(bank, cal)}/joined"
+    path = joined_path(bank, cal)
     wanted = in_window(labels, cal)
     matched = matched_rows(wanted, in_window(features, cal))
     matched.withColumn("segment", segment(cal)).write.mode("overwrite").parquet(path)
@@ -78,16 +73,21 @@ def build_training_rows(
 
 def build_training_set(
     spark: SparkSession,
-    rows: DataFrame,
     cal: TrainingCalendar,
     bank: str,
     ratio: float = TRAIN_RATIO,
     folds: int = SEARCH_FOLDS,
 ) -> DataFrame:
-    """Joined rows with split and fold, kept like the joined rows."""
-    path = f"{training_path(bank, cal)}/split"
-    stratified_split(rows, folds=folds, ratio=ratio).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """The joined rows of :func:`build_training_rows` with split and fold.
+
+    Only the cuts are computed; placing the rows is a projection on reading.
+    """
+    joined = read_numbered(spark, joined_path(bank, cal))
+    return stratified_split(joined, folds=folds, ratio=ratio, row_id=ROW_ID)
+
+
+def joined_path(bank: str, cal: TrainingCalendar) -> str:
+    return f"{training_path(bank, cal)}/joined"
 
 
 def training_path(bank: str, cal: TrainingCalendar) -> str:
@@ -124,8 +124,8 @@ def train(
     work_dir(spark)  # lets the boosting iterations cut their lineage
     cal = TrainingCalendar.of(train_date)
     version = model_version(cal.train_date)
-    joined = build_training_rows(spark, labels, features, cal, bank)
-    rows = build_training_set(spark, joined, cal, bank, ratio, folds)
+    build_training_rows(spark, labels, features, cal, bank)
+    rows = build_training_set(spark, cal, bank, ratio, folds)
     train_rows = rows.where(F.col("split") == "train")
     scaler = Scaler.fit(train_rows, feature_columns(rows.columns))
 
@@ -147,6 +147,7 @@ def train(
         spark, bank, version, pipeline, cal, ratio, scaler,
         report.collect(),  # one row per split
         search.candidates[search.best],
+        spark_params(search.candidates[search.best], search.n_rows),
     )
     return TrainingRun(version, rows, scaler, search, pipeline, report, entry)
 

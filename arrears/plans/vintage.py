@@ -15,4 +15,4 @@ def vintage_report(
     spark: SparkSession, silver_path: str, cutoff: date | str, dpd: int = LABEL_DPD
 ) -> DataFrame:
     """Bad rate by month on book of the loans started before ``cutoff``."""
-    return bad_rate_curve(read_silver(spark, silver_path), cutoff, dpd)
+    return bad_rate_curve(read_silver(spark, silver_path, others=False), cutoff, dpd)

@@ -24,9 +24,29 @@ def read_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
     return spark.read.options(header=True, inferSchema=infer, enforceSchema=False).csv(path)
 
 
-def read_months(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
-    """Month-partitioned parquet table, all months, in the order of ``types``."""
-    return spark.read.schema(ddl(types)).parquet(path).select(*types)
+def read_months(spark: SparkSession, path: str, types: dict[str, str], others: bool = False) -> DataFrame:
+    """Month-partitioned parquet table, all months, in the order of ``types``.
+
+    With ``others``, the columns that ``types`` does not name come after them;
+    finding them takes a look at the footers of all files.
+    """
+    if not others:
+        return spark.read.schema(ddl(types)).parquet(path).select(*types)
+    df = spark.read.option("mergeSchema", True).parquet(path)
+    known = [F.col(name).cast(kind).alias(name) for name, kind in types.items()]
+    return df.select(*known, *[quoted(name) for name in df.columns if name not in types])
+
+
+#: Columns that tell equal rows of a written table apart.
+ROW_ID = ("_file", "_row")
+
+
+def read_numbered(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet table with the file and row number of each row."""
+    file, row = ROW_ID
+    return spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row)
+    )
 
 
 def read_feed(spark: SparkSession, path: str, fmt: str = "csv", infer: bool = False) -> DataFrame:

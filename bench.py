@@ -21,7 +21,7 @@ from catalogue.store import Store
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = 3
-SEARCH_ITERATIONS = 1
+SEARCH_ITERATIONS = 10
 
 
 def run_out(df) -> None:

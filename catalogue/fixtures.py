@@ -30,22 +30,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def loan_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw loan feed. The pattern ``k`` of a loan decides how it pays."""
+    """Raw loan feed. The pattern ``k`` of a loan decides how it pays.
+
+    Loans of pattern 96 owe thousands of tiny instalments; the sixth month of
+    pattern 95 is in the feed twice.
+    """
     base = table(spark, sf_dir, "orders").selectExpr(
         "cast(o_orderkey AS string) AS loan_id",
         "cast(o_custkey AS string) AS Customer_ID",
         "trunc(cast(o_orderdate AS date), 'MM') AS loan_start_date",
         "10 AS tenure",
-        "explode(sequence(0, 10)) AS installment_num",
+        f"explode(concat(sequence(0, 10), if({_PATTERN} = 95, array(6), array()))) AS installment_num",
         "o_totalprice AS loan_amt",
         f"{_PATTERN} AS k",
-        "floor(o_totalprice * 10) / 100 AS due0",
+        f"if({_PATTERN} = 96, 0.01E0, floor(o_totalprice * 10) / 100) AS due0",
     )
     paying = base.selectExpr(
         "*",
         "CASE WHEN k = 97 THEN 0.0E0 WHEN k = 99 THEN NULL"
         " WHEN installment_num = 0 THEN 0.0E0 ELSE due0 END AS due_amt",
         "CASE WHEN k = 98 THEN NULL WHEN k = 97 THEN due0"
+        " WHEN k = 96 AND installment_num >= 6 THEN 230.0E0"
         " WHEN k < 8 THEN greatest(0, installment_num - 2) * due0"
         " WHEN k < 20 THEN greatest(0, least(installment_num - 4, 2)) * due0"
         " WHEN k < 30 AND installment_num = 6 THEN 0.5E0 * due0 ELSE 0.0E0 END AS overdue_amt",
@@ -63,7 +68,10 @@ def loan_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly features of a customer; ``fe_6`` is constant and ``fe_7`` tells the risk."""
+    """Monthly features of a customer; ``fe_6`` is constant and ``fe_7`` tells the risk.
+
+    Every fiftieth customer's rows are there twice.
+    """
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey")
     )
@@ -79,4 +87,5 @@ def feature_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(7.0).alias("fe_6"),
         F.max(F.expr("(o_custkey * 37) % 100")).alias("fe_7"),
     )
-    return conform_features(features)
+    twice = F.col("Customer_ID").cast("bigint") % 50 == 0
+    return conform_features(features.unionAll(features.where(twice)))

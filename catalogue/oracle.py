@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from arrears.operators.model import SEARCH_SPACE, draw_candidates
 from catalogue.fixtures import CUTOFF, MONTHS, POINT, TRAIN_DATE
+from catalogue.store import SEARCH_ITERATIONS
 
 _LOAN_DAILY = """
 loan_base AS (
@@ -10,13 +12,16 @@ loan_base AS (
          CAST(date_trunc('month', o_orderdate) AS DATE) AS loan_start_date,
          10 AS tenure, CAST(r.n AS INTEGER) AS installment_num, o_totalprice AS loan_amt,
          (o_custkey * 37 + (o_orderkey * 31) % 30) % 100 AS k,
-         floor(o_totalprice * 10) / 100 AS due0
-  FROM orders, range(0, 11) r(n)),
+         CASE WHEN (o_custkey * 37 + (o_orderkey * 31) % 30) % 100 = 96 THEN 0.01E0
+              ELSE floor(o_totalprice * 10) / 100 END AS due0
+  FROM orders, (SELECT n, 0 AS again FROM range(0, 11) t(n) UNION ALL SELECT 6, 1) r
+  WHERE again = 0 OR (o_custkey * 37 + (o_orderkey * 31) % 30) % 100 = 95),
 loan_paying AS (
   SELECT *,
     CASE WHEN k = 97 THEN 0.0E0 WHEN k = 99 THEN NULL
          WHEN installment_num = 0 THEN 0.0E0 ELSE due0 END AS due_amt,
     CASE WHEN k = 98 THEN NULL WHEN k = 97 THEN due0
+         WHEN k = 96 AND installment_num >= 6 THEN 230.0E0
          WHEN k < 8 THEN greatest(0, installment_num - 2) * due0
          WHEN k < 20 THEN greatest(0, least(installment_num - 4, 2)) * due0
          WHEN k < 30 AND installment_num = 6 THEN 0.5E0 * due0 ELSE 0.0E0 END AS overdue_amt,
@@ -60,7 +65,7 @@ labels AS (
   FROM silver WHERE mob = 6)"""
 
 _FEATURES = """
-features AS (
+features_once AS (
   SELECT CAST(o_custkey AS VARCHAR) AS Customer_ID,
          CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_date,
          CAST(count(*) AS DOUBLE) AS fe_1, sum(l_quantity) AS fe_2, max(l_extendedprice) AS fe_3,
@@ -68,7 +73,10 @@ features AS (
          CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS DOUBLE) AS fe_5,
          7.0E0 AS fe_6, CAST(max((o_custkey * 37) % 100) AS DOUBLE) AS fe_7
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  GROUP BY 1, 2)"""
+  GROUP BY 1, 2),
+features AS (
+  SELECT * FROM features_once
+  UNION ALL SELECT * FROM features_once WHERE CAST(Customer_ID AS BIGINT) % 50 = 0)"""
 
 _TRAIN = f"DATE '{TRAIN_DATE}'"
 _OOT_START = f"CAST({_TRAIN} - INTERVAL 2 MONTH AS DATE)"
@@ -130,6 +138,44 @@ aucs AS (
          / nullif(2 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE), 0) AS auc
   FROM below GROUP BY split)"""
 
+# One split of one tree: the cut with the greatest loss of variance of labels -1 and 1.
+_STUMP = _SPLIT + """,
+stump_train AS (SELECT 2 * label - 1 AS y, fe_4, fe_5 FROM split WHERE split = 'train'),
+stump_mean AS (SELECT avg(fe_4) AS m4, avg(fe_5) AS m5 FROM stump_train),
+stump_long AS (
+  SELECT 'fe_4' AS f, coalesce(fe_4, m4) AS v, y FROM stump_train, stump_mean
+  UNION ALL SELECT 'fe_5', coalesce(fe_5, m5), y FROM stump_train, stump_mean
+  UNION ALL SELECT 'missing', CASE WHEN fe_4 IS NULL THEN 1.0E0 ELSE 0.0E0 END, y FROM stump_train),
+stump_values AS (SELECT f, v, CAST(count(*) AS DOUBLE) AS n, CAST(sum(y) AS DOUBLE) AS s FROM stump_long GROUP BY f, v),
+stump_cuts AS (
+  SELECT f, v, lead(v) OVER (PARTITION BY f ORDER BY v) AS next,
+         sum(n) OVER (PARTITION BY f ORDER BY v) AS nl, sum(s) OVER (PARTITION BY f ORDER BY v) AS sl,
+         sum(n) OVER (PARTITION BY f) AS n, sum(s) OVER (PARTITION BY f) AS s
+  FROM stump_values),
+stump AS (
+  SELECT f, (v + next) / 2 AS cut, sl / nl AS low, (s - sl) / (n - nl) AS high FROM stump_cuts
+  WHERE next IS NOT NULL
+  ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1),
+stump_scored AS (
+  SELECT loan_id, Customer_ID, snapshot_date, split, label,
+         1 / (1 + exp(-2 * CASE WHEN CASE f WHEN 'fe_4' THEN coalesce(fe_4, m4) WHEN 'fe_5' THEN coalesce(fe_5, m5)
+                                           ELSE CASE WHEN fe_4 IS NULL THEN 1 ELSE 0 END END <= cut
+                                THEN low ELSE high END)) AS score
+  FROM split, stump, stump_mean)"""
+
+_STUMP_AUC = _STUMP + """,
+stump_ties AS (
+  SELECT split, score, sum(label) AS pos, sum(1 - label) AS neg FROM stump_scored GROUP BY split, score),
+stump_below AS (
+  SELECT split, pos, neg,
+         coalesce(sum(neg) OVER (PARTITION BY split ORDER BY score
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS beaten
+  FROM stump_ties),
+stump_aucs AS (
+  SELECT split, CAST(sum(pos * (2 * beaten + neg)) AS DOUBLE)
+         / nullif(2 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE), 0) AS auc
+  FROM stump_below GROUP BY split)"""
+
 _KEYS = "loan_id, Customer_ID, snapshot_date"
 _RAW_COLUMNS = (
     "loan_id, Customer_ID, loan_start_date, tenure, installment_num, loan_amt, due_amt, paid_amt,"
@@ -159,6 +205,24 @@ def _features(body: str) -> str:
     return f"WITH {_FEATURES} {body}"
 
 
+def _inputs() -> str:
+    names = [*_FE, *[f"{name} missing" for name in _FE]]
+    rows = ", ".join(f"('{name}')" for name in names)
+    return f"SELECT feature, 1 AS is_share, 1.0E0 AS total FROM (VALUES {rows}) t(feature)"
+
+
+def _candidates() -> str:
+    """The drawn settings are fixed values: draws of the search seed."""
+    drawn = [
+        f"({i}, " + ", ".join(f"{float(value)}E0" for value in candidate.values()) + ")"
+        for i, candidate in enumerate(draw_candidates(SEARCH_ITERATIONS))
+    ]
+    return (
+        f"SELECT CAST(candidate AS BIGINT) AS candidate, {', '.join(SEARCH_SPACE)}, 1 AS is_scored,"
+        f" CAST(1 AS BIGINT) AS n_best FROM (VALUES {', '.join(drawn)}) t(candidate, {', '.join(SEARCH_SPACE)})"
+    )
+
+
 def _per_split(value: str, name: str) -> str:
     return ", ".join(
         f"(SELECT {value} FROM split WHERE split = '{s}') AS {name}_{s}"
@@ -269,7 +333,23 @@ ORACLE: dict[str, str] = {
                {_OOT_START} AS oot_start, CAST({_TRAIN} - INTERVAL 1 DAY AS DATE) AS oot_end,
                0.8E0 AS train_test_ratio, {_per_split("count(*)", "n")},
                {_per_split("round_even(avg(label), 2)", "event_rate")},
-               9 AS n_params, 1 AS gini_follows_auc""",
+               9 AS n_params, 7 AS n_applied, 1 AS gini_follows_auc""",
+    "gbt_train": _inputs(),
+    "random_search": _candidates(),
+    "eval_report": f"""WITH {_SPLIT}
+        SELECT split, count(*) AS n, round_even(avg(label), 2) AS event_rate,
+               1 AS is_auc, 1 AS gini_follows_auc
+        FROM split GROUP BY split""",
+    "stump_scores": f"""WITH {_STUMP}
+        SELECT {_KEYS}, split, label, round(score, 6) AS score FROM stump_scored""",
+    "stump_report": f"""WITH {_STUMP_AUC}
+        SELECT split, n, event_rate, round(auc, 6) AS auc, round_even(2 * auc - 1, 3) AS gini
+        FROM (SELECT split, count(*) AS n, round_even(avg(label), 2) AS event_rate FROM split GROUP BY split)
+        LEFT JOIN stump_aucs USING (split)""",
+    "batch_score": _features(f"""
+        SELECT Customer_ID, snapshot_date,
+               'credit_model_{TRAIN_DATE:%Y_%m_%d}.pkl' AS model_name, 1 AS is_probability
+        FROM features WHERE {_POINT}"""),
     "model_reload": f"""WITH {_SPLIT}
         SELECT split, count(*) AS n, 1 AS equal FROM split WHERE split = 'oot' GROUP BY split""",
     "prediction_store": _features(f"""

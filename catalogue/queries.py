@@ -17,7 +17,8 @@ from arrears.functions.dates import (
 )
 from arrears.functions.delinquency import conform
 from arrears.operators import labels as lab
-from arrears.operators import metrics, silver, split, training_set
+from arrears.operators import metrics, silver, training_set
+from arrears.operators.model import SEARCH_SPACE, classifier, fitted_pipeline, preparation
 from arrears.operators.scaling import Scaler, fit_scaler
 from arrears.plans import datamart, scoring, training, vintage
 from arrears.schemas import KEYS, LOAN_TYPES, feature_columns
@@ -36,6 +37,7 @@ from catalogue.store import store
 Query = Callable[[SparkSession, str], DataFrame]
 
 VERSION = model_version(TRAIN_DATE)
+STUMP_FEATURES = ["fe_4", "fe_5"]
 NUMBERS = ["tenure", "installment_num", "loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance"]
 
 # Raw text to the feed's own types; amounts are not yet narrowed to float.
@@ -64,9 +66,7 @@ def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rows_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.training_rows(
-        labels_of(spark, sf_dir), feature_clickstream(spark, sf_dir), CALENDAR
-    )
+    return store(spark, sf_dir).training_rows
 
 
 def split_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,8 +225,7 @@ def oot_split(spark, sf_dir):
 
 
 def stratified_split(spark, sf_dir):
-    rows = split.stratified_split(store(spark, sf_dir).training_rows)
-    return rows.select(*KEYS, "label", "split")
+    return split_of(spark, sf_dir).select(*KEYS, "label", "split")
 
 
 def split_stats(spark, sf_dir):
@@ -284,15 +283,51 @@ def score_input(spark, sf_dir):
 
 
 def gbt_train(spark, sf_dir):
-    return training.importance_table(spark, store(spark, sf_dir).run)
+    """Inputs of the fitted model; their importances are shares of 1."""
+    inputs = training.importance_table(spark, store(spark, sf_dir).run)
+    total = inputs.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return inputs.crossJoin(F.broadcast(total)).select(
+        "feature", F.col("importance").between(0, 1).cast("int").alias("is_share"), "total"
+    )
 
 
 def random_search(spark, sf_dir):
-    return training.search_table(spark, store(spark, sf_dir).run.search)
+    """The drawn candidates, whether each has a score, and how many are best."""
+    table = training.search_table(spark, store(spark, sf_dir).run.search)
+    best = table.agg(F.count_if("is_best").alias("n_best"))
+    return table.crossJoin(F.broadcast(best)).select(
+        "candidate", *SEARCH_SPACE, F.col("cv_auc_hard").between(0, 1).cast("int").alias("is_scored"), "n_best"
+    )
 
 
 def eval_report(spark, sf_dir):
-    return store(spark, sf_dir).run.report
+    report = store(spark, sf_dir).run.report
+    return report.select(
+        "split", "n", "event_rate",
+        F.col("auc").between(0, 1).cast("int").alias("is_auc"),
+        F.col("gini").eqNullSafe(metrics.gini(F.col("auc"))).cast("int").alias("gini_follows_auc"),
+    )
+
+
+def stump_of(spark, sf_dir):
+    """Scores of one tree with one split, on features of few values: SQL can fit it too."""
+    rows = split_of(spark, sf_dir)
+    train = rows.where(F.col("split") == "train")
+    scaler = Scaler.fit(train, STUMP_FEATURES)
+    matrix = train.select(F.col("label").cast("double").alias("label"), *STUMP_FEATURES)
+    for stage in preparation(scaler):
+        matrix = stage.transform(matrix)
+    model = classifier({"n_estimators": 1, "max_depth": 1}, train.count()).fit(matrix)
+    return training.score_splits(fitted_pipeline(scaler, model), rows)
+
+
+def stump_scores(spark, sf_dir):
+    return stump_of(spark, sf_dir).select(*KEYS, "split", "label", F.round("score", 6).alias("score"))
+
+
+def stump_report(spark, sf_dir):
+    report = training.evaluate(stump_of(spark, sf_dir))
+    return report.withColumn("auc", F.round("auc", 6))
 
 
 def model_registry(spark, sf_dir):
@@ -307,6 +342,7 @@ def model_registry(spark, sf_dir):
         "data_dates.*",
         "data_stats.*",
         F.size("hp_params").alias("n_params"),
+        F.size("applied_params").alias("n_applied"),
         (checked[0] & checked[1] & checked[2]).cast("int").alias("gini_follows_auc"),
     )
 
@@ -323,9 +359,12 @@ def model_reload(spark, sf_dir):
 
 def batch_score(spark, sf_dir):
     mart = store(spark, sf_dir)
-    return scoring.score_rows(
+    scored = scoring.score_rows(
         mart.features, mart.run.pipeline, list(mart.run.scaler.mean), VERSION + MODEL_SUFFIX, [POINT]
     )
+    return scored.select(
+        "Customer_ID", "snapshot_date", "model_name", is_probability().alias("is_probability")
+    )
 
 
 def prediction_store(spark, sf_dir):
@@ -395,6 +434,8 @@ QUERIES: dict[str, Query] = {
     "gbt_train": gbt_train,
     "random_search": random_search,
     "eval_report": eval_report,
+    "stump_scores": stump_scores,
+    "stump_report": stump_report,
     "model_registry": model_registry,
     "model_reload": model_reload,
     "batch_score": batch_score,

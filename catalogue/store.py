@@ -20,8 +20,8 @@ from arrears.session import work_dir
 from arrears.sources.tables import read_features
 from catalogue import fixtures
 
-# Small search for the checks; the job's own default is the full one.
-SEARCH_ITERATIONS = 2
+# Candidates of the checks' search; the job's own default is the full one.
+SEARCH_ITERATIONS = 10
 
 
 class Store:
@@ -83,9 +83,8 @@ class Store:
 
     @cached_property
     def training_set(self) -> DataFrame:
-        return build_training_set(
-            self.spark, self.training_rows, fixtures.CALENDAR, self.folder("training"), folds=1
-        )
+        assert self.training_rows
+        return build_training_set(self.spark, fixtures.CALENDAR, self.folder("training"), folds=1)
 
     @cached_property
     def run(self) -> TrainingRun:

@@ -1,12 +1,13 @@
 """Bronze, silver and gold builds on files."""
 
 import uuid
-from datetime import date
+from datetime import date, datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from arrears import __main__ as command
 from arrears.plans import datamart
 from arrears.plans.vintage import vintage_report
 from arrears.schemas import LABEL_TYPES, LOAN_TYPES, SILVER_TYPES
@@ -55,7 +56,7 @@ def test_layers(spark, mart):
     assert copied.where("branch = 'a, b' AND Customer_ID = '007'").count() == 1
 
     typed = datamart.build_silver(spark, bronze, silver, MONTHS)
-    assert dict(typed.dtypes) == SILVER_TYPES and typed.count() == 51
+    assert dict(typed.dtypes) == SILVER_TYPES | {"branch": "string"} and typed.count() == 51
     assert typed.where("loan_id = 'L2'").first().dpd == 61
 
     labels = datamart.build_labels(spark, silver, gold, MONTHS)
@@ -221,3 +222,39 @@ def test_read_months_unions_all_months(spark, tmp_path):
         overwrite_months(df, path, [month])
     table = read_months(spark, path, {"loan_id": "string", "snapshot_date": "date"})
     assert table.count() == 5
+
+
+def test_silver_keeps_columns_the_schema_does_not_name(spark, mart):
+    raw, bronze, silver, _ = mart
+    datamart.build_bronze(spark, raw, bronze, MONTHS)
+    table = datamart.build_silver(spark, bronze, silver, MONTHS)
+    assert table.columns == [*SILVER_TYPES, "branch"]
+    assert {r.branch for r in datamart.read_silver(spark, silver).collect()} == {"north", "a, b"}
+    assert datamart.read_silver(spark, silver, others=False).columns == list(SILVER_TYPES)
+
+
+def test_a_point_in_time_is_its_day(spark, tmp_path):
+    df = spark.sql("SELECT 1 AS x, date'2023-01-01' AS snapshot_date")
+    overwrite_months(df, str(tmp_path / "t"), [datetime(2023, 1, 1), datetime(2023, 2, 1)])
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.is_dir()) == [
+        "snapshot_date=2023-01-01", "snapshot_date=2023-02-01"]
+
+
+def test_reports_are_written_whole(spark, tmp_path, monkeypatch, capsys):
+    """A loan book of 360 months on book, and the rows of each layer."""
+    data = [loan(i, "2023-01-01", inst=i) for i in range(360)]
+    raw, mart = feed(tmp_path / "raw", data), str(tmp_path / "mart")
+    monkeypatch.setattr(command, "build_session", lambda: spark)
+    command.main(["--mart", mart, "backfill", "--start", "2023-01-01", "--end", "2023-01-01", "--loans", raw, "--infer"])
+    command.main(["--mart", mart, "vintage", "--before", "2024-01-01", "--out", str(tmp_path / "curve")])
+    assert spark.read.parquet(str(tmp_path / "curve")).select("mob").distinct().count() == 360
+    command.main(["--mart", mart, "counts"])
+    counts = spark.read.parquet(f"{mart}/reports/counts")
+    assert rows(counts, "layer", "n") == [("bronze", 360), ("gold", 1), ("silver", 360)]
+    assert "written to" in capsys.readouterr().out
+
+
+def test_bronze_need_not_be_rebalanced(spark, mart):
+    raw, bronze, _, _ = mart
+    plain = datamart.build_bronze(spark, raw, bronze, MONTHS, rebalance=False)
+    assert plain.count() == 51

@@ -19,6 +19,16 @@ def frame(spark, groups):
     return spark.createDataFrame(data, "split string, score double, label int").repartition(5)
 
 
+def test_one_score_of_nearly_all_rows_fills_no_range(spark):
+    pairs = [(0, i % 2) for i in range(40_000)] + [(i, i % 3 == 0) for i in range(1, 801)]
+    scores = frame(spark, {"g": [(s, int(y)) for s, y in pairs]}).groupBy("split", "score").count()
+    cuts = sorted(set(metrics.score_cuts(scores, "split", 64).first().cuts))
+    filled = [0] * (len(cuts) + 1)
+    for score in range(801):
+        filled[sum(cut < score for cut in cuts)] += 1
+    assert max(filled) <= 4 * 801 / 64
+
+
 def auc_of(df, **options):
     return {r.split: r.auc for r in metrics.auc(df, "split", "score", **options).collect()}
 

@@ -3,6 +3,7 @@
 import math
 from datetime import date
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from arrears.__main__ import parser
 from arrears.operators import model
 from arrears.operators.scaling import Scaler
 from arrears.operators.split import stratified_split
-from arrears.operators.training_set import join_features
+from arrears.operators.training_set import in_window, join_features, segment
 from arrears.plans import registry, scoring, training
 from arrears.sources.tables import read_features
 from catalogue.fixtures import MONTHS, POINT
@@ -36,12 +37,42 @@ def test_candidates_are_drawn_without_repeats():
 
 
 def test_candidates_map_to_spark_parameters(spark):
-    settings = {tuple(model.spark_params(c).items()) for c in model.draw_candidates(5000)}
+    settings = {tuple(model.spark_params(c, 1000).items()) for c in model.draw_candidates(5000)}
     assert len(settings) == 192
-    gbt = model.classifier(model.draw_candidates(1)[0])
+    params = model.spark_params({"gamma": 0.1, "min_child_weight": 3}, 1000)
+    assert params == {"minInfoGain": 0.1 / 1000, "minInstancesPerNode": 12}
+    gbt = model.classifier(model.draw_candidates(1)[0], 1000)
     assert gbt.getSeed() == 88 and gbt.getFeatureSubsetStrategy() in ("0.6", "0.8")
 
 
+def test_a_gamma_of_the_space_leaves_splits(spark, mart):
+    train = mart.run.training_set.where("split = 'train'")
+    matrix = train.select(F.col("label").cast("double").alias("label"), *mart.run.scaler.mean)
+    for stage in model.preparation(mart.run.scaler):
+        matrix = stage.transform(matrix)
+    candidate = {"n_estimators": 5, "max_depth": 3, "gamma": 0.1, "min_child_weight": 1}
+    trees = model.classifier(candidate, train.count()).fit(matrix).trees
+    assert all(tree.numNodes > 1 for tree in trees)
+
+
+def test_combinations_are_numbered_in_order():
+    space = {"a": [1, 2], "b": [3, 4, 5]}
+    got = [tuple(model.combination(space, i).values()) for i in range(6)]
+    assert got == [(1, 3), (1, 4), (1, 5), (2, 3), (2, 4), (2, 5)]
+
+
+def test_stored_predictions_have_the_reported_auc(spark, mart):
+    path = training.training_path(mart.bank, training.TrainingCalendar.of("1999-09-01"))
+    found = duckdb.sql(f"""
+        WITH s AS (SELECT split, score, sum(label) AS pos, sum(1 - label) AS neg
+                   FROM '{path}/scored/*.parquet' GROUP BY ALL),
+        b AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY split ORDER BY score
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS beaten FROM s)
+        SELECT split, sum(pos * (2 * beaten + neg)) / (2.0 * sum(pos) * sum(neg)) FROM b GROUP BY split""").fetchall()
+    report = {r.split: r.auc for r in mart.run.report.collect()}
+    assert {split: pytest.approx(auc, abs=1e-12) for split, auc in found} == report
+
+
 def test_preparation_handles_missing_values(spark):
     df = spark.createDataFrame(
         [(1.0, None), (3.0, None), (None, None), (float("nan"), 1.0)], "fe_1 double, fe_2 double"
@@ -109,6 +140,7 @@ def test_registry_row(spark, mart):
     assert row.data_dates.oot_start == date(1999, 7, 1) and row.data_dates.train_test_ratio == 0.8
     assert row.results.auc_oot == report["oot"].auc and row.data_stats.n_train == report["train"].n
     assert set(row.hp_params) == set(model.SEARCH_SPACE)
+    assert set(row.applied_params) == set(model.GBT_PARAMS.values())
 
 
 def test_registering_again_replaces_the_row(spark, mart, tmp_path):
@@ -116,7 +148,7 @@ def test_registering_again_replaces_the_row(spark, mart, tmp_path):
     report = run.report.collect()
     cal = training.TrainingCalendar.of("1999-09-01")
     for version in (VERSION, "credit_model_other", VERSION):
-        registry.register(spark, bank, version, run.pipeline, cal, 0.8, run.scaler, report, {"a": 1})
+        registry.register(spark, bank, version, run.pipeline, cal, 0.8, run.scaler, report, {"a": 1}, {})
     assert sorted(r.model_version for r in registry.registry(spark, bank).collect()) == [
         VERSION, "credit_model_other"]
     with pytest.raises(LookupError):
@@ -172,7 +204,8 @@ def test_training_rows_table_equals_the_join(spark, sf_dir, mart, tmp_path):
     from catalogue.fixtures import CALENDAR
 
     labels, features = datamart.read_labels(spark, mart.labels), mart.features
-    plain = training.training_rows(labels, features, CALENDAR)
+    plain = join_features(in_window(labels, CALENDAR), in_window(features, CALENDAR))
+    plain = plain.withColumn("segment", segment(CALENDAR))
     for _ in range(2):  # a rerun replaces the table
         table = training.build_training_rows(spark, labels, features, CALENDAR, str(tmp_path))
     assert table.columns == plain.columns

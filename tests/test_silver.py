@@ -9,10 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from arrears.functions.dates import add_months
+from arrears.functions.delinquency import days_past_due, first_missed_date
 from arrears.operators.labels import label_loans
 from arrears.operators.silver import conform_loans, silver_loans
 from arrears.schemas import LOAN_TYPES, SILVER_TYPES, ddl
 
+MOST = 2**31 - 1
+
 # case, due, overdue, snapshot, instalment -> missed, first missed, dpd, label
 CASES = [
     ("clean", "100", "0", "2023-03-01", "6", 0, None, 0, 0),
@@ -30,9 +33,9 @@ CASES = [
     ("bad text", "100", "abc", "2023-05-01", "6", 0, None, 0, 0),
     ("no instalment", "100", "0", "2023-05-01", None, 0, None, 0, None),
     ("decimal text", "100", "100", "2023-05-01", "6.0", 1, date(2023, 4, 1), 30, 1),
-    ("infinite", "100", "Infinity", "2023-05-01", "6", 0, None, None, 0),
-    ("ratio past int", "0.001", "1e12", "2023-05-01", "6", 0, None, None, 0),
-    ("date overflow", "1", "1e9", "2023-05-01", "6", 1_000_000_000, None, None, 0),
+    ("infinite", "100", "Infinity", "2023-05-01", "6", MOST, None, MOST, 1),
+    ("ratio past int", "0.001", "1e12", "2023-05-01", "6", MOST, None, MOST, 1),
+    ("date overflow", "1", "1e9", "2023-05-01", "6", 1_000_000_000, None, MOST, 1),
 ]
 
 
@@ -122,21 +125,52 @@ def test_random_rows_follow_the_rules(spark):
     blank = [name for name in LOAN_TYPES if name not in given]
     df = spark.createDataFrame(data, ddl(given))
     df = df.withColumns({name: F.lit(None).cast("string") for name in blank})
-    # As text: Python has no dates before the year 1.
-    text = silver_loans(df).withColumn("first_missed_date", F.col("first_missed_date").cast("string"))
-    got = {row.loan_id: row for row in text.collect()}
+    # As numbers: Python has no dates before the year 1.
+    numbers = silver_loans(df).withColumn("first_missed_date", F.unix_date("first_missed_date"))
+    got = {row.loan_id: row for row in numbers.collect()}
     for key, due, overdue, snap in data:
         narrow = [np.nan if v is None else float(np.float32(v)) for v in (due, overdue)]
         d, o = narrow
         known = not (due is None or overdue is None or d == 0)
         ratio = o / d if known else math.nan
         missed = 0 if math.isnan(ratio) else math.ceil(ratio)
-        missed = missed if -(2**31) <= missed < 2**31 else 0
-        first = add_months(snap, -missed) if 0 < missed < 20_000 else None
+        missed = max(-(2**31), min(missed, MOST))
+        first = months_before(snap, missed) if missed > 0 else None
         owed = 0 if math.isnan(o) else o
-        dpd = 0 if owed <= 0 else (snap - first).days if first else None
+        dpd = 0 if owed <= 0 else min(day_number(snap) - first, MOST) if missed > 0 else None
         row = got[key]
         assert row.installments_missed == missed, (due, overdue)
-        if missed < 20_000:
-            want = (first and first.isoformat(), dpd)
-            assert (row.first_missed_date, row.dpd) == want, (due, overdue, snap)
+        first = first if first is not None and first >= -(2**31) else None
+        assert (row.first_missed_date, row.dpd) == (first, dpd if missed <= 0 or first is not None or owed <= 0 else MOST)
+
+
+def day_number(day):
+    return (day - date(1970, 1, 1)).days
+
+
+def months_before(day, months):
+    """Day number of the same day so many months ago, for any year: 400 years have 146,097 days."""
+    cycles = -(-months // 4800)
+    return day_number(add_months(day, cycles * 4800 - months)) - cycles * 146_097
+
+
+@pytest.mark.parametrize("overdue", [590_000.0, 650_000.0, 2e7, 3e9])
+def test_the_longest_overdue_loans_are_bad(spark, overdue):
+    row = {"loan_id": "x", "due_amt": 0.01, "overdue_amt": overdue, "snapshot_date": date(2023, 1, 1), "installment_num": 6}
+    df = spark.createDataFrame([row], "loan_id string, due_amt double, overdue_amt double, snapshot_date date, installment_num int")
+    df = df.withColumns({name: F.lit(None).cast("string") for name in LOAN_TYPES if name not in row})
+    got = silver_loans(df).select("dpd", F.unix_date("first_missed_date").alias("first")).first()
+    assert got.dpd > 1_000_000_000 and label_loans(silver_loans(df)).first().label == 1
+    assert (got.first is None) == (overdue > 1e6)
+
+
+def test_the_last_months_before_the_date_type_ends(spark):
+    missed = range(70_577_000, 70_578_000, 1)
+    df = spark.createDataFrame([(m,) for m in missed], "m int").select(
+        "m", F.lit(date(2023, 1, 1)).alias("snap"), F.lit(1.0).alias("owed"))
+    df = df.withColumn("first", first_missed_date(F.col("snap"), F.col("m")))
+    df = df.withColumn("dpd", days_past_due(F.col("owed"), F.col("snap"), F.col("m"), F.col("first")))
+    for row in df.select("m", F.unix_date("first").alias("first"), "dpd").collect():
+        want = months_before(date(2023, 1, 1), row.m)
+        assert row.first == (want if want >= -(2**31) else None)
+        assert row.dpd == MOST or row.dpd == day_number(date(2023, 1, 1)) - want

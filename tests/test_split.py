@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from arrears.operators import split
 from arrears.operators.split import class_sizes, stratified_split
+from arrears.sources.tables import ROW_ID, read_numbered
 
 
 def frame(spark, data):
@@ -74,7 +75,22 @@ def test_a_loan_with_many_of_the_rows_is_cut_exactly(spark, hot, folds):
     assert Counter(cold) == Counter({k: 1 for k in expected_train(data) if k != "hot"})
 
 
-def test_equal_copies_stay_together(spark):
+@pytest.mark.parametrize("partitions", [1, 7])
+@pytest.mark.parametrize("folds", [1, 3])
+def test_equal_rows_are_cut_exactly(spark, tmp_path, partitions, folds):
+    data = [("same", 0, 1.0)] * 900 + [(str(i), 0, 0.0) for i in range(100)]
+    frame(spark, data).repartition(partitions).write.parquet(str(tmp_path / "t"))
+    table = read_numbered(spark, str(tmp_path / "t"))
+    out = stratified_split(table, folds=folds, row_id=ROW_ID).cache()
+    assert out.columns == ["loan_id", "label", "fe_1", "segment", "split", "fold"]
+    assert {r.split: r["count"] for r in out.groupBy("split").count().collect()} == {"train": 800, "test": 200}
+    parts = [r["count"] for r in out.where("split = 'train'").groupBy("fold").count().collect()]
+    assert len(parts) == folds and max(parts) - min(parts) <= 1
+    cold = out.where("split = 'train' AND loan_id <> 'same'")
+    assert Counter(r.loan_id for r in cold.collect()) == Counter({k: 1 for k in expected_train(data) if k != "same"})
+
+
+def test_equal_rows_stay_together_without_a_row_id(spark):
     data = [("same", 0, 1.0)] * 300 + [(str(i), 0, 0.0) for i in range(600)]
     out = stratified_split(frame(spark, data))
     assert out.where("loan_id = 'same'").select("split").distinct().count() == 1
