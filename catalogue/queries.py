@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrears.functions.dates import (
@@ -38,6 +38,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 VERSION = model_version(TRAIN_DATE)
 STUMP_FEATURES = ["fe_4", "fe_5"]
+
+#: All rows of a table of a few rows: inputs of a model, candidates of a search.
+ALL = Window.partitionBy(F.lit(0))
 NUMBERS = ["tenure", "installment_num", "loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance"]
 
 # Raw text to the feed's own types; amounts are not yet narrowed to float.
@@ -285,18 +288,20 @@ def score_input(spark, sf_dir):
 def gbt_train(spark, sf_dir):
     """Inputs of the fitted model; their importances are shares of 1."""
     inputs = training.importance_table(spark, store(spark, sf_dir).run)
-    total = inputs.agg(F.round(F.sum("importance"), 6).alias("total"))
-    return inputs.crossJoin(F.broadcast(total)).select(
-        "feature", F.col("importance").between(0, 1).cast("int").alias("is_share"), "total"
+    return inputs.select(
+        "feature",
+        F.col("importance").between(0, 1).cast("int").alias("is_share"),
+        F.round(F.sum("importance").over(ALL), 6).alias("total"),
     )
 
 
 def random_search(spark, sf_dir):
     """The drawn candidates, whether each has a score, and how many are best."""
     table = training.search_table(spark, store(spark, sf_dir).run.search)
-    best = table.agg(F.count_if("is_best").alias("n_best"))
-    return table.crossJoin(F.broadcast(best)).select(
-        "candidate", *SEARCH_SPACE, F.col("cv_auc_hard").between(0, 1).cast("int").alias("is_scored"), "n_best"
+    return table.select(
+        "candidate", *SEARCH_SPACE,
+        F.col("cv_auc_hard").between(0, 1).cast("int").alias("is_scored"),
+        F.count_if("is_best").over(ALL).alias("n_best"),
     )
 
 

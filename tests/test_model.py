@@ -117,7 +117,7 @@ def test_search_fits_settings_spark_cannot_tell_apart_once(spark, mart, monkeypa
         matrix = stage.transform(matrix)
     fitted = []
     plain = model.classifier
-    monkeypatch.setattr(model, "classifier", lambda c, seed: fitted.append(c) or plain(c, seed))
+    monkeypatch.setattr(model, "classifier", lambda c, *rest: fitted.append(c) or plain(c, *rest))
     found = model.random_search(matrix.cache(), model.draw_candidates(4, SMALL))
     assert len(found.scores) == 4 and len(fitted) == 2 * 3 + 1
     assert all(0 <= score <= 1 for score in found.scores)

@@ -31,7 +31,7 @@ def read_columns(plan):
 @pytest.mark.parametrize("name, columns", [
     ("silver_mob", {"o_orderkey", "o_custkey", "o_orderdate"}),
     ("gold_label", {"o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"}),
-    ("month_spine", {"o_orderdate"}),
+    ("month_spine", {"o_orderkey", "o_custkey", "o_orderdate"}),
 ])
 def test_only_the_needed_columns_are_read(spark, sf_dir, name, columns):
     found = read_columns(plan_of(driver.queries()[name](spark, sf_dir)))
