@@ -275,7 +275,8 @@ def pack(
 
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select("length", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    ranked = pieces.join(offsets, ["length", "part"]).withColumn("rank", F.col("before") + F.col("number"))
+    # Not for broadcast: it has rows for every partition, and its files look smaller than it is.
+    ranked = pieces.join(offsets.hint("merge"), ["length", "part"]).withColumn("rank", F.col("before") + F.col("number"))
     return _placed(spark, ranked, places).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *(["ids"] if keep_ids else [])
     )
