@@ -38,9 +38,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 VERSION = model_version(TRAIN_DATE)
 STUMP_FEATURES = ["fe_4", "fe_5"]
-
-#: All rows of a table of a few rows: inputs of a model, candidates of a search.
-ALL = Window.partitionBy(F.lit(0))
 NUMBERS = ["tenure", "installment_num", "loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance"]
 
 # Raw text to the feed's own types; amounts are not yet narrowed to float.
@@ -285,13 +282,18 @@ def score_input(spark, sf_dir):
     return feature_clickstream(spark, sf_dir).where(in_months([POINT]))
 
 
+def few_rows():
+    """Window over all rows of a table of a few: inputs of a model, candidates of a search."""
+    return Window.partitionBy(F.lit(0))
+
+
 def gbt_train(spark, sf_dir):
     """Inputs of the fitted model; their importances are shares of 1."""
     inputs = training.importance_table(spark, store(spark, sf_dir).run)
     return inputs.select(
         "feature",
         F.col("importance").between(0, 1).cast("int").alias("is_share"),
-        F.round(F.sum("importance").over(ALL), 6).alias("total"),
+        F.round(F.sum("importance").over(few_rows()), 6).alias("total"),
     )
 
 
@@ -301,7 +303,7 @@ def random_search(spark, sf_dir):
     return table.select(
         "candidate", *SEARCH_SPACE,
         F.col("cv_auc_hard").between(0, 1).cast("int").alias("is_scored"),
-        F.count_if("is_best").over(ALL).alias("n_best"),
+        F.count_if("is_best").over(few_rows()).alias("n_best"),
     )
 
 
