@@ -359,10 +359,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = docs.select(key.alias("doc_key"), keyed)
     dropped = kept.where("NOT kept").select(F.col("key").alias("doc_key"))
     repeated = kept.where("kept AND times > 1").select(F.col("key").alias("doc_key"))
-    single = rows.join(dropped.union(repeated), "doc_key", "left_anti")
-    once = (
-        rows.join(repeated, "doc_key")
-        .groupBy("doc_key").agg(F.first("doc_row").alias("doc_row"))
-    )
     fields = [F.col("doc_row").getField(c).alias(c) for c in docs.columns]
-    return single.select(*fields).union(once.select(*fields))
+    single = rows.join(dropped.union(repeated), "doc_key", "left_anti").select(*fields)
+    if repeated.isEmpty():
+        # After exact deduplication there are none, and the texts need not be shuffled for them.
+        return single
+    once = rows.join(repeated, "doc_key").groupBy("doc_key").agg(F.first("doc_row").alias("doc_row"))
+    return single.union(once.select(*fields))
