@@ -51,7 +51,8 @@ def jobs(mart: Store) -> dict:
         "bad_rate_by_mob": query("bad_rate_by_mob"),
         "training_join": lambda: training.build_training_rows(
             spark, datamart.read_labels(spark, mart.labels), mart.features, CALENDAR, bank),
-        "stratified_split": query("stratified_split"),
+        "stratified_split": lambda: run_out(training.build_training_set(
+            spark, CALENDAR, mart.folder("training"), folds=1)),
         "scaler_fit": query("scaler_fit"),
         "scaler_apply": query("scaler_apply"),
         "auc": query("auc"),
