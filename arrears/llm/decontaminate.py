@@ -60,16 +60,16 @@ def _inside(first: np.ndarray, n: int, k: int) -> np.ndarray:
     return np.arange(n) + k <= ends
 
 
-def _fingerprints(words: Words, window: int, k: int, short: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(k, positions, fingerprints): the winnowed ones, then all of each short length."""
-    for size in [k, *short]:
+def _fingerprints(words: Words, window: int, k: int, short: list[int]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(length, reach of the context, positions, fingerprints): the winnowed k-grams, then all of each short length, k too."""
+    for size, winnowed in [(k, True), *((n, False) for n in short)]:
         hashes = grams(words.hash, size)
         fits = _inside(words.first, len(hashes), size)
-        if size == k:
+        if winnowed:
             # A k-gram across two texts must not hide one of either text.
             fits &= _winnow(np.where(fits, hashes, np.uint64(2**64 - 1)), window - k + 1)
         at = np.flatnonzero(fits)
-        yield size, at, hashes[at]
+        yield size, window - k if winnowed else 0, at, hashes[at]
 
 
 def _context(words: Words, text: int, at: int, size: int, reach: int) -> tuple[list[str], list[str], list[str]]:
@@ -82,12 +82,12 @@ def _context(words: Words, text: int, at: int, size: int, reach: int) -> tuple[l
 
 def _rows(words: Words, window: int, k: int, short: list[int], wanted) -> list[list[dict]]:
     rows: list[list[dict]] = [[] for _ in range(len(words.first) - 1)]
-    for size, at, prints in _fingerprints(words, window, k, short):
+    for size, reach, at, prints in _fingerprints(words, window, k, short):
         keep = wanted(prints)
         at, prints = at[keep], prints[keep]
         texts = np.searchsorted(words.first, at, "right") - 1
         for i, p, h in zip(texts.tolist(), at.tolist(), prints.view(np.int64).tolist(), strict=True):
-            gram, before, after = _context(words, i, p, size, window - k if size == k else 0)
+            gram, before, after = _context(words, i, p, size, reach)
             rows[i].append({"fp": h, "pos": p - int(words.first[i]), "gram": gram, "before": before, "after": after})
     return rows
 

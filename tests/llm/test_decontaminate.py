@@ -70,6 +70,17 @@ def test_planted_passages(spark):
     assert found.where(is_contaminated()).count() > 5
 
 
+def test_items_of_every_length_are_found_everywhere(spark):
+    rng = random.Random(5)
+    items = [(n, " ".join(f"i{n}x{j}" for j in range(n))) for n in range(1, 15)]
+    docs = []
+    for i in range(280):
+        fill = [f"f{rng.randrange(10_000)}" for _ in range(30)]
+        at = rng.randrange(31)
+        docs.append((i, " ".join([*fill[:at], items[i % 14][1], *fill[at:]])))
+    check(spark, docs, items)
+
+
 def test_awkward_rows(spark):
     item = " ".join(f"w{i}" for i in range(30))
     docs = [(1, None), (2, ""), (3, "!!"), (4, item), (5, item), (5, item), (None, item), (6, "same " * 5000),
