@@ -282,6 +282,21 @@ def pack(
     )
 
 
+def checksums(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with ``ids_crc32`` taken from the ``ids`` they hold, which are left out."""
+    at, old = pieces.columns.index("ids"), pieces.columns.index("ids_crc32")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(at)
+            values, edges = ids.values.to_numpy().astype("<u4", copy=False), ids.offsets.to_numpy().tolist()
+            found = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(edges, edges[1:])]
+            columns = [pa.array(found, pa.int64()) if i == old else c for i, c in enumerate(batch.columns) if i != at]
+            yield pa.RecordBatch.from_arrays(columns, names=[n for i, n in enumerate(batch.schema.names) if i != at])
+
+    return pieces.mapInArrow(check, pieces.drop("ids").schema)
+
+
 def _placed(spark: SparkSession, ranked: DataFrame, places: list[tuple[int, int, int, int, int]]) -> DataFrame:
     """Sequence and offset of every (length, rank): the last place of the length that begins at or before the rank."""
     table = np.array(places, np.int64).reshape(-1, 5)

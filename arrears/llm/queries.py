@@ -37,9 +37,7 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(
-        _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False
-    )
+    return packing.checksums(packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,8 +39,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' tokens and their places in sequences."""
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER), keep_ids=False)
+    """Pieces of the documents' tokens, with their ids, and their places in sequences."""
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [

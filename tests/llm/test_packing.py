@@ -9,8 +9,10 @@ import pytest
 from awkward import AWKWARD, frame
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from arrears.llm import packing, queries
 from arrears.llm.packing import WordTokenizer, pack, place_lengths
 
@@ -109,3 +111,20 @@ def test_query_packs_every_document(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     assert sum(r.length for r in rows) == sum(len(ids_of(d.text)) for d in docs)
     assert "ids" not in rows[0].asDict()
+
+
+def test_query_takes_its_digests_from_the_packed_ids(spark, sf_dir, monkeypatch):
+    whole = packing.pack
+    monkeypatch.setattr(packing, "pack", lambda *a, **b: whole(*a, **b).withColumn("ids", F.reverse("ids")))
+    want = Counter()
+    for d in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        ids = ids_of(d.text)
+        for a in range(0, len(ids), 4096):
+            want[d.doc_id, a, zlib.crc32(np.array(ids[a : a + 4096][::-1], "<u4").tobytes())] += 1
+    rows = queries.op4_packing(spark, sf_dir).collect()
+    assert Counter((r.doc_id, r.start, r.ids_crc32) for r in rows) == want
+
+
+def test_pipeline_returns_the_ids(spark):
+    docs = frame(spark, AWKWARD)
+    check(corpus_pipeline.packed(spark, docs, "").collect(), AWKWARD)
