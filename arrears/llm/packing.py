@@ -2,15 +2,20 @@
 
 1. One pass tokenises whole texts, adds the end id and cuts a document into
    pieces of ``length`` ids and a rest. A piece carries its running number among
-   the pieces of its length in its partition.
+   the pieces of its length in its partition, and its ids as little-endian
+   unsigned 32-bit numbers.
 2. The histogram of piece lengths (``length`` rows at most) is all the driver
-   sees. Lengths are placed longest first, each into the open patterns with the
-   least room that still takes it; counts of patterns are updated, never single
-   sequences. The result is a list of places: so many pieces of this length, the
-   first of them at this offset of this sequence, the next in the next sequence.
-   There are few more places than lengths, whatever the number of documents.
+   sees. Lengths are placed longest first, each into the open pattern with the
+   most room (the shortest pack), or into new sequences where that has too
+   little; counts of patterns are updated, never single sequences. The result is
+   a list of places: so many pieces of this length, the first of them at this
+   offset of this sequence, the next in the next sequence. There are a few times
+   as many places as lengths, whatever the number of documents.
 3. A piece's rank within its length is the number of such pieces in earlier
-   partitions plus its running number; the rank leads to its place.
+   partitions plus its running number. The pieces of a length and partition have
+   consecutive ranks, so their places are a few runs, found for those pairs
+   alone; the pieces join their pair's runs. The ids are shuffled once, not
+   sorted, and never go to Python again.
 
 Null texts count as empty: they have the end id alone. Equal rows are packed
 each by itself. An empty table gives no sequences.
@@ -30,7 +35,6 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from arrears.llm.tables import column, ship, text_column, written
 from arrears.llm.words import byte_table, bytes_of, hash_runs, slices
@@ -198,12 +202,11 @@ def place_lengths(histogram: dict[int, int], length: int = LENGTH) -> list[tuple
     for size in sorted(histogram, reverse=True):
         left, rank = histogram[size], 0
         while left:
-            at = next((i for i, (room, _, _) in enumerate(open_by_room) if room >= size), None)
-            if at is None:
+            if open_by_room and open_by_room[-1][0] >= size:
+                room, first, count = open_by_room.pop()
+            else:
                 room, first, count = length, next_sequence, left
                 next_sequence += left
-            else:
-                room, first, count = open_by_room.pop(at)
             taken = min(left, count)
             places.append((size, rank, taken, first, length - room))
             if count > taken:
@@ -236,18 +239,18 @@ def _pieces(docs: DataFrame, model: str, length: int, end_id: int, keep_ids: boo
                         number.append(seen[len(piece)])
                         seen[len(piece)] += 1
                         if keep_ids:
-                            kept.append(piece.astype(np.int32))
+                            kept.append(piece.tobytes())
                 columns = [some.column(0).take(pa.array(owner, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, size, check, total))]
                 columns += [pa.array(np.full(len(owner), part), pa.int64()), pa.array(number, pa.int64())]
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "number"]
                 if keep_ids:
-                    columns.append(pa.array(kept, pa.list_(pa.int32())))
+                    columns.append(pa.array(kept, pa.binary()))
                     names.append("ids")
                 yield pa.record_batch(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, part long, number long"
-    return docs.mapInArrow(cut, schema + (", ids array<int>" if keep_ids else ""))
+    return docs.mapInArrow(cut, schema + (", ids binary" if keep_ids else ""))
 
 
 def pack(
@@ -261,6 +264,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if wanted, its ids.
 
+    ``ids`` is binary: the ids as little-endian unsigned 32-bit numbers.
     ``tokenizer_path`` is read on the driver; executors get its content.
     """
     spark = docs.sparkSession
@@ -274,48 +278,44 @@ def pack(
     places = place_lengths(histogram, length)
 
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select("length", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    pairs = per_part.select("length", "part", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     # Not for broadcast: it has rows for every partition, and its files look smaller than it is.
-    ranked = pieces.join(offsets.hint("merge"), ["length", "part"]).withColumn("rank", F.col("before") + F.col("number"))
-    return _placed(spark, ranked, places).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *(["ids"] if keep_ids else [])
+    runs = _runs(spark, pairs, places).hint("shuffle_hash")
+    run = F.element_at(F.filter("runs", lambda r: r["number"] <= F.col("number")), -1)
+    return pieces.join(runs, ["length", "part"]).withColumn("run", run).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens",
+        (F.col("run.sequence_id") + F.col("number") - F.col("run.number")).alias("sequence_id"),
+        F.col("run.offset").alias("offset"),
+        *(["ids"] if keep_ids else []),
     )
 
 
 def checksums(pieces: DataFrame) -> DataFrame:
     """``pieces`` with ``ids_crc32`` taken from the ``ids`` they hold, which are left out."""
-    at, old = pieces.columns.index("ids"), pieces.columns.index("ids_crc32")
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(at)
-            values, edges = ids.values.to_numpy().astype("<u4", copy=False), ids.offsets.to_numpy().tolist()
-            found = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(edges, edges[1:])]
-            columns = [pa.array(found, pa.int64()) if i == old else c for i, c in enumerate(batch.columns) if i != at]
-            yield pa.RecordBatch.from_arrays(columns, names=[n for i, n in enumerate(batch.schema.names) if i != at])
-
-    return pieces.mapInArrow(check, pieces.drop("ids").schema)
-
-
-def _placed(spark: SparkSession, ranked: DataFrame, places: list[tuple[int, int, int, int, int]]) -> DataFrame:
-    """Sequence and offset of every (length, rank): the last place of the length that begins at or before the rank."""
-    table = np.array(places, np.int64).reshape(-1, 5)
-    shared = spark.sparkContext.broadcast(table)
-    at = [ranked.columns.index(c) for c in ("length", "rank")]
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, first, _, sequence, offset = shared.value.T
-        order = np.lexsort((first, size))
-        size, first, sequence, offset = size[order], first[order], sequence[order], offset[order]
-        most = first.max(initial=0) + 1
+
+def _runs(spark: SparkSession, pairs: DataFrame, places: list[tuple[int, int, int, int, int]]) -> DataFrame:
+    """length, part and the runs of that pair's pieces: first number, its sequence and the offset of all.
+
+    A run is a place, or the part of one, that the pair's ranks fall into.
+    """
+    shared = spark.sparkContext.broadcast(np.array(places, np.int64).reshape(-1, 5))
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, first, count, sequence, offset = shared.value.T
         for batch in batches:
-            own, rank = (batch.column(i).to_numpy() for i in at)
-            # Ranks beyond the last place's first rank fall into that place all the same.
-            i = np.searchsorted(size * most + first, own * most + np.minimum(rank, most - 1), "right") - 1
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(sequence[i] + rank - first[i]), pa.array(offset[i])],
-                names=[*batch.schema.names, "sequence_id", "offset"],
-            )
-
-    added = [T.StructField(c, T.LongType()) for c in ("sequence_id", "offset")]
-    return ranked.mapInArrow(place, T.StructType([*ranked.schema.fields, *added]))
+            found = []
+            for own, n, before in zip(*(batch.column(c).to_pylist() for c in ("length", "n", "before")), strict=True):
+                a, b = np.searchsorted(-size, [-own, -own + 1])  # places lie by falling length, then by rank
+                a += np.searchsorted(first[a:b] + count[a:b], before, "right")
+                b -= (b - a) - np.searchsorted(first[a:b], before + n, "left")
+                numbers = np.maximum(first[a:b] - before, 0)
+                found.append([
+                    {"number": x, "sequence_id": y, "offset": z}
+                    for x, y, z in zip(numbers.tolist(), (sequence[a:b] + before + numbers - first[a:b]).tolist(), offset[a:b].tolist(), strict=True)
+                ])
+            kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("number", "sequence_id", "offset")]))
+            yield pa.record_batch([batch.column("length"), batch.column("part"), pa.array(found, kind)], names=["length", "part", "runs"])
+
+    return pairs.mapInArrow(runs, "length long, part long, runs array<struct<number: long, sequence_id: long, offset: long>>")

@@ -49,8 +49,9 @@ def check(rows, docs, length=4096):
     pieces = defaultdict(list)
     sequences = defaultdict(list)
     for r in rows:
-        assert r.length == len(r.ids) and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
-        pieces[r.doc_id, r.doc_tokens, r.start].append(tuple(r.ids))
+        ids = np.frombuffer(r.ids, "<u4")
+        assert r.length == len(ids) and zlib.crc32(r.ids) == r.ids_crc32
+        pieces[r.doc_id, r.doc_tokens, r.start].append(tuple(ids.tolist()))
         sequences[r.sequence_id].append((r.offset, r.length))
     for doc_id, counted in texts.items():
         for ids, times in counted.items():
@@ -97,6 +98,12 @@ def test_places_hold_every_piece_once(seed):
     assert max(used.values()) <= 64 and sorted(used) == list(range(len(used)))
 
 
+def test_a_length_goes_to_the_pattern_with_the_most_room():
+    assert place_lengths({3000: 1, 2500: 1, 1000: 1}) == [(3000, 0, 1, 0, 0), (2500, 0, 1, 1, 0), (1000, 0, 1, 1, 2500)]
+    # Where even that one is too full, new sequences begin.
+    assert place_lengths({40: 2, 30: 3}, 64) == [(40, 0, 2, 0, 0), (30, 0, 3, 2, 0)]
+
+
 def test_places_do_not_grow_with_the_documents():
     few = {n: 3 + n % 7 for n in range(1, 4097)}
     many = {n: c * 100_000 for n, c in few.items()}
@@ -113,9 +120,15 @@ def test_query_packs_every_document(spark, sf_dir):
     assert "ids" not in rows[0].asDict()
 
 
+def reversed_ids(ids):
+    """The ids of a piece in the opposite order: four bytes each."""
+    starts = F.sequence(F.length(ids) - 3, F.lit(1), F.lit(-4))
+    return F.unhex(F.array_join(F.transform(starts, lambda i: F.hex(F.substring(ids, i, F.lit(4)))), ""))
+
+
 def test_query_takes_its_digests_from_the_packed_ids(spark, sf_dir, monkeypatch):
     whole = packing.pack
-    monkeypatch.setattr(packing, "pack", lambda *a, **b: whole(*a, **b).withColumn("ids", F.reverse("ids")))
+    monkeypatch.setattr(packing, "pack", lambda *a, **b: whole(*a, **b).withColumn("ids", reversed_ids(F.col("ids"))))
     want = Counter()
     for d in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
         ids = ids_of(d.text)
