@@ -20,8 +20,10 @@ counts.
    a folder of its own number; a repeated batch replaces its folder. Their sums
    are the counters.
 
-State is kept in RocksDB, so it may outgrow an executor's memory, and changes are
-in the checkpoint folder: a lost executor or a restarted query goes on from there.
+Every change of the state is in the checkpoint folder: a lost executor or a
+restarted query goes on from there. The state of a table of more than
+``MOST_IN_MEMORY`` rows is kept in RocksDB, so it may outgrow the executors' memory;
+smaller ones, about 100 bytes a text over all executors, are spared its files.
 
 Null text, and null lang as the part, count as empty. A null id is never smaller
 than another and has no smaller one. Rows with equal id and equal text do not
@@ -41,7 +43,7 @@ from math import ceil, log2
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -65,6 +67,10 @@ MOST_TEXTS = 1 << 17
 #: Texts that share a row of the state store, about: each row costs a call of Python.
 TEXTS_PER_STATE = 64
 
+#: Rows of a table whose state is kept in the executors' memory.
+MOST_IN_MEMORY = 20_000_000
+
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _COPY = 1 << FILTERS.index("E")
 _BYTES = np.arange(256)
 #: Bytes of words, upper and lower case apart; 255 stands for NUL.
@@ -192,12 +198,16 @@ def retract(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> It
         yield pd.DataFrame({"part": part, "label": label, "mask": mask, "n": n})
 
 
-def _state_bits(spark: SparkSession, folder: str, rows: int) -> int:
-    """Bits of a text's digest that name its state row: for about ``TEXTS_PER_STATE`` texts each, once and for all in a folder."""
-    path = f"{folder}/layout"
-    wanted = max(0, min(40, ceil(log2(max(1, rows / TEXTS_PER_STATE)))))
-    spark.createDataFrame([(wanted,)], "bits int").write.mode("ignore").parquet(path)
-    return spark.read.schema("bits int").parquet(path).first().bits
+def _layout(spark: SparkSession, folder: str, rows: int) -> Row:
+    """How the folder keeps its state, decided by its first table.
+
+    ``bits`` of a text's digest name its state row, of about ``TEXTS_PER_STATE``
+    texts; ``on_disk`` says whether the state is kept in RocksDB.
+    """
+    path, schema = f"{folder}/layout", "bits int, on_disk boolean"
+    bits = max(0, min(40, ceil(log2(max(1, rows / TEXTS_PER_STATE)))))
+    spark.createDataFrame([(bits, rows > MOST_IN_MEMORY)], schema).coalesce(1).write.mode("ignore").parquet(path)
+    return spark.read.schema(schema).parquet(path).first()
 
 
 def mask_counts(
@@ -225,11 +235,11 @@ def mask_counts(
     )
     table = spark.read.parquet(path)
     files = len(table.inputFiles())
-    bits = _state_bits(spark, folder, table.count())
+    layout = _layout(spark, folder, table.count())
     own = spark.newSession()
-    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
-    own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "300")
+    if layout.on_disk:
+        own.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+        own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     flags = own.read.schema(flags.schema).parquet(flags.inputFiles()[0].rsplit("/", 1)[0]) if flags.inputFiles() else own.createDataFrame([], flags.schema)
     # The last letter in brackets makes the path a pattern: a stream does not take a single file's plain path.
     stream = own.readStream.schema(table.schema).option("maxFilesPerTrigger", max(1, ceil(files / batches))).parquet(f"{path[:-1]}[{path[-1]}]")
@@ -238,7 +248,7 @@ def mask_counts(
     ).select("doc_id", "part", F.unhex(F.sha2("text", 256)).alias("digest"), "text")
     judged = rows.mapInArrow(_judge, "doc_id long, part string, digest binary, mask int")
     labelled = judged.join(flags, "doc_id", "left").select("digest", "mask", "doc_id", "part", F.coalesce("label", F.lit(0)).alias("label"))
-    changes = labelled.mapInArrow(_merge_texts(bits), _ROW).groupBy("state_row").applyInPandasWithState(
+    changes = labelled.mapInArrow(_merge_texts(layout.bits), _ROW).groupBy("state_row").applyInPandasWithState(
         retract, _CHANGE, _STATE, "append", GroupStateTimeout.NoTimeout
     )
 
