@@ -44,7 +44,7 @@ UNIT = 10**9
 TOP = 200
 
 #: Rows of partial counts that a task gathers before it hands them on.
-MOST_COUNTS = 1 << 20
+MOST_COUNTS = 1 << 18
 
 #: Cells of a matrix of terms by sources.
 _CELLS = 1 << 18

@@ -1,0 +1,102 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from awkward import AWKWARD
+
+from arrears.llm import divergence
+from arrears.llm.divergence import count_terms, divergence_report, share
+
+SCHEMA = "doc_id long, lang string, source string, text string, term string, `n.n` int, value int"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def expected(docs, min_docs=3, top=200):
+    terms = [(lang or "", source or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER)))
+             for lang, source, text in docs]
+    within, groups = defaultdict(Counter), defaultdict(lambda: defaultdict(Counter))
+    for lang, source, words in terms:
+        within[lang].update(set(words))
+        groups[lang][source].update(words)
+    rows = []
+    for lang, sources in groups.items():
+        kept = sorted(t for t, n in within[lang].items() if n >= min_docs)
+
+        def shares(counts, kept=kept):
+            total = sum(counts[t] for t in kept)
+            return {t: 1 + 10**9 * (counts[t] + 1) // (total + len(kept)) for t in kept}
+
+        p = {s: shares(c) for s, c in sources.items()}
+        q = shares(sum(sources.values(), Counter()))
+        for s, counts in sources.items():
+            found = {"pair": [(sum((p[s][t] - p[o][t]) ** 2 // p[o][t] for t in kept), o) for o in sources if o != s]}
+            found["term"] = [((p[s][t] - q[t]) ** 2 // q[t], t) for t in kept if counts[t] and p[s][t] > q[t]]
+            for part, items in found.items():
+                ranked = sorted(items, key=lambda x: (-x[0], x[1].encode()))
+                rows += [(lang, s, part, item, value, i) for i, (value, item) in enumerate(ranked[: top if part == "term" else None], 1)]
+    return sorted(rows)
+
+
+def run(spark, docs, partitions=3, **options):
+    rows = [(i, *d, "mine", 1, 2) for i, d in enumerate(docs)]
+    got = divergence_report(spark.createDataFrame(rows, SCHEMA).repartition(partitions), **options)
+    assert got.columns == ["lang", "source", "part", "item", "value", "rank"]
+    return sorted(map(tuple, got.collect()))
+
+
+def random_docs(seed, n, sources=5):
+    rng = random.Random(seed)
+    words = [f"{a}{b}" for a in "abcäß日" for b in "XyzÉ"] + ["the"] * 20
+    docs = []
+    for _ in range(n):
+        source = rng.choice(["hot"] * 5 + [f"s{i}" for i in range(sources)] + [None, ""])
+        docs.append((rng.choice(["en", "de", None]), source, rng.choice(" ,.1\x00").join(rng.choices(words, k=rng.randint(0, 40)))))
+    return docs
+
+
+@pytest.mark.parametrize("options", [{}, {"min_docs": 1, "top": 3}, {"top": 1}])
+def test_equals_brute_force(spark, options):
+    docs = random_docs(1, 150)
+    assert run(spark, docs, **options) == expected(docs, **options)
+
+
+def test_counts_handed_on_early_and_small_blocks(spark, monkeypatch):
+    docs = random_docs(2, 200)
+    rows = [pa.record_batch({"lang": ["en"] * 50, "source": [str(i % 3) for i in range(50)], "text": [d[2] for d in docs[a : a + 50]]})
+            for a in range(0, 200, 50)]
+    whole = Counter()
+    for batch in rows:
+        for r in count_terms(batch).to_pylist():
+            whole[r["source"], r["term"]] += r["n"]
+    monkeypatch.setattr(divergence, "MOST_COUNTS", 5)
+    parts = list(divergence.partial_counts(iter(rows)))
+    assert len(parts) > 1
+    got = Counter()
+    for part in parts:
+        for r in part.to_pylist():
+            got[r["source"], r["term"]] += r["n"]
+    assert got == whole
+
+
+def test_awkward_rows(spark):
+    docs = [("en", "a", t) for _, t in AWKWARD] + [("en", "b", t) for _, t in AWKWARD[:6]] + [(None, None, None), ("xx", "only", "")]
+    assert run(spark, docs, min_docs=2) == expected(docs, min_docs=2)
+
+
+def test_groups_without_kept_terms_and_an_empty_table(spark):
+    docs = [("en", "a", "one two"), ("en", "b", "three"), ("en", "c", None), ("de", "z", "vier")]
+    assert run(spark, docs) == expected(docs) == [
+        ("en", s, "pair", o, 0, i) for s in "abc" for i, o in enumerate([x for x in "abc" if x != s], 1)
+    ]
+    assert run(spark, []) == []
+
+
+def test_shares_are_exact_for_large_counts():
+    rng = random.Random(4)
+    totals = [rng.randint(1, 9 * 10**15) for _ in range(500)]
+    counts = [rng.randint(0, t - 1) for t in totals]
+    got = share(np.array(counts), np.array(totals))
+    assert got.tolist() == [1 + 10**9 * (c + 1) // t for c, t in zip(counts, totals)]
