@@ -34,7 +34,7 @@ def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(driver.queries())
     assert set(ORACLE) <= set(driver.oracle_sql()) and "pipeline" not in driver.oracle_sql()
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_pipeline_equals_a_plain_version(spark, sf_dir):
