@@ -12,9 +12,9 @@ by its own figures:
 * other blocks are ambiguous.
 
 In the second pass an ambiguous block takes the label of the nearest decided
-blocks before and after it: within ``article`` or ``main`` only decided blocks of
-the same element count, and without any it is good; elsewhere it is good when both
-sides are, and a heading when the next decided block is.
+blocks before and after it. Within ``article`` or ``main`` only decided blocks of
+the same element count: it is bad if all there are bad, else good. Elsewhere it is
+good when both sides are, and a heading when the next decided block is.
 
 Character references are decoded once, white space inside a block (``br``
 included) becomes one space. Nothing is dropped for its size, and the work is
@@ -140,7 +140,7 @@ class _Page:
     links: int = 0
     n_unseen: int = 0
     n_chrome: int = 0
-    n_soft: int = 0
+    softly: list[_Open] = field(default_factory=list)
     named: Counter = field(default_factory=Counter)
     open_regions: list[int] = field(default_factory=list)
     regions: int = 0
@@ -174,13 +174,12 @@ class _Page:
         return self.last_end[tag] > at
 
     def open(self, tag: str, attributes: str, at: int) -> None:
-        if tag in MAIN_TAGS and self.n_soft:
+        if tag in MAIN_TAGS:
             # An article shows that what is open around it is a wrapper, or was never closed. Comments stay comments.
-            for e in self.stack:
-                if e.soft:
-                    e.chrome = e.soft = False
-            self.n_chrome -= self.n_soft
-            self.n_soft = 0
+            for e in self.softly:
+                e.chrome = e.soft = False
+            self.n_chrome -= len(self.softly)
+            self.softly.clear()
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th"):
             self._close_open(tag)
         element = _Open(tag, unseen=tag in UNSEEN_TAGS)
@@ -199,7 +198,8 @@ class _Page:
             self.open_regions.append(element.region)
         self.n_unseen += element.unseen
         self.n_chrome += element.chrome
-        self.n_soft += element.soft
+        if element.soft:
+            self.softly.append(element)
         self.named[tag] += 1
         self.stack.append(element)
 
@@ -208,7 +208,8 @@ class _Page:
         for e in self.stack[k:]:
             self.n_unseen -= e.unseen
             self.n_chrome -= e.chrome
-            self.n_soft -= e.soft
+            if e.soft:
+                self.softly.pop()
             self.named[e.tag] -= 1
             if e.region:
                 self.open_regions.pop()
@@ -328,14 +329,8 @@ def label(blocks: list[Block]) -> None:
         k = bisect_left(known, i)
         before, after = (known[k - 1] if k else None), (known[k] if k < len(known) else None)
         if block.region:
-            near = [j for j in (before, after) if j is not None]
-            labels = {first[j] for j in near}
-            if len(labels) == 2:
-                # Undecided sides: the nearer one, and the text where both are as near.
-                labels = {"good"} if before is None or after is None or i - before == after - i else {
-                    first[before] if i - before < after - i else first[after]
-                }
-            block.label = labels.pop() if labels else "good"
+            near = {first[j] for j in (before, after) if j is not None}
+            block.label = "bad" if near == {"bad"} else "good"
         else:
             sides = [first[j] if j is not None else "bad" for j in (before, after)]
             block.label = "good" if sides[1] == "good" and (block.heading or sides[0] == "good") else "bad"
