@@ -5,9 +5,9 @@ text that some document with a smaller id has too. The audit counts documents by
 the set (mask) of filters they fail, and everything it reports follows from those
 counts.
 
-1. A file stream takes the table in micro-batches, all that is there now. Numpy
-   inside ``mapInArrow`` judges each text once and keeps 32 bytes of it (SHA-256).
-   Texts are not shuffled.
+1. A file stream takes the table in micro-batches, all that is there now. Column
+   functions judge each text once and keep 32 bytes of it (SHA-256). Texts go
+   neither to Python nor through a shuffle.
 2. Each task merges its rows by text: rows that are not the smallest of their text
    there are rejected for good and only counted. So a text that a third of all
    rows share is a few rows a task.
@@ -39,16 +39,15 @@ from collections import defaultdict
 from collections.abc import Iterator
 from itertools import permutations
 from math import ceil, log2
+from string import ascii_uppercase
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from arrears.llm.tables import column, ship, text_column, written
-from arrears.llm.words import bytes_of, find_words, slices
 from arrears.session import work_dir
 
 # The filters in the order of their bits, and their limits.
@@ -56,7 +55,6 @@ FILTERS = "ABCDE"
 LEAST_WORDS = 100
 LEAST_DISTINCT = 80
 MOST_CAPITALS = 10
-SIGNS = b"#$%&*|"
 
 #: Micro-batches that a table of many files is taken in, about.
 BATCHES = 4
@@ -65,56 +63,37 @@ BATCHES = 4
 MOST_TEXTS = 1 << 17
 
 #: Texts that share a row of the state store, about: each row costs a call of Python.
-TEXTS_PER_STATE = 64
+TEXTS_PER_STATE = 256
+
+#: Rows of the table for each partition of the state, which has the session's shuffle partitions at most.
+ROWS_PER_PARTITION = 20_000
 
 #: Rows of a table whose state is kept in the executors' memory.
 MOST_IN_MEMORY = 20_000_000
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _COPY = 1 << FILTERS.index("E")
-_BYTES = np.arange(256)
-#: Bytes of words, upper and lower case apart; 255 stands for NUL.
-_CASED = np.where((_BYTES == 32) | ((_BYTES >= 9) & (_BYTES <= 13)), 0, np.where(_BYTES == 0, 255, _BYTES)).astype(np.uint8)
-_CAPITAL = (_BYTES >= 65) & (_BYTES <= 90)
-_SIGN = np.isin(_BYTES, list(SIGNS))
-_FIRST = (_BYTES & 0xC0) != 0x80
-
 _ROW = "state_row long, digest binary, mask int, head boolean, doc_id long, part string, label int, n long"
 _STATE = "digest array<binary>, least array<long>, text array<int>, part array<string>, label array<int>, n array<long>"
 _CHANGE = "part string, label int, mask int, n long"
 
 
-def masks(texts: pa.Array) -> np.ndarray:
-    """Bits of the filters A to D for each text."""
-    words = find_words(texts, _CASED)
-    data, offsets = bytes_of(texts)
-    n_words = np.diff(words.first)
-    owner = np.repeat(np.arange(len(texts)), n_words)
-    order = np.lexsort((words.hash, owner))
-    new = np.ones(len(order), bool)
-    new[1:] = (np.diff(owner[order]) != 0) | (words.hash[order][1:] != words.hash[order][:-1])
-    distinct = np.bincount(owner[order][new], minlength=len(texts))
-
-    def count(table: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(table[data], dtype=np.int64)])
-        return np.diff(total[offsets])
-
-    fails = [
-        n_words < LEAST_WORDS,
-        100 * distinct < LEAST_DISTINCT * n_words,
-        100 * count(_CAPITAL) > MOST_CAPITALS * count(_FIRST),
-        count(_SIGN) > 0,
-    ]
-    return sum(f.astype(np.int32) << i for i, f in enumerate(fails)).astype(np.int32)
-
-
-def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, part, digest and text to doc_id, part, digest and mask."""
-    for batch in batches:
-        for some in slices(batch, 3):
-            yield pa.RecordBatch.from_arrays(
-                [*some.columns[:3], pa.array(masks(some.column(3)))], names=["doc_id", "part", "digest", "mask"]
-            )
+def mask(text: Column) -> Column:
+    """Bits of the filters A to D that a text fails."""
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    counts = F.struct(
+        F.size(words).alias("words"), F.size(F.array_distinct(words)).alias("distinct"), F.char_length(text).alias("chars"),
+        F.char_length(F.translate(text, ascii_uppercase, "")).alias("others"), text.rlike("[#$%&*|]").alias("signs"),
+    )
+    # A struct in a list of one: the counts are taken once and used many times.
+    return F.transform(F.array(counts), lambda c: sum(
+        (F.when(fails, 1 << i).otherwise(0) for i, fails in enumerate([
+            c["words"] < LEAST_WORDS,
+            100 * c["distinct"].cast("long") < LEAST_DISTINCT * c["words"].cast("long"),
+            100 * (c["chars"] - c["others"]).cast("long") > MOST_CAPITALS * c["chars"].cast("long"),
+            c["signs"],
+        ])), F.lit(0),
+    ))[0]
 
 
 def _merge_texts(bits: int):
@@ -235,8 +214,11 @@ def mask_counts(
     )
     table = spark.read.parquet(path)
     files = len(table.inputFiles())
-    layout = _layout(spark, folder, table.count())
+    n_rows = table.count()
+    layout = _layout(spark, folder, n_rows)
     own = spark.newSession()
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own.conf.set("spark.sql.shuffle.partitions", str(max(1, min(most, max(8, n_rows // ROWS_PER_PARTITION)))))
     if layout.on_disk:
         own.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
         own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
@@ -245,8 +227,8 @@ def mask_counts(
     stream = own.readStream.schema(table.schema).option("maxFilesPerTrigger", max(1, ceil(files / batches))).parquet(f"{path[:-1]}[{path[-1]}]")
     rows = stream.select(
         column(stream, id_col).cast("long").alias("doc_id"), text_column(stream, part_col).alias("part"), text_column(stream, text_col).alias("text")
-    ).select("doc_id", "part", F.unhex(F.sha2("text", 256)).alias("digest"), "text")
-    judged = rows.mapInArrow(_judge, "doc_id long, part string, digest binary, mask int")
+    )
+    judged = rows.select("doc_id", "part", F.unhex(F.sha2("text", 256)).alias("digest"), mask(F.col("text")).alias("mask"))
     labelled = judged.join(flags, "doc_id", "left").select("digest", "mask", "doc_id", "part", F.coalesce("label", F.lit(0)).alias("label"))
     changes = labelled.mapInArrow(_merge_texts(layout.bits), _ROW).groupBy("state_row").applyInPandasWithState(
         retract, _CHANGE, _STATE, "append", GroupStateTimeout.NoTimeout

@@ -3,11 +3,11 @@ import re
 from collections import Counter
 from itertools import permutations
 
-import pyarrow as pa
 from awkward import AWKWARD
+from pyspark.sql import functions as F
 
 from arrears.llm import interaction
-from arrears.llm.interaction import interactions, mask_counts, masks
+from arrears.llm.interaction import interactions, mask, mask_counts
 
 DOCS = "doc_id long, text string, lang string, mask int, `a.b` int"
 LABELS = "doc_id long, quality int, toxic int, mask int"
@@ -85,9 +85,11 @@ def random_docs(seed, n):
     return [(i, texts[0] if rng.random() < 0.3 else rng.choice(texts), rng.choice(["en", "de", "", None])) for i in ids]
 
 
-def test_masks_of_random_and_awkward_texts():
+def test_masks_of_random_and_awkward_texts(spark):
     texts = [t for _, t in AWKWARD] + [t for _, t, _ in random_docs(1, 200)] + ["A" * 10 + "b" * 90, "A" * 11 + "b" * 89, "Ä" * 5 + "É"]
-    assert masks(pa.array(texts, pa.string())).tolist() == [mask_of(t) for t in texts]
+    table = spark.createDataFrame(list(enumerate(t or "" for t in texts)), "i int, text string")
+    got = {r.i: r.mask for r in table.select("i", mask(F.col("text")).alias("mask")).collect()}
+    assert [got[i] for i in range(len(texts))] == [mask_of(t) for t in texts]
 
 
 def test_counters_after_many_batches_with_smaller_ids_arriving_late(spark, tmp_path, monkeypatch):
