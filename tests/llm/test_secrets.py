@@ -1,12 +1,14 @@
 import hashlib
 import re
+import time
 import uuid
 
 import pytest
 from awkward import AWKWARD, frame
+from pyspark.sql import functions as F
 
 from arrears.llm import queries, secrets
-from arrears.llm.secrets import BASE, RULES, Rule, scan_versions, scanner
+from arrears.llm.secrets import BASE, RULES, Rule, scan_versions, scanner, version_of
 
 KEY = "AKIA" + "Z9" * 9
 TEXTS = [
@@ -57,18 +59,60 @@ def test_awkward_rows_and_copies(spark, tmp_path):
     assert spark.read.parquet(path).count() == len({t or "" for _, t in pairs})
 
 
-def test_only_unseen_blobs_and_rules_are_scanned(spark, tmp_path):
-    path, rules = ledger_of(tmp_path), (Rule("x", "xx+"),)
-    first = frame(spark, [(i, t) for i, t in enumerate(TEXTS)])
-    scan_versions(first, path, rules=rules)
-    before = {(r.blob, r.rule_version) for r in spark.read.parquet(path).collect()}
-    scan_versions(first.union(frame(spark, [(99, "a new xxx")])), path, rules=rules)
-    after = spark.read.parquet(path).collect()
-    assert len(after) == len(before) + 1
-    new = [r for r in after if (r.blob, r.rule_version) not in before]
-    assert [bytes(r.blob) for r in new] == [hashlib.sha256(b"a new xxx").digest()] and new[0].spans[0].kind == "x"
-    scan_versions(first, path, rules=(*rules, Rule("y", "yy+")))
-    assert spark.read.parquet(path).count() == len(after) + len(TEXTS)
+def scanned_pairs(spark, path):
+    """(blob, rule version) of every scan in the ledger."""
+    rows = spark.read.parquet(path).select("blob", "ruleset").collect()
+    return sorted((bytes(r.blob), v) for r in rows for v in r.ruleset.split("-"))
+
+
+def test_only_unseen_pairs_of_blob_and_rule_version_are_scanned(spark, tmp_path):
+    x, y, z = Rule("x", "xx+"), Rule("y", "yy+"), Rule("z", "zz+")
+    path, texts = ledger_of(tmp_path), ["xx yy", "zz", "", "xxx zzz yyy"]
+    blobs = {t: hashlib.sha256(t.encode()).digest() for t in [*texts, "a new xxx"]}
+    first = frame(spark, [(i, t) for i, t in enumerate(texts)])
+
+    def run(docs, *rules):
+        return {r.version.doc_id: [tuple(s) for s in r.spans] for r in scan_versions(docs, path, rules=rules).collect()}
+
+    run(first, x, y)
+    pairs = sorted((blobs[t], version_of(r)) for t in texts for r in (x, y))
+    assert scanned_pairs(spark, path) == pairs
+    # A new blob meets all rules, a new rule all blobs, and nothing is repeated.
+    both = first.union(frame(spark, [(99, "a new xxx"), (98, "zz")]))
+    got = run(both, x, y, z)
+    pairs = sorted(pairs + [(blobs[t], version_of(z)) for t in texts] + [(blobs["a new xxx"], version_of(r)) for r in (x, y, z)])
+    assert scanned_pairs(spark, path) == pairs
+    assert got == {0: [("x", 0, 2), ("y", 3, 5)], 1: [("z", 0, 2)], 98: [("z", 0, 2)], 2: [],
+                   3: [("x", 0, 3), ("z", 4, 7), ("y", 8, 11)], 99: [("x", 6, 9)]}
+    # A changed rule is a new version: old spans of its kind no longer count, other rules stand.
+    assert run(first, Rule("x", "xxx+"), y)[0] == [("y", 3, 5)]
+    assert len(scanned_pairs(spark, path)) == len(pairs) + len(texts)
+    assert run(first, x, y)[0] == [("x", 0, 2), ("y", 3, 5)] and run(first, z)[0] == []
+    assert len(scanned_pairs(spark, path)) == len(pairs) + len(texts)
+
+
+def test_partitions_without_a_wanted_rule_are_not_read(spark, tmp_path):
+    path, docs = ledger_of(tmp_path), frame(spark, [(1, "xx yy")])
+    for rule in (Rule("x", "xx+"), Rule("y", "yy+")):
+        scan_versions(docs, path, rules=(rule,))
+    known = secrets._known(spark, path, (Rule("y", "yy+"),))
+    assert len(known.select(F.input_file_name()).distinct().collect()) == 1
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*Contains\(ruleset", plan)
+
+
+@pytest.mark.parametrize("part", [
+    "eyJ", "eyJabcdefgh.", "eyJ-", "a://b:", "ab://", "x:y@", "a+", "gho_", "xoxb-", "AKIA", "password ", "token=", "-----BEGIN ", "AIza", "f", "A.",
+])
+def test_very_long_texts_take_linear_time(part):
+    begin = time.perf_counter()
+    scanner(RULES)(part * (1_000_000 // len(part)))
+    assert time.perf_counter() - begin < 5
+
+
+def test_long_credentials_and_either_case():
+    url = f"HTTPS://me:{'p' * 5_000}@host/x"
+    assert ("url_login", 4, 4 + url.index("@") + 1) in scanner(RULES)("see " + url)
 
 
 def test_an_empty_table(spark, tmp_path):
