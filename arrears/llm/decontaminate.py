@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrears.llm.tables import column, row_key, ship, written
+from arrears.llm.tables import column, fresh, row_key, ship, written
 from arrears.llm.words import Words, find_words, grams, slices
 
 WINDOW = 13
@@ -243,6 +243,7 @@ def is_contaminated() -> Column:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that are not contaminated, columns as they are. Equal rows share their fate."""
-    bad = contamination(docs, items, id_col, text_col).where(is_contaminated()).select(F.col("key").alias("bad_key")).distinct()
+    name = fresh(docs, "bad_key")
+    bad = contamination(docs, items, id_col, text_col).where(is_contaminated()).select(F.col("key").alias(name)).distinct()
     key = row_key(column(docs, id_col), column(docs, text_col))
-    return docs.join(bad, key == F.col("bad_key"), "left_anti")
+    return docs.join(bad, key == F.col(name), "left_anti")

@@ -110,3 +110,11 @@ def test_every_window_has_a_fingerprint(n):
     kept = _winnow(hashes, 7)
     for i in range(n - 6):
         assert (kept[i : i + 7] & (hashes[i : i + 7] == hashes[i : i + 7].min())).any()
+
+
+def test_columns_with_names_of_its_own(spark):
+    text = " ".join(f"word{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, text, 5, 6), (2, "something else", 7, 8)], "doc_id long, text string, bad_key int, row int")
+    items = spark.createDataFrame([("a", text)], "item_id string, text string")
+    kept = drop_contaminated(docs, items)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(2, "something else", 7, 8)]
