@@ -1,4 +1,8 @@
-"""Gradient-boosted classifier, its search space and the random search."""
+"""Search space, stages from raw features to probabilities, and Spark ML's own boosted classifier.
+
+The training job fits the models of :mod:`arrears.operators.boosting`; Spark ML's
+trees, which know no leaf penalties, can be searched with :func:`random_search`.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +18,9 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
+from arrears.operators.boosting import Model
 from arrears.operators.metrics import hard_auc
 from arrears.operators.scaling import Scaler
 from arrears.schemas import quoted
@@ -127,9 +133,32 @@ def input_names(scaler: Scaler) -> list[str]:
     return [*scaler.mean, *[f"{name} missing" for name in scaler.mean]]
 
 
-def probability() -> Column:
+def scaled_inputs(scaler: Scaler) -> SQLTransformer:
+    """Stage from raw features to scaled ones, NULL where missing: trees route missing rows themselves."""
+    terms = []
+    for i, name in enumerate(scaler.mean):
+        value = f"CAST({quoted(name)} AS DOUBLE)"
+        mean, scale = scaler.mean[name], scaler.scale[name]
+        scaled = "CAST(NULL AS DOUBLE)" if mean is None else f"({value} - {mean!r}D) / {scale!r}D"
+        terms.append(f"CASE WHEN isnan({value}) THEN NULL ELSE {scaled} END AS z_{i}")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__")
+
+
+def scaled_names(scaler: Scaler) -> list[str]:
+    return [f"z_{i}" for i in range(len(scaler.mean))]
+
+
+def boosted_pipeline(scaler: Scaler, model: Model) -> PipelineModel:
+    """Scaling and a fitted model's trees as SQL: scoring stays one generated stage."""
+    margin = model.margin(scaled_names(scaler))
+    scores = SQLTransformer(statement=f"SELECT *, 1D / (1D + exp(-({margin}))) AS probability FROM __THIS__")
+    return PipelineModel([scaled_inputs(scaler), scores])
+
+
+def probability(scored: DataFrame) -> Column:
     """Probability of class 1 in a transformed frame."""
-    return vector_to_array("probability")[1]
+    column = F.col("probability")
+    return column if scored.schema["probability"].dataType == DoubleType() else vector_to_array(column)[1]
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -15,6 +19,9 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+#: For sessions on a cluster: adaptive execution joins shuffle partitions that are too small, but never adds any.
+CLUSTER_DEFAULTS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192"}
+
 
 def build_session(app: str = "arrears", master: str | None = None, **conf: str) -> SparkSession:
     """Session with this library's defaults; ``conf`` keys use ``__`` for dots."""
@@ -24,7 +31,12 @@ def build_session(app: str = "arrears", master: str | None = None, **conf: str)
     settings = DEFAULTS | {key.replace("__", "."): value for key, value in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if spark.sparkContext.master.partition("[")[0] != "local":
+        for key, value in CLUSTER_DEFAULTS.items():
+            if spark.conf.get(key, None) is None:
+                spark.conf.set(key, value)
+    return spark
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -43,3 +55,20 @@ def work_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(f"{root}/checkpoints")
     return root
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="arrears-package-")) / "arrears-package.zip"
+    with zipfile.ZipFile(target, "w") as package:
+        for file in sorted(root.rglob("*.py")):
+            package.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
