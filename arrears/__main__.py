@@ -1,4 +1,4 @@
-"""Command line: ``python -m arrears bronze|backfill|counts|vintage|train|score``."""
+"""Command line: ``python -m arrears bronze|backfill|refresh|counts|vintage|train|score``."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from arrears.functions.dates import month_list
 from arrears.functions.delinquency import LABEL_DPD, LABEL_MOB
 from arrears.layout import Layout
 from arrears.operators.model import SEARCH_CANDIDATES
-from arrears.plans import datamart, scoring, training
+from arrears.plans import datamart, incremental, scoring, training
 from arrears.plans.vintage import vintage_report
 from arrears.session import build_session
 from arrears.sources.tables import read_features
@@ -41,6 +41,13 @@ def parser() -> argparse.ArgumentParser:
     backfill.add_argument("--dpd", type=int, default=LABEL_DPD)
     backfill.add_argument("--mob", type=int, default=LABEL_MOB)
 
+    refresh = jobs.add_parser("refresh", help="rebuild the months whose rows in the feed changed")
+    refresh.add_argument("--start", required=True, help="YYYY-MM-DD")
+    refresh.add_argument("--end", required=True, help="YYYY-MM-DD")
+    refresh.add_argument("--loans", default=LOAN_FEED)
+    refresh.add_argument("--dpd", type=int, default=LABEL_DPD)
+    refresh.add_argument("--mob", type=int, default=LABEL_MOB)
+
     counts = jobs.add_parser("counts", help="rows of each layer by month")
     counts.add_argument("--out", help="folder of the table; below the mart if not given")
 
@@ -53,7 +60,6 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--snapshotdate", required=True, help="YYYY-MM-DD")
     train.add_argument("--features", default=FEATURE_FEED)
     train.add_argument("--candidates", type=int, default=SEARCH_CANDIDATES)
-    train.add_argument("--parallelism", type=int, default=8, help="fits side by side; each keeps a copy of its rows")
 
     score = jobs.add_parser("score", help="score one month, or all months up to --end")
     score.add_argument("--snapshotdate", required=True, help="YYYY-MM-DD")
@@ -80,6 +86,12 @@ def main(argv: list[str] | None = None) -> None:
         )
         datamart.build_labels(spark, layout.silver, layout.labels, months, args.dpd, args.mob)
         report(counts_of(spark, layout, bronze), layout.report("counts"))
+    elif args.job == "refresh":
+        done = incremental.refresh(
+            spark, args.loans, layout, month_list(args.start, args.end), dpd=args.dpd, mob=args.mob
+        )
+        for layer, rebuilt in done.months.items():
+            print(layer, *rebuilt)
     elif args.job == "counts":
         report(counts_of(spark, layout, bronze), args.out or layout.report("counts"))
     elif args.job == "vintage":
@@ -93,7 +105,6 @@ def main(argv: list[str] | None = None) -> None:
             args.snapshotdate,
             layout.bank,
             n_iter=args.candidates,
-            parallelism=args.parallelism,
         )
         run.report.show()
         training.reload_check(spark, layout.bank, run).show()

@@ -5,37 +5,37 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.functions.dates import TrainingCalendar, model_version
+from arrears.functions.digest import digest_parts, digest_text
+from arrears.operators.boosting import Blocks, pack
 from arrears.operators.metrics import auc, gini
 from arrears.operators.model import (
+    MODEL_SEED,
     SEARCH_CANDIDATES,
     SEARCH_FOLDS,
-    SearchResult,
+    boosted_pipeline,
     draw_candidates,
-    fitted_pipeline,
-    input_names,
-    preparation,
     probability,
-    random_search,
-    spark_params,
+    scaled_inputs,
+    scaled_names,
 )
 from arrears.operators.scaling import Scaler
+from arrears.operators.search import BoostedSearch, Ledger, boosted_search
 from arrears.operators.split import TRAIN_RATIO, stratified_split
 from arrears.operators.training_set import (
     in_window,
     matched_rows,
     segment,
     split_stats,
-    training_matrix,
     unmatched_rows,
 )
+from arrears.plans.audit import UNSEEN, Audit
 from arrears.plans.registry import load_model, register
-from arrears.schemas import KEYS, feature_columns
+from arrears.schemas import KEYS, feature_columns, quoted
 from arrears.session import work_dir
 from arrears.sources.tables import ROW_ID, read_numbered
 
@@ -45,14 +45,19 @@ class TrainingRun:
     version: str
     training_set: DataFrame
     scaler: Scaler
-    search: SearchResult
+    search: BoostedSearch
     pipeline: PipelineModel
     report: DataFrame
     registry: DataFrame
 
 
 def build_training_rows(
-    spark: SparkSession, labels: DataFrame, features: DataFrame, cal: TrainingCalendar, bank: str
+    spark: SparkSession,
+    labels: DataFrame,
+    features: DataFrame,
+    cal: TrainingCalendar,
+    bank: str,
+    audit: Audit = UNSEEN,
 ) -> DataFrame:
     """Labels of the calendar's windows with features and time segment, as a table that all later steps read.
 
@@ -62,10 +67,11 @@ def build_training_rows(
     """
     path = joined_path(bank, cal)
     wanted = in_window(labels, cal)
-    matched = matched_rows(wanted, in_window(features, cal))
+    given = audit.seen(in_window(audit.seen(features, "features loaded"), cal), "features in window")
+    matched = audit.seen(matched_rows(audit.seen(wanted, "labels in window"), given), "labels with features")
     matched.withColumn("segment", segment(cal)).write.mode("overwrite").parquet(path)
     written = spark.read.parquet(path)
-    rest = unmatched_rows(wanted, written).withColumn("segment", segment(cal))
+    rest = audit.seen(unmatched_rows(wanted, written), "labels without features").withColumn("segment", segment(cal))
     same_columns = written.where(F.lit(False)).unionByName(rest, allowMissingColumns=True)
     same_columns.write.mode("append").parquet(path)
     return spark.read.parquet(path)
@@ -105,7 +111,7 @@ def evaluate(scored: DataFrame, score: str = "score") -> DataFrame:
 
 def score_splits(pipeline: PipelineModel, training_set: DataFrame) -> DataFrame:
     scored = pipeline.transform(training_set)
-    return scored.select(*KEYS, "split", "label", probability().alias("score"))
+    return scored.select(*KEYS, "split", "label", probability(scored).alias("score"))
 
 
 def train(
@@ -117,42 +123,59 @@ def train(
     n_iter: int = SEARCH_CANDIDATES,
     folds: int = SEARCH_FOLDS,
     ratio: float = TRAIN_RATIO,
-    parallelism: int = 8,
     space: dict[str, list] | None = None,
+    seed: int = MODEL_SEED,
+    audit: Audit = UNSEEN,
 ) -> TrainingRun:
-    """Search, fit, evaluate and register the model of a training date."""
-    work_dir(spark)  # lets the boosting iterations cut their lineage
+    """Search, fit, evaluate and register the model of a training date.
+
+    A run that died goes on from the search's ledger: fits on the same rows that
+    ended are not repeated.
+    """
+    work_dir(spark)  # a folder that all executors share is needed
     cal = TrainingCalendar.of(train_date)
     version = model_version(cal.train_date)
-    build_training_rows(spark, labels, features, cal, bank)
+    build_training_rows(spark, labels, features, cal, bank, audit)
     rows = build_training_set(spark, cal, bank, ratio, folds)
     train_rows = rows.where(F.col("split") == "train")
     scaler = Scaler.fit(train_rows, feature_columns(rows.columns))
 
-    matrix = training_matrix(train_rows, "fold")
-    for stage in preparation(scaler):
-        matrix = stage.transform(matrix)
-    matrix = matrix.select("features", "label", "fold").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        matrix.count()  # fills the cache once, before the fits start side by side
-        search = random_search(matrix, draw_candidates(n_iter, space), folds, parallelism)
-    finally:
-        matrix.unpersist()
-
-    pipeline = fitted_pipeline(scaler, search.model)
+    blocks = packed_rows(train_rows, scaler, f"{training_path(bank, cal)}/search")
+    ledger = Ledger(spark, f"{bank}/search_ledger", training_digest(train_rows, scaler), seed)
+    search = boosted_search(blocks, draw_candidates(n_iter, space), folds, seed, ledger)
+
+    pipeline = boosted_pipeline(scaler, search.model)
     scored = f"{training_path(bank, cal)}/scored"
     score_splits(pipeline, rows).write.mode("overwrite").parquet(scored)
     report = evaluate(spark.read.parquet(scored))
+    splits = report.collect()  # one row per split
+    for row in splits:
+        audit.known(row.n, row.split)
+    drawn = search.candidates[search.best]
     entry = register(
         spark, bank, version, pipeline, cal, ratio, scaler,
-        report.collect(),  # one row per split
-        search.candidates[search.best],
-        spark_params(search.candidates[search.best], search.n_rows),
+        splits,
+        drawn,
+        {name: getattr(search.model.settings, name) for name in drawn},
     )
     return TrainingRun(version, rows, scaler, search, pipeline, report, entry)
 
 
-def search_table(spark: SparkSession, search: SearchResult) -> DataFrame:
+def packed_rows(train_rows: DataFrame, scaler: Scaler, path: str) -> Blocks:
+    """The training rows with scaled features, binned and packed; a row is named by its keys."""
+    scaled = scaled_inputs(scaler).transform(train_rows)
+    return pack(
+        scaled, [F.col(name) for name in scaled_names(scaler)], F.col("label"), F.xxhash64(*map(quoted, KEYS)), path, F.col("fold")
+    )
+
+
+def training_digest(train_rows: DataFrame, scaler: Scaler) -> str:
+    """Names the rows a search runs on, in any order: keys, label, fold and features."""
+    columns = [*KEYS, "label", "fold", *scaler.mean]
+    return train_rows.agg(*digest_parts(columns)).select(digest_text().alias("digest")).first().digest
+
+
+def search_table(spark: SparkSession, search: BoostedSearch) -> DataFrame:
     """One row per candidate: its parameters, score and whether it won."""
     return spark.createDataFrame([
         {"candidate": i}
@@ -164,8 +187,8 @@ def search_table(spark: SparkSession, search: SearchResult) -> DataFrame:
 
 def importance_table(spark: SparkSession, run: TrainingRun) -> DataFrame:
     """One row per input of the model with its importance."""
-    names = input_names(run.scaler)
-    weights = run.search.model.featureImportances.toArray()
+    names = list(run.scaler.mean)
+    weights = run.search.model.importances()
     return spark.createDataFrame(
         [(name, float(weight)) for name, weight in zip(names, weights, strict=True)],
         "feature string, importance double",
