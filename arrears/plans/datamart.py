@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from arrears.functions.delinquency import LABEL_DPD, LABEL_MOB, conform
 from arrears.operators.labels import label_loans
 from arrears.operators.silver import silver_loans
+from arrears.plans.audit import UNSEEN, Audit
 from arrears.schemas import LABEL_TYPES, SILVER_TYPES, SNAPSHOT, quoted
+from arrears.sources.published import read_published, replace_months
 from arrears.sources.sinks import overwrite_months
 from arrears.sources.tables import in_months, read_csv, read_feed, read_months
 
@@ -33,6 +35,7 @@ def build_bronze(
     date_format: str | None = None,
     fmt: str = "csv",
     rebalance: bool = True,
+    audit: Audit = UNSEEN,
 ) -> DataFrame:
     """Copy the given months of the raw CSV feed, unchanged, into the bronze table.
 
@@ -41,7 +44,8 @@ def build_bronze(
     needs no ``rebalance``.
     """
     months = list(months)
-    rows = snapshots(read_csv(spark, raw_path, infer), months, date_format)
+    feed = audit.seen(read_csv(spark, raw_path, infer), "feed loaded")
+    rows = audit.seen(snapshots(feed, months, date_format), "bronze months")
     overwrite_months(rows, bronze_path, months, fmt, rebalance)
     return read_bronze(spark, bronze_path, months, columns=rows.columns, fmt=fmt)
 
@@ -68,18 +72,25 @@ def build_silver(
     infer: bool = False,
     date_format: str | None = None,
     fmt: str = "csv",
+    audit: Audit = UNSEEN,
 ) -> DataFrame:
     """Silver table of the given months. Bronze files are already laid out by month."""
     months = list(months)
-    bronze = read_bronze(spark, bronze_path, months, infer=infer, fmt=fmt)
+    bronze = audit.seen(read_bronze(spark, bronze_path, months, infer=infer, fmt=fmt), "bronze loaded")
     rows = silver_loans(bronze, date_format)
     overwrite_months(rows, silver_path, months, rebalance=False)
-    return read_silver(spark, silver_path).where(in_months(months))
+    # The columns are those just written: no footers need to be read for them.
+    return read_silver(spark, silver_path, types=dict(rows.dtypes)).where(in_months(months))
 
 
-def read_silver(spark: SparkSession, silver_path: str, others: bool = True) -> DataFrame:
-    """Silver rows; the feed's columns that the schema does not name follow its own."""
-    return read_months(spark, silver_path, SILVER_TYPES, others)
+def read_silver(
+    spark: SparkSession, silver_path: str, others: bool = True, types: dict[str, str] | None = None
+) -> DataFrame:
+    """Silver rows; the feed's columns that the schema does not name follow its own.
+
+    Finding those takes a look at all footers, unless ``types`` names them.
+    """
+    return read_months(spark, silver_path, types or SILVER_TYPES, others and types is None)
 
 
 def build_labels(
@@ -89,14 +100,37 @@ def build_labels(
     months: Months,
     dpd: int = LABEL_DPD,
     mob: int = LABEL_MOB,
+    audit: Audit = UNSEEN,
 ) -> DataFrame:
     """Label store of the given months; few rows are left of each silver file."""
     months = list(months)
-    rows = label_loans(read_silver(spark, silver_path, others=False).where(in_months(months)), dpd, mob)
+    silver = audit.seen(read_silver(spark, silver_path, others=False).where(in_months(months)), "silver loaded")
+    rows = audit.seen(label_loans(silver, dpd, mob), "labels")
     overwrite_months(rows, label_path, months)
     return read_labels(spark, label_path).where(in_months(months))
 
 
+def publish_labels(
+    silver: DataFrame,
+    label_path: str,
+    months: Months,
+    dpd: int = LABEL_DPD,
+    mob: int = LABEL_MOB,
+) -> DataFrame:
+    """Label store whose months all change at once for its readers; ``label_path`` is a published table."""
+    months = list(months)
+    replace_months(label_loans(silver.where(in_months(months)), dpd, mob), label_path, months)
+    return read_published(silver.sparkSession, label_path, LABEL_TYPES, months)
+
+
+def publish_silver(bronze: DataFrame, silver_path: str, months: Months, date_format: str | None = None) -> DataFrame:
+    """Silver table whose months all change at once for its readers; ``silver_path`` is a published table."""
+    months = list(months)
+    rows = silver_loans(bronze.where(in_months(months)), date_format)
+    replace_months(rows, silver_path, months, rebalance=False)
+    return read_published(bronze.sparkSession, silver_path, dict(rows.dtypes), months)
+
+
 def read_labels(spark: SparkSession, label_path: str) -> DataFrame:
     return read_months(spark, label_path, LABEL_TYPES)
 
