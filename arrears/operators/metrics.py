@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# Least ranges of the score axis that are ranked on their own; more shuffle partitions give more.
-RANGES = 256
+# Ranges of the score axis that are ranked on their own, and the accuracy of the quantiles that cut them.
+RANGES = 1024
+ACCURACY = 10_000
 
 
 def auc(df: DataFrame, by: str, score: str, label: str = "label", ranges: int | None = None) -> DataFrame:
@@ -21,8 +22,7 @@ def auc(df: DataFrame, by: str, score: str, label: str = "label", ranges: int |
     Rows without a score are left out. ``by`` names a handful of groups, such as
     the splits: their cuts are broadcast.
     """
-    if ranges is None:
-        ranges = max(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranges = RANGES if ranges is None else ranges
     if ranges < 2:
         raise ValueError("the score axis needs at least two ranges")
     value = F.col(score).cast("double")
@@ -36,7 +36,7 @@ def auc(df: DataFrame, by: str, score: str, label: str = "label", ranges: int |
     # One row of at most ``ranges`` numbers per group.
     ranged = scores.join(F.broadcast(cuts), by).select(
         by, "score", "pos", "neg",
-        F.size(F.filter("cuts", lambda cut: cut < F.col("score"))).alias("range"),
+        _cuts_below(ranges).alias("range"),
     )
     lower_scores = Window.partitionBy(by, "range").orderBy("score")
     by_range = (
@@ -68,7 +68,15 @@ def auc(df: DataFrame, by: str, score: str, label: str = "label", ranges: int |
 def score_cuts(scores: DataFrame, by: str, ranges: int) -> DataFrame:
     """Per group, the upper ends of all ranges but the last; ``scores`` has a row for each distinct score."""
     steps = [i / ranges for i in range(1, ranges)]
-    return scores.groupBy(by).agg(F.percentile_approx("score", steps, ranges * 20).alias("cuts"))
+    return scores.groupBy(by).agg(F.percentile_approx("score", steps, ACCURACY).alias("cuts"))
+
+
+def _cuts_below(ranges: int) -> Column:
+    """How many of the sorted ``cuts`` are less than ``score``: a binary search, a step for each digit of the number of cuts."""
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(ranges.bit_length()))))
+    return F.aggregate(steps, F.lit(0), lambda below, step: F.when(
+        (below + step <= F.size("cuts")) & (F.get("cuts", below + step - 1) < F.col("score")), below + step
+    ).otherwise(below))
 
 
 def hard_auc(df: DataFrame, by: str, prediction: str, label: str = "label") -> DataFrame:
