@@ -89,3 +89,16 @@ def feature_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     twice = F.col("Customer_ID").cast("bigint") % 50 == 0
     return conform_features(features.unionAll(features.where(twice)))
+
+
+def drifting_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loan feed with a branch code: whole numbers at first, then fractions, a date for a year, text at last."""
+    year, number = F.year("snapshot_date"), F.col("Customer_ID").cast("int") % 100
+    return loan_daily(spark, sf_dir).withColumn(
+        "branch",
+        F.when(year < 1996, number.cast("string"))
+        .when(year < 1997, F.concat(number.cast("string"), F.lit(".5")))
+        .when(year < 1998, F.lit("1997-01-01"))
+        .when(year < 1999, F.lit(""))
+        .otherwise(F.concat(F.lit("B"), number.cast("string"))),
+    )

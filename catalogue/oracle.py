@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from arrears.operators.model import SEARCH_SPACE, draw_candidates
 from catalogue.fixtures import CUTOFF, MONTHS, POINT, TRAIN_DATE
+from catalogue.queries import BOOSTED, STUMP_FEATURES
 from catalogue.store import SEARCH_ITERATIONS
 
 _LOAN_DAILY = """
@@ -163,9 +164,82 @@ stump_scored AS (
                                 THEN low ELSE high END)) AS score
   FROM split, stump, stump_mean)"""
 
-_STUMP_AUC = _STUMP + """,
+
+
+def _boosted() -> str:
+    """Two boosted trees of two levels, fitted level by level: the same sums, gains and choices as plain SQL.
+
+    Derivatives are whole numbers of 2^-28, so that sums do not depend on their order. A node i has the
+    children 2i + 1 and 2i + 2; missing values go where the split gains more, and right on a tie.
+    """
+    unit, (x0, x1) = "268435456.0E0", STUMP_FEATURES
+    rate, alpha, lam = (f"{float(BOOSTED[k])}E0" for k in ("learning_rate", "reg_alpha", "reg_lambda"))
+    gamma, least = f"{float(BOOSTED['gamma'])}E0", f"{float(BOOSTED['min_child_weight'])}E0"
+    soft = lambda g: f"(sign({g}) * greatest(abs({g}) - {alpha}, 0))"
+    gain = lambda g, h: f"{soft(g)} * {soft(g)} / ({h} + {lam})"
+    weight = lambda g, h: f"-{soft(g)} / ({h} + {lam})"
+    parts = [f""",
+b_rows AS MATERIALIZED (
+  SELECT loan_id, Customer_ID, snapshot_date, split, label, CAST({x0} AS DOUBLE) AS x0, CAST({x1} AS DOUBLE) AS x1 FROM split),
+b_cuts AS MATERIALIZED (
+  SELECT DISTINCT 0 AS f, x0 AS cut FROM b_rows WHERE split = 'train' AND x0 IS NOT NULL
+  UNION ALL SELECT DISTINCT 1, x1 FROM b_rows WHERE split = 'train' AND x1 IS NOT NULL),
+b_m0 AS MATERIALIZED (SELECT *, (SELECT ln(avg(label) / (1 - avg(label))) FROM b_rows WHERE split = 'train') AS margin FROM b_rows)"""]
+    for t in (0, 1):
+        parts.append(f""",
+b_g{t} AS MATERIALIZED (
+  SELECT *, CAST(round((p - label) * {unit}) AS BIGINT) AS g, CAST(round(p * (1 - p) * {unit}) AS BIGINT) AS h, 0 AS node
+  FROM (SELECT *, 1 / (1 + exp(-margin)) AS p FROM b_m{t}))""")
+        rows = f"b_g{t}"
+        for level in (0, 1):
+            n = f"{t}{level}"
+            parts.append(f""",
+b_tot{n} AS MATERIALIZED (
+  SELECT node, sum(g) AS g, sum(h) AS h FROM {rows} WHERE split = 'train' AND node >= {(1 << level) - 1} GROUP BY node),
+b_hist{n} AS MATERIALIZED (
+  SELECT node, 0 AS f, x0 AS x, sum(g) AS g, sum(h) AS h FROM {rows} WHERE split = 'train' AND node >= {(1 << level) - 1} GROUP BY node, x0
+  UNION ALL
+  SELECT node, 1, x1, sum(g), sum(h) FROM {rows} WHERE split = 'train' AND node >= {(1 << level) - 1} GROUP BY node, x1),
+b_sides{n} AS (
+  SELECT t.node, c.f, c.cut, side, t.g AS tg, t.h AS th,
+    coalesce(sum(s.g) FILTER (s.x <= c.cut OR s.x IS NULL AND side = 1), 0) AS lg,
+    coalesce(sum(s.h) FILTER (s.x <= c.cut OR s.x IS NULL AND side = 1), 0) AS lh
+  FROM b_tot{n} t CROSS JOIN b_cuts c CROSS JOIN (VALUES (0), (1)) d(side) LEFT JOIN b_hist{n} s ON s.node = t.node AND s.f = c.f GROUP BY ALL),
+b_units{n} AS (
+  SELECT node, f, cut, side, tg / {unit} AS tg, th / {unit} AS th, lg / {unit} AS lg, lh / {unit} AS lh,
+    (tg - lg) / {unit} AS rg, (th - lh) / {unit} AS rh FROM b_sides{n}),
+b_best{n} AS MATERIALIZED (
+  SELECT *, {weight("tg", "th")} AS own, {weight("lg", "lh")} AS low, {weight("rg", "rh")} AS high FROM (
+    SELECT *, {gain("lg", "lh")} + {gain("rg", "rh")} - {gain("tg", "th")} AS gain FROM b_units{n} WHERE lh >= {least} AND rh >= {least})
+  WHERE gain > 1E-6 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, cut, side) = 1),
+b_rows{n} AS MATERIALIZED (
+  SELECT r.* EXCLUDE (node), CASE WHEN b.node IS NULL THEN r.node
+      WHEN CASE WHEN CASE b.f WHEN 0 THEN x0 ELSE x1 END IS NULL THEN side = 1 ELSE CASE b.f WHEN 0 THEN x0 ELSE x1 END <= cut END
+      THEN 2 * r.node + 1 ELSE 2 * r.node + 2 END AS node
+  FROM {rows} r LEFT JOIN b_best{n} b ON b.node = r.node)""")
+            rows = f"b_rows{n}"
+        # Splits above two leaves must gain gamma: first the lower ones, then the root if both are gone.
+        parts.append(f""",
+b_low{t} AS MATERIALIZED (SELECT * FROM b_best{t}1 WHERE gain >= {gamma}),
+b_root{t} AS MATERIALIZED (SELECT * FROM b_best{t}0 WHERE gain >= {gamma} OR (SELECT count(*) FROM b_low{t}) > 0),
+b_m{t + 1} AS MATERIALIZED (
+  SELECT r.* EXCLUDE (node, g, h, p, margin), margin + {rate} * CASE
+      WHEN a.node IS NULL THEN (SELECT {weight("(g / " + unit + ")", "(h / " + unit + ")")} FROM b_tot{t}0)
+      WHEN b.node IS NOT NULL THEN CASE WHEN r.node = 2 * b.node + 1 THEN b.low ELSE b.high END
+      WHEN r.node IN (1, 3, 4) THEN a.low ELSE a.high END AS margin
+  FROM {rows} r LEFT JOIN b_root{t} a ON true LEFT JOIN b_low{t} b ON b.node = (r.node - 1) // 2)""")
+    return _SPLIT + "".join(parts) + """,
+b_scored AS (SELECT loan_id, Customer_ID, snapshot_date, split, label, 1 / (1 + exp(-margin)) AS score FROM b_m2)"""
+
+
+_BOOSTED = _boosted()
+
+
+def _aucs(scored: str) -> str:
+    """AUC by split of the scores in a table."""
+    return f""",
 stump_ties AS (
-  SELECT split, score, sum(label) AS pos, sum(1 - label) AS neg FROM stump_scored GROUP BY split, score),
+  SELECT split, score, sum(label) AS pos, sum(1 - label) AS neg FROM {scored} GROUP BY split, score),
 stump_below AS (
   SELECT split, pos, neg,
          coalesce(sum(neg) OVER (PARTITION BY split ORDER BY score
@@ -176,6 +250,10 @@ stump_aucs AS (
          / nullif(2 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE), 0) AS auc
   FROM stump_below GROUP BY split)"""
 
+
+_STUMP_AUC = _STUMP + _aucs("stump_scored")
+_BOOSTED_AUC = _BOOSTED + _aucs("b_scored")
+
 _KEYS = "loan_id, Customer_ID, snapshot_date"
 _RAW_COLUMNS = (
     "loan_id, Customer_ID, loan_start_date, tenure, installment_num, loan_amt, due_amt, paid_amt,"
@@ -206,8 +284,7 @@ def _features(body: str) -> str:
 
 
 def _inputs() -> str:
-    names = [*_FE, *[f"{name} missing" for name in _FE]]
-    rows = ", ".join(f"('{name}')" for name in names)
+    rows = ", ".join(f"('{name}')" for name in _FE)
     return f"SELECT feature, 1 AS is_share, 1.0E0 AS total FROM (VALUES {rows}) t(feature)"
 
 
@@ -333,7 +410,7 @@ ORACLE: dict[str, str] = {
                {_OOT_START} AS oot_start, CAST({_TRAIN} - INTERVAL 1 DAY AS DATE) AS oot_end,
                0.8E0 AS train_test_ratio, {_per_split("count(*)", "n")},
                {_per_split("round_even(avg(label), 2)", "event_rate")},
-               9 AS n_params, 7 AS n_applied, 1 AS gini_follows_auc""",
+               9 AS n_params, 9 AS n_applied, 1 AS gini_follows_auc""",
     "gbt_train": _inputs(),
     "random_search": _candidates(),
     "eval_report": f"""WITH {_SPLIT}
@@ -346,6 +423,12 @@ ORACLE: dict[str, str] = {
         SELECT split, n, event_rate, round(auc, 6) AS auc, round_even(2 * auc - 1, 3) AS gini
         FROM (SELECT split, count(*) AS n, round_even(avg(label), 2) AS event_rate FROM split GROUP BY split)
         LEFT JOIN stump_aucs USING (split)""",
+    "gbt_scores": f"""WITH {_BOOSTED}
+        SELECT {_KEYS}, split, label, round(score, 6) AS score FROM b_scored""",
+    "gbt_report": f"""WITH {_BOOSTED_AUC}
+        SELECT split, n, event_rate, round(auc, 6) AS auc, round_even(2 * auc - 1, 3) AS gini
+        FROM (SELECT split, count(*) AS n, round_even(avg(label), 2) AS event_rate FROM split GROUP BY split)
+        LEFT JOIN stump_aucs USING (split)""",
     "batch_score": _features(f"""
         SELECT Customer_ID, snapshot_date,
                'credit_model_{TRAIN_DATE:%Y_%m_%d}.pkl' AS model_name, 1 AS is_probability
@@ -360,4 +443,48 @@ ORACLE: dict[str, str] = {
         SELECT snapshot_date, count(*) AS n, count(*) AS n_probabilities
         FROM features WHERE {_MONTHS_IN} GROUP BY snapshot_date"""),
     "score_input": _features(f"SELECT * FROM features WHERE {_POINT}"),
+    "audit_counts": f"""WITH {_JOINED},
+        counts AS (
+          SELECT 'bronze' AS job, 'feed loaded' AS step, 0 AS place, (SELECT count(*) FROM loan_daily) AS n
+          UNION ALL SELECT 'bronze', 'bronze months', 1, (SELECT count(*) FROM loan_daily WHERE {_MONTHS_IN})
+          UNION ALL SELECT 'silver', 'bronze loaded', 0, (SELECT count(*) FROM loan_daily WHERE {_MONTHS_IN})
+          UNION ALL SELECT 'labels', 'silver loaded', 0, (SELECT count(*) FROM silver WHERE {_MONTHS_IN})
+          UNION ALL SELECT 'labels', 'labels', 1, (SELECT count(*) FROM labels WHERE {_MONTHS_IN})
+          UNION ALL SELECT 'training', 'features loaded', 0, (SELECT count(*) FROM features)
+          UNION ALL SELECT 'training', 'features in window', 1, (SELECT count(*) FROM features WHERE {_IN_WINDOW})
+          UNION ALL SELECT 'training', 'labels in window', 2, (SELECT count(*) FROM labels WHERE {_IN_WINDOW})
+          UNION ALL SELECT 'training', 'labels with features', 3, (SELECT count(*) FROM labels JOIN features USING (Customer_ID, snapshot_date) WHERE {_IN_WINDOW})
+          UNION ALL SELECT 'training', 'labels without features', 4,
+            (SELECT count(*) FROM labels ANTI JOIN features USING (Customer_ID, snapshot_date) WHERE {_IN_WINDOW})
+          UNION ALL SELECT 'scoring', 'features loaded', 0, (SELECT count(*) FROM features)
+          UNION ALL SELECT 'scoring', 'features of the months', 1, (SELECT count(*) FROM features WHERE {_POINT})
+          UNION ALL SELECT 'scoring', 'predictions', 2, (SELECT count(*) FROM features WHERE {_POINT}))
+        SELECT job, step, CAST(place AS INTEGER) AS place, n FROM counts""",
+    "incremental_backfill": _labels(f"""
+        SELECT 'silver' AS layer, snapshot_date, count(*) AS n,
+               CAST(CASE WHEN {_POINT} THEN 3 ELSE 0 END AS BIGINT) AS n_rebuilt
+        FROM silver WHERE {_MONTHS_IN} GROUP BY snapshot_date
+        UNION ALL
+        SELECT 'gold', snapshot_date, count(*), CAST(CASE WHEN {_POINT} THEN 3 ELSE 0 END AS BIGINT)
+        FROM labels WHERE {_MONTHS_IN} GROUP BY snapshot_date"""),
+    "month_types": _raw("""
+        , months AS (SELECT snapshot_date, count(due_amt) AS n_due, count(overdue_amt) AS n_overdue, count(paid_amt) AS n_paid,
+            count(balance) AS n_balance, count(loan_amt) AS n_loan, year(snapshot_date) AS y FROM loan_daily GROUP BY snapshot_date),
+        typed AS (
+          SELECT snapshot_date, unnest([
+            {'c': 'loan_id', 't': 'int'}, {'c': 'Customer_ID', 't': 'int'}, {'c': 'loan_start_date', 't': 'date'},
+            {'c': 'tenure', 't': 'int'}, {'c': 'installment_num', 't': 'int'},
+            {'c': 'loan_amt', 't': if(n_loan = 0, 'void', 'double')}, {'c': 'due_amt', 't': if(n_due = 0, 'void', 'double')},
+            {'c': 'paid_amt', 't': if(n_paid = 0, 'void', 'double')}, {'c': 'overdue_amt', 't': if(n_overdue = 0, 'void', 'double')},
+            {'c': 'balance', 't': if(n_balance = 0, 'void', 'double')},
+            {'c': 'branch', 't': CASE WHEN y < 1996 THEN 'int' WHEN y < 1997 THEN 'double' WHEN y < 1998 THEN 'date'
+                                      WHEN y < 1999 THEN 'void' ELSE 'string' END}]) AS x FROM months),
+        merged AS (SELECT x.c AS "column", CASE WHEN x.c = 'branch' THEN 'string' ELSE max(x.t) FILTER (x.t <> 'void') END AS merged_type
+                   FROM typed GROUP BY x.c)
+        SELECT snapshot_date, "column", x.t AS type, merged_type, x.t NOT IN ('void', merged_type) AS drift
+        FROM typed JOIN merged ON x.c = "column" """),
+    "published_labels": _labels(f"""
+        , stricter AS (SELECT *, CASE WHEN snapshot_date = DATE '{MONTHS[0]}' THEN 60 ELSE 30 END AS days FROM silver WHERE mob = 6)
+        SELECT loan_id, Customer_ID, CASE WHEN dpd >= days THEN 1 ELSE 0 END AS label, days || 'dpd_6mob' AS label_def, snapshot_date
+        FROM stricter WHERE {_MONTHS_IN} AND NOT ({_POINT})"""),
 }

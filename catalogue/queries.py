@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,12 +17,16 @@ from arrears.functions.dates import (
     version_column,
 )
 from arrears.functions.delinquency import conform
+from arrears.layout import Layout
 from arrears.operators import labels as lab
-from arrears.operators import metrics, silver, training_set
-from arrears.operators.model import SEARCH_SPACE, classifier, fitted_pipeline, preparation
+from arrears.operators import metrics, silver, training_set, types
+from arrears.operators.boosting import Settings, fit_all
+from arrears.operators.model import MODEL_SEED, SEARCH_SPACE, boosted_pipeline, classifier, fitted_pipeline, preparation
 from arrears.operators.scaling import Scaler, fit_scaler
-from arrears.plans import datamart, scoring, training, vintage
-from arrears.schemas import KEYS, LOAN_TYPES, feature_columns
+from arrears.plans import datamart, incremental, scoring, training, vintage
+from arrears.plans.audit import Audit, read_audit
+from arrears.schemas import KEYS, LABEL_TYPES, LOAN_TYPES, feature_columns
+from arrears.sources.published import read_published
 from arrears.sources.tables import in_months, read_csv
 from catalogue.fixtures import (
     CALENDAR,
@@ -29,6 +34,7 @@ from catalogue.fixtures import (
     MONTHS,
     POINT,
     TRAIN_DATE,
+    drifting_feed,
     feature_clickstream,
     loan_daily,
 )
@@ -38,6 +44,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 VERSION = model_version(TRAIN_DATE)
 STUMP_FEATURES = ["fe_4", "fe_5"]
+# Two trees of two levels with every penalty: small enough for SQL to fit them as well.
+BOOSTED = {
+    "n_estimators": 2, "max_depth": 2, "learning_rate": 0.3, "gamma": 0.1, "min_child_weight": 3, "reg_alpha": 0.5, "reg_lambda": 1.5,
+}
 NUMBERS = ["tenure", "installment_num", "loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance"]
 
 # Raw text to the feed's own types; amounts are not yet narrowed to float.
@@ -282,6 +292,63 @@ def score_input(spark, sf_dir):
     return feature_clickstream(spark, sf_dir).where(in_months([POINT]))
 
 
+def audit_counts(spark, sf_dir):
+    """Rows that each job saw at its loads and filters, of one run of all jobs but the training's search."""
+    mart = store(spark, sf_dir)
+    table = mart.folder(f"audit-{uuid.uuid4().hex}")
+    audits = {job: Audit(spark, table, job) for job in ("bronze", "silver", "labels", "training", "scoring")}
+    root = mart.folder(f"audited-{uuid.uuid4().hex}")
+    bronze, silver, labels = (f"{root}/{name}" for name in ("bronze", "silver", "labels"))
+    datamart.build_bronze(spark, mart.raw, bronze, MONTHS, audit=audits["bronze"])
+    datamart.build_silver(spark, bronze, silver, MONTHS, audit=audits["silver"])
+    stored = datamart.build_labels(spark, silver, labels, MONTHS, audit=audits["labels"])
+    training.build_training_rows(spark, stored, mart.features, CALENDAR, f"{root}/bank", audits["training"])
+    scoring.score(
+        spark, mart.features, mart.run and mart.bank, VERSION + MODEL_SUFFIX, f"{root}/predictions", [POINT], audits["scoring"]
+    )
+    for audit in audits.values():
+        audit.close()
+    return read_audit(spark, table).select("job", "step", "place", "n")
+
+
+def incremental_backfill(spark, sf_dir):
+    """Rows of silver and gold after late rows in one month, and the layers that the second refresh rebuilt."""
+    mart = store(spark, sf_dir)
+    layout = Layout(mart.folder(f"incremental-{uuid.uuid4().hex}"))
+    feed = f"{layout.mart}/feed"
+    loans = loan_daily(spark, sf_dir)
+    late = (F.col("snapshot_date") == F.lit(POINT)) & F.col("loan_id").endswith("7")
+    loans.where(~late).write.option("header", True).csv(feed)
+    incremental.refresh(spark, feed, layout, MONTHS)
+    loans.where(late).write.mode("append").option("header", True).csv(feed)
+    again = incremental.refresh(spark, feed, layout, MONTHS)
+    built = incremental.read_record(spark, layout).where(F.col("run") == again.run)
+    counts = datamart.layer_counts(
+        silver=datamart.read_silver(spark, layout.silver, others=False), gold=datamart.read_labels(spark, layout.labels)
+    )
+    return counts.join(F.broadcast(built.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n_rebuilt"))), "snapshot_date", "left").select(
+        "layer", "snapshot_date", "n", F.coalesce("n_rebuilt", F.lit(0)).alias("n_rebuilt")
+    )
+
+
+def published_labels(spark, sf_dir):
+    """A published label store after a second run that empties one month and refills another."""
+    mart = store(spark, sf_dir)
+    path = mart.folder(f"published-{uuid.uuid4().hex}")
+    silver_rows = datamart.read_silver(spark, mart.silver, others=False)
+    datamart.publish_labels(silver_rows, path, MONTHS)
+    again = silver_rows.where(F.col("snapshot_date") != F.lit(POINT))
+    datamart.publish_labels(again, path, [POINT, MONTHS[0]], dpd=60)
+    return read_published(spark, path, LABEL_TYPES)
+
+
+def month_types(spark, sf_dir):
+    """Types of each month's columns, of the feed with a branch code whose type changes over the years."""
+    path = store(spark, sf_dir).folder(f"drifting-{uuid.uuid4().hex}")
+    drifting_feed(spark, sf_dir).write.option("header", True).csv(path)
+    return types.month_types(types.month_kinds(read_csv(spark, path)))
+
+
 def few_rows():
     """Window over all rows of a table of a few: inputs of a model, candidates of a search."""
     return Window.partitionBy(F.lit(0))
@@ -337,6 +404,24 @@ def stump_report(spark, sf_dir):
     return report.withColumn("auc", F.round("auc", 6))
 
 
+def boosted_of(spark, sf_dir):
+    """Scores of the library's own boosted trees, on features of few values with missing ones among them."""
+    rows = split_of(spark, sf_dir)
+    train = rows.where(F.col("split") == "train")
+    scaler = Scaler.fit(train, STUMP_FEATURES)
+    blocks = training.packed_rows(train, scaler, store(spark, sf_dir).folder("boosted"))
+    (model,) = next(fit_all(blocks, [Settings(**BOOSTED)], MODEL_SEED))
+    return training.score_splits(boosted_pipeline(scaler, model), rows)
+
+
+def gbt_scores(spark, sf_dir):
+    return boosted_of(spark, sf_dir).select(*KEYS, "split", "label", F.round("score", 6).alias("score"))
+
+
+def gbt_report(spark, sf_dir):
+    return training.evaluate(boosted_of(spark, sf_dir)).withColumn("auc", F.round("auc", 6))
+
+
 def model_registry(spark, sf_dir):
     row = store(spark, sf_dir).run.registry
     checked = [
@@ -438,11 +523,17 @@ QUERIES: dict[str, Query] = {
     "gini": gini,
     "auc_hard": auc_hard,
     "score_input": score_input,
+    "audit_counts": audit_counts,
+    "incremental_backfill": incremental_backfill,
+    "month_types": month_types,
+    "published_labels": published_labels,
     "gbt_train": gbt_train,
     "random_search": random_search,
     "eval_report": eval_report,
     "stump_scores": stump_scores,
     "stump_report": stump_report,
+    "gbt_scores": gbt_scores,
+    "gbt_report": gbt_report,
     "model_registry": model_registry,
     "model_reload": model_reload,
     "batch_score": batch_score,
