@@ -8,6 +8,16 @@ _WORDS = (
     r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_ASSIGN = (
+    "(" + "|".join(_either_case(w) for w in ("password", "passwd", "secret", "token", "api_?key")) + ")"
+    r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+
 ORACLE = {
     "op1_decontaminate": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
@@ -145,4 +155,41 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step,
   CAST(coalesce(sum(n_toxic) FILTER (failed AND NOT gone), 0) AS BIGINT) AS toxic_lost,
   CAST(coalesce(sum(n * 120 // greatest(len(fails), 1)) FILTER (failed), 0) AS BIGINT) AS shapley
 FROM r GROUP BY part, filter_order, step""",
+    "url_rules": f"""
+WITH r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substring(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS own FROM r),
+p AS (SELECT page_id, translate(own, '{_UPPER}', '{_LOWER}') AS host, regexp_extract(substring(rest, length(own) + 1), '^[^?#]*') AS path FROM h),
+rules(rule, rule_verdict) AS (VALUES ('net/', 'block'), ('example.net/en/', 'allow'), ('example.com/de/', 'block'), ('org/fr/', 'allow')),
+parts AS (SELECT *, split_part(rule, '/', 1) AS rule_host, substring(rule, strpos(rule, '/')) AS rule_path FROM rules),
+fits AS (
+  SELECT page_id, host, path, rule, rule_verdict,
+    row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(rule) DESC) AS place
+  FROM p LEFT JOIN parts ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, rule_verdict FROM fits WHERE place = 1""",
+    "base_scores": f"""
+WITH steps AS (
+  SELECT list_transform(range(0, 256), lambda x: list_reduce(list_concat([x], [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))) AS crc),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) % 10 = 0 AS held_out,
+    list_append(list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'),
+                            lambda w: w <> ''), ' end') AS w
+  FROM documents, steps),
+t AS MATERIALIZED (SELECT r, held_out, unnest(w) AS w FROM d),
+c AS (SELECT w, count(*) AS c FROM t WHERE NOT held_out GROUP BY w),
+size AS (SELECT sum(c) AS n, count(*) AS v FROM c),
+s AS (
+  SELECT r, count(c) AS n_known, sum(log10((coalesce(c, 0) + 0.1E0) / (n + 0.1E0 * (v + 1)))) AS base_score
+  FROM t LEFT JOIN c USING (w) CROSS JOIN size GROUP BY r)
+SELECT doc_id, held_out, CAST(len(w) AS BIGINT) AS n_tokens, n_known, CAST((SELECT n FROM size) AS BIGINT) AS train_tokens,
+  round(base_score, 3) AS base_score
+FROM d JOIN s USING (r)""",
+    "secret_counts": f"""
+SELECT doc_id,
+  CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '{_ASSIGN}', 2), lambda x: length(x) >= 6)) AS BIGINT) AS n_assign,
+  CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 20)) AS BIGINT) AS n_access,
+  CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: length(x) >= 24)) AS BIGINT) AS n_hex
+FROM documents""",
 }

@@ -145,6 +145,24 @@ def op13_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interaction.interactions(counts)
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of ``op3_url_filter`` that SQL can express: host, path and the rule that fits."""
+    found = url_filter.judged(_table(spark, sf_dir, "pages").select("page_id", "url"))
+    return found.select("page.page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("rule_verdict"))
+
+
+def base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of ``op6_maxent`` that SQL can express: everything but the model's score."""
+    return op6_maxent(spark, sf_dir).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 3).alias("base_score")
+    )
+
+
+def secret_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of ``op7_secrets`` that SQL can express: base matches of each kind."""
+    return op7_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_jaccard_join": op2_jaccard_join,
@@ -159,4 +177,7 @@ QUERIES = {
     "op11_html_text": op11_html_text,
     "op12_divergence": op12_divergence,
     "op13_interaction": op13_interaction,
+    "url_rules": url_rules,
+    "base_scores": base_scores,
+    "secret_counts": secret_counts,
 }
