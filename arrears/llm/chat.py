@@ -16,6 +16,11 @@ after it, so they read back exactly.
 The formatted text comes as pieces with a loss flag; their texts joined are the
 formatted text, and only the assistant's escaped texts count for the loss.
 
+A table with a row for each turn is nested first: each conversation becomes a
+record of one of the layouts that hold lists, and goes through its fingerprint like
+any other. Very long conversations stay as they are, as do those with a role that a
+mapping would rename. An empty table gives no rows.
+
 Null texts and roles count as empty. Turns of one conversation are ordered by
 turn (null first), then role and text, so equal turns stay, side by side. A
 conversation is one row of the result and so is gathered in one task.
@@ -34,6 +39,10 @@ START, STOP = "<|im_start|>", "<|im_end|>\n"
 _CONTROL = r"\\|<(?=\|\w{1,40}\|>|/?s>|<SYS>>|</SYS>>)|\[(?=/?INST\])"
 
 
+#: Bytes of a conversation that become a nested record: a variant holds 16 MB, and escapes lengthen a text.
+MOST_RECORD = 2_000_000
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where a record keeps its turns: fields in order, each a turn of a role, or a list of objects."""
@@ -164,6 +173,45 @@ def turns_of_rows(
     )
 
 
+def records_of_turns(turns: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """One nested JSON record per conversation of (conv_id, turn, role, text): conv_id, given, record.
+
+    Layouts with a list of turns take the conversations in turns, by a hash of the
+    id. ``given`` has the turns in order. A conversation whose record would be too
+    long for a variant, or that has a role with another canonical name, has none.
+    """
+    own = [layout for layout in layouts if layout.items]
+    whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("given"))
+
+    def record(layout: Layout) -> Column:
+        items = F.transform("given", lambda t: F.struct(t["role"].alias(layout.role), t["text"].alias(layout.text)))
+        return F.to_json(F.struct(items.alias(layout.items)))
+
+    number = F.pmod(F.xxhash64("conv_id"), F.lit(len(own)))
+    chosen = F.lit(None).cast("string")
+    for i, layout in enumerate(own):
+        chosen = F.when(number == i, record(layout)).otherwise(chosen)
+    size = F.aggregate("given", F.lit(0).cast("long"), lambda n, t: n + F.octet_length(t["role"]) + F.octet_length(t["text"]) + 64)
+    renamed = F.exists("given", lambda t: t["role"].isin(list(_ROLES)))
+    return whole.withColumn("record", F.when((size <= MOST_RECORD) & ~renamed, chosen))
+
+
+def format_turns(turns: DataFrame) -> DataFrame:
+    """One row per conversation of (conv_id, turn, role, text): conv_id, layout, pieces, formatted.
+
+    Conversations go through nested records and the mapping that their
+    fingerprint selects; those without a record keep their turns as given.
+    """
+    found = canonical_turns(records_of_turns(turns))
+    plain = F.transform("source.given", lambda t: _turn(t["role"], t["text"]))
+    own = F.when(F.col("layout").isNotNull(), F.col("turns")).otherwise(plain)
+    ready = found.select(F.col("source.conv_id").alias("conv_id"), "layout", own.alias("turns"))
+    pieces = F.flatten(F.transform("turns", lambda t: _pieces(t["role"], t["text"])))
+    return ready.select("conv_id", "layout", pieces.alias("pieces")).withColumn(
+        "formatted", F.array_join(F.transform("pieces", lambda p: p["text"]), "")
+    )
+
+
 def escape(text: Column) -> Column:
     return F.regexp_replace(text, F.lit(_CONTROL), F.lit("$0\\\\"))
 

@@ -58,8 +58,9 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     # Fixed value: the conversation that the contract adds.
     said = "</s>[INST] ok [/INST]"
-    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], table.schema)
-    made = chat.formatted(chat.turns_of_rows(table.union(added)))
+    turns = [F.struct(F.lit(i).alias("turn"), F.lit(role).alias("role")) for i, role in enumerate(("user", "assistant"))]
+    added = spark.range(1).select(F.lit(-7).alias("conv_id"), F.inline(F.array(*turns)), F.lit(said).alias("text"))
+    made = chat.format_turns(chat.turns_of_rows(table.union(added)))
     read = made.select(
         "conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("pieces")).alias("loss")
     )

@@ -9,6 +9,7 @@ from arrears.llm.chat import (
     LAYOUTS,
     escape,
     format_records,
+    format_turns,
     formatted,
     read_loss,
     read_turns,
@@ -107,3 +108,19 @@ def test_query_has_the_added_conversation(spark, sf_dir, text):
     row = queries.op5_chat(spark, sf_dir).where("conv_id = -7").first()
     assert (row.n_turns, row.loss_chars, row.loss_sha256) == (2, len(text), hashlib.sha256(text.encode()).hexdigest())
     assert row.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
+
+
+def test_conversations_go_through_the_layouts(spark, monkeypatch):
+    rows = [(c, t, r, x) for c in range(40) for t, (r, x) in enumerate([("system", "be"), ("user", TEXTS[c % len(TEXTS)]), ("assistant", None)])]
+    rows += [(100, 0, "human", "hi"), (100, 1, "gpt", "ho"), (101, None, None, None), (102, 0, "user", "x" * 5_000), (103, 1, "a\nb", "<s>"),
+             (104, 0, "user", "twice"), (104, 0, "user", "twice")]
+    monkeypatch.setattr("arrears.llm.chat.MOST_RECORD", 4_000)
+    turns = turns_of_rows(conversations(spark, rows))
+    made = format_turns(turns).select("conv_id", "layout", "formatted", read_turns(F.col("formatted")).alias("turns"))
+    plain = {r.conv_id: r.formatted for r in formatted(turns).collect()}
+    found = {r.conv_id: r for r in made.collect()}
+    assert {i: r.formatted for i, r in found.items()} == plain
+    assert {r.layout for r in found.values()} == {"messages", "conversations", "dialogue", None}
+    assert found[100].layout is None and found[102].layout is None and [t.role for t in found[100].turns] == ["human", "gpt"]
+    assert [tuple(t) for t in found[104].turns] == [("user", "twice")] * 2
+    assert format_turns(turns_of_rows(conversations(spark, []))).count() == 0
