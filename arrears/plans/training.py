@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date
 
@@ -37,6 +38,7 @@ from arrears.plans.audit import UNSEEN, Audit
 from arrears.plans.registry import load_model, register
 from arrears.schemas import KEYS, feature_columns, quoted
 from arrears.session import work_dir
+from arrears.sources.published import current_folder, publish_folder
 from arrears.sources.tables import ROW_ID, read_numbered
 
 
@@ -63,9 +65,10 @@ def build_training_rows(
 
     The matched rows are written first. Their keys then show which label rows
     are left, so the feature feed is read once and only the keys that found a
-    label are shuffled again.
+    label are shuffled again. Readers see the table once both parts are there.
     """
-    path = joined_path(bank, cal)
+    name = uuid.uuid4().hex
+    path = f"{joined_path(bank, cal)}/{name}"
     wanted = in_window(labels, cal)
     given = audit.seen(in_window(audit.seen(features, "features loaded"), cal), "features in window")
     matched = audit.seen(matched_rows(audit.seen(wanted, "labels in window"), given), "labels with features")
@@ -74,6 +77,7 @@ def build_training_rows(
     rest = audit.seen(unmatched_rows(wanted, written), "labels without features").withColumn("segment", segment(cal))
     same_columns = written.where(F.lit(False)).unionByName(rest, allowMissingColumns=True)
     same_columns.write.mode("append").parquet(path)
+    publish_folder(spark, joined_path(bank, cal), name)
     return spark.read.parquet(path)
 
 
@@ -88,7 +92,7 @@ def build_training_set(
 
     Only the cuts are computed; placing the rows is a projection on reading.
     """
-    joined = read_numbered(spark, joined_path(bank, cal))
+    joined = read_numbered(spark, current_folder(spark, joined_path(bank, cal)))
     return stratified_split(joined, folds=folds, ratio=ratio, row_id=ROW_ID)
 
 

@@ -89,3 +89,29 @@ def superseded_runs(spark: SparkSession, path: str) -> list[str]:
         return []
     table = spark.read.schema(f"{ddl(MANIFEST_TYPES)}, version int").parquet(f"{path}/manifest")
     return sorted({row.run for row in table.select("run").distinct().collect() if row.run} - set(known.values()))
+
+
+def publish_folder(spark: SparkSession, path: str, name: str) -> int:
+    """Let readers of :func:`current_folder` see the folder ``name`` below ``path`` from now on; the new version."""
+    version = _latest_folder(spark, path)[0] + 1
+    spark.createDataFrame([(name,)], "folder string").coalesce(1).write.mode("error").parquet(f"{path}/current/version={version}")
+    return version
+
+
+def current_folder(spark: SparkSession, path: str) -> str:
+    """Path of the folder that was published last."""
+    version, name = _latest_folder(spark, path)
+    if not version:
+        raise LookupError(f"nothing is published in {path}")
+    return f"{path}/{name}"
+
+
+def _latest_folder(spark: SparkSession, path: str) -> tuple[int, str]:
+    try:
+        table = spark.read.schema("folder string, version int").parquet(f"{path}/current")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, ""
+    row = table.orderBy(F.desc("version")).first()
+    return (row.version, row.folder) if row else (0, "")

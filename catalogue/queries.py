@@ -171,7 +171,7 @@ def layer_counts(spark, sf_dir):
     mart = store(spark, sf_dir)
     return datamart.layer_counts(
         bronze=datamart.read_bronze(spark, mart.bronze),
-        silver=datamart.read_silver(spark, mart.silver),
+        silver=datamart.read_silver(spark, mart.silver, others=False),
         gold=datamart.read_labels(spark, mart.labels),
     )
 

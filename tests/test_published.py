@@ -80,3 +80,26 @@ def test_only_the_wanted_months_are_listed(spark, tmp_path):
     found = read_published(spark, path, LABEL_TYPES, [FEB])
     assert all("snapshot_date=2023-02-01" in f for f in found.inputFiles())
     assert found.where(F.col("snapshot_date") == F.lit(FEB)).count() == 1
+
+
+def test_training_rows_of_a_run_that_dies_are_not_seen(spark, tmp_path, monkeypatch):
+    from arrears.functions.dates import TrainingCalendar
+    from arrears.plans import training
+
+    cal, bank = TrainingCalendar.of("2023-06-01"), str(tmp_path)
+    features = spark.createDataFrame([("0", JAN, 1.0)], "Customer_ID string, snapshot_date date, fe_1 double")
+    training.build_training_rows(spark, labels(spark, (JAN, 3)), features, cal, bank)
+    whole = training.build_training_set(spark, cal, bank).count()
+
+    def dies(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(training, "unmatched_rows", dies)
+    with pytest.raises(RuntimeError):
+        training.build_training_rows(spark, labels(spark, (JAN, 9)), features, cal, bank)
+    assert training.build_training_set(spark, cal, bank).count() == whole == 3
+    monkeypatch.undo()
+    training.build_training_rows(spark, labels(spark, (JAN, 9)), features, cal, bank)
+    assert training.build_training_set(spark, cal, bank).count() == 9
+    with pytest.raises(LookupError):
+        training.build_training_set(spark, TrainingCalendar.of("2020-01-01"), bank)
