@@ -61,11 +61,11 @@ def jobs(mart: Store) -> dict:
         "scaler_fit": query("scaler_fit"),
         "scaler_apply": query("scaler_apply"),
         "auc": query("auc"),
-        # 10 candidates, and all 100 of the job's default; each with a ledger of its own.
         "train": search(SEARCH_ITERATIONS, bank),
-        "train_full": search(FULL_SEARCH, mart.folder("bench_bank_full")),
         "score_backfill": lambda: scoring.score(
             spark, mart.features, bank, q.VERSION, mart.folder("bench_predictions"), MONTHS),
+        # All candidates of the job's default, with a ledger of their own; only on request, as it takes minutes.
+        **({"train_full": search(FULL_SEARCH, mart.folder("bench_bank_full"))} if os.environ.get("BENCH_FULL_SEARCH") else {}),
     }
 
 
