@@ -38,7 +38,7 @@ from catalogue.fixtures import (
     feature_clickstream,
     loan_daily,
 )
-from catalogue.store import store
+from catalogue.store import store, write_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -318,9 +318,9 @@ def incremental_backfill(spark, sf_dir):
     feed = f"{layout.mart}/feed"
     loans = loan_daily(spark, sf_dir)
     late = (F.col("snapshot_date") == F.lit(POINT)) & F.col("loan_id").endswith("7")
-    loans.where(~late).write.option("header", True).csv(feed)
+    write_feed(loans.where(~late), feed)
     incremental.refresh(spark, feed, layout, MONTHS)
-    loans.where(late).write.mode("append").option("header", True).csv(feed)
+    write_feed(loans.where(late), feed, "append")
     again = incremental.refresh(spark, feed, layout, MONTHS)
     built = incremental.read_record(spark, layout).where(F.col("run") == again.run)
     counts = datamart.layer_counts(
@@ -345,7 +345,7 @@ def published_labels(spark, sf_dir):
 def month_types(spark, sf_dir):
     """Types of each month's columns, of the feed with a branch code whose type changes over the years."""
     path = store(spark, sf_dir).folder(f"drifting-{uuid.uuid4().hex}")
-    drifting_feed(spark, sf_dir).write.option("header", True).csv(path)
+    write_feed(drifting_feed(spark, sf_dir), path)
     return types.month_types(types.month_kinds(read_csv(spark, path)))
 
 

@@ -258,3 +258,35 @@ def test_bronze_need_not_be_rebalanced(spark, mart):
     raw, bronze, _, _ = mart
     plain = datamart.build_bronze(spark, raw, bronze, MONTHS, rebalance=False)
     assert plain.count() == 51
+
+
+def test_bronze_is_written_without_a_shuffle_as_gzip(spark, mart):
+    raw, bronze, _, _ = mart
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    written = datamart.build_bronze(spark, raw, bronze, MONTHS)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    files = list(Path(bronze).rglob("part-*"))
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
+    # One scan task of one small feed file: a shuffle would show in the number of files' task ids.
+    assert len({f.name.split("-")[1] for f in files if f.stat().st_size > 100}) == 1
+    assert written.count() == 51
+
+
+def test_a_feed_is_written_compressed_in_files_of_few_rows(spark, tmp_path, monkeypatch):
+    from catalogue import store
+
+    monkeypatch.setitem(store.FEED_OPTIONS, "maxRecordsPerFile", 1000)
+    df = spark.range(0, 5000, 1, 2).selectExpr("cast(id AS string) AS loan_id", "' a ' AS branch")
+    store.write_feed(df, str(tmp_path / "feed"))
+    files = list((tmp_path / "feed").glob("part-*.csv.gz"))
+    assert len(files) == 6 and read_csv(spark, str(tmp_path / "feed")).count() == 5000
+
+
+def test_features_join_the_order_lines_once(spark, sf_dir):
+    from catalogue.fixtures import feature_clickstream
+
+    features = feature_clickstream(spark, sf_dir)
+    plan = features._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lineitem") <= 1 and plan.count("Join") == 1
+    copies = features.groupBy("Customer_ID", "snapshot_date").count()
+    assert copies.where("count != if(cast(Customer_ID AS bigint) % 50 = 0, 2, 1)").count() == 0
