@@ -8,9 +8,16 @@ the end have a class of their own, all others go by their last two bytes. Then
 
 The first factor is a softmax over the classes. Its features are hashed: the word
 before, the two words before, the word before that one (a skip), and the classes
-of the third and fourth word before. The second factor is the smoothed share of
-the word's training count in its class, with one place for unknown words, so the
-probabilities of each history sum to 1.
+of the third and fourth word before. The second factor has the same features: the
+words of a class by form hang in a binary tree of ``LEAVES`` leaves by the bits of
+a hash, and each node of the path is a logistic choice between its sides,
+
+    P(word | class, history) = P(side | node, history) * ... * P(word | leaf)
+
+whose weights lie in one hashed table by history and node. A node without trained
+weights chooses by the training counts below it. Only words that share a leaf are
+told apart by their smoothed share of its count, with one place for unknown words,
+so the probabilities of each history sum to 1.
 
 Counts cover every training text. Weights are trained in rounds: each task takes
 AdaGrad steps over its part of the round's texts, and the average of the tasks'
@@ -47,10 +54,17 @@ ROWS = 1 << 12
 TEMPLATES = 4
 ALPHA = 0.1
 RATE = 0.15
+#: Leaves of a form class's tree, and weights of all nodes and histories together.
+LEAF_BITS = 10
+LEAVES = 1 << LEAF_BITS
+CELLS_BITS = 20
+CELLS = 1 << CELLS_BITS
 #: Tokens in a training step, and in a step of scoring, which is kinder to the cache.
 STEP = 8192
 SCORE_STEP = 2048
 ROUNDS = 2
+#: Parts that a table of weights is averaged in.
+PIECES = 64
 #: So many words and their counts go to every task; the others' counts are joined.
 MOST_COMMON = 1 << 17
 #: Fixed value: the last class and the id of the end token.
@@ -78,27 +92,58 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ids, first
 
 
+def classes_of(ids: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Class of each token; ``frequent`` is sorted."""
+    out = (ids & np.uint64(FORMS - 1)).astype(np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, ids), len(frequent) - 1)
+        out = np.where(frequent[at] == ids, FORMS + at, out)
+    out[ids == END_ID] = END
+    return out
+
+
+def leaves_of(ids: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Leaf of each word of a form class, all classes' leaves numbered through."""
+    return (classes << LEAF_BITS) | (mix(ids) >> np.uint64(64 - LEAF_BITS)).astype(np.int64)
+
+
+def node_bias(leaf_sums: np.ndarray) -> np.ndarray:
+    """Log-odds of the upper side of each node, in heap order by form class, from what lies in the leaves."""
+    bias = np.zeros((FORMS, LEAVES))
+    sums = leaf_sums.reshape(FORMS, LEAVES)
+    for level in reversed(range(LEAF_BITS)):
+        sides = sums.reshape(FORMS, 1 << level, 2)
+        bias[:, 1 << level : 2 << level] = np.log(sides[..., 1] / sides[..., 0])
+        sums = sides.sum(axis=2)
+    return bias.ravel().astype(np.float32)
+
+
 @dataclass
 class Model:
     frequent: np.ndarray  # ids, sorted
     bias: np.ndarray  # by class
     weights: np.ndarray  # template, row, class
+    node_bias: np.ndarray  # by form class and node
+    node_weights: np.ndarray  # by hash of history and node
 
     @classmethod
-    def fresh(cls, frequent: np.ndarray, class_counts: np.ndarray) -> Model:
+    def fresh(cls, frequent: np.ndarray, class_counts: np.ndarray, leaf_sums: np.ndarray | None = None) -> Model:
         share = (class_counts + 0.5) / (class_counts + 0.5).sum()
-        return cls(np.sort(frequent), np.log(share).astype(np.float32), np.zeros((TEMPLATES, ROWS, CLASSES), np.float32))
+        leaf_sums = np.ones(FORMS * LEAVES) if leaf_sums is None else leaf_sums
+        return cls(
+            np.sort(frequent), np.log(share).astype(np.float32), np.zeros((TEMPLATES, ROWS, CLASSES), np.float32),
+            node_bias(leaf_sums), np.zeros(CELLS, np.float32),
+        )
 
     def classes(self, ids: np.ndarray) -> np.ndarray:
-        out = (ids & np.uint64(FORMS - 1)).astype(np.int64)
-        if len(self.frequent):
-            at = np.minimum(np.searchsorted(self.frequent, ids), len(self.frequent) - 1)
-            out = np.where(self.frequent[at] == ids, FORMS + at, out)
-        out[ids == END_ID] = END
-        return out
+        return classes_of(ids, self.frequent)
 
     def features(self, ids: np.ndarray, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Row of each template for each token; what lies before a text is one mark."""
+        """Row of each template for each token."""
+        return _rows_of(self.histories(ids, classes, first))
+
+    def histories(self, ids: np.ndarray, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Hash of each template for each token; what lies before a text is one mark."""
         place = np.arange(len(ids)) - np.repeat(first[:-1], np.diff(first))
         back = []
         for k in range(1, 5):
@@ -106,14 +151,33 @@ class Model:
             moved = np.zeros(len(ids), np.uint64)
             moved[k:] = own[:-k] if k < len(own) + 1 else own[:0]
             back.append(np.where(place >= k, moved, np.uint64(0)))
-        low = np.uint64(ROWS - 1)
         one, two, three, four = back
         return np.stack([
-            (mix(one + np.uint64(1)) & low),
-            (mix(mix(one + np.uint64(2)) + two) & low),
-            (mix(two + np.uint64(3)) & low),
-            (mix(three * np.uint64(CLASSES + 1) + four + np.uint64(4)) & low),
-        ]).astype(np.uint16)
+            mix(one + np.uint64(1)),
+            mix(mix(one + np.uint64(2)) + two),
+            mix(two + np.uint64(3)),
+            mix(three * np.uint64(CLASSES + 1) + four + np.uint64(4)),
+        ])
+
+    def choices(self, leaves: np.ndarray, histories: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word and node of its path: cells by template, log-odds of the upper side, whether it goes there."""
+        depth = np.arange(LEAF_BITS)
+        code = (leaves & (LEAVES - 1))[:, None]
+        nodes = ((leaves >> LEAF_BITS) << LEAF_BITS)[:, None] | (1 << depth) | (code >> (LEAF_BITS - depth))
+        marks = (nodes + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        cells = ((histories[:, :, None] ^ marks) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - CELLS_BITS)).astype(np.int64)
+        odds = self.node_bias[nodes]
+        for own in cells:
+            odds += np.take(self.node_weights, own)
+        return cells, odds, (code >> (LEAF_BITS - 1 - depth)) & 1
+
+    def log10_leaves(self, leaves: np.ndarray, histories: np.ndarray) -> np.ndarray:
+        """log10 P(leaf | class, history) of words of the form classes."""
+        out = np.empty(len(leaves))
+        for a in range(0, len(leaves), SCORE_STEP):
+            _, odds, up = self.choices(leaves[a : a + SCORE_STEP], histories[:, a : a + SCORE_STEP])
+            out[a : a + SCORE_STEP] = -np.logaddexp(0, np.where(up, -odds, odds)).sum(axis=1, dtype=np.float64)
+        return out / math.log(10)
 
     def probabilities(self, rows: np.ndarray) -> np.ndarray:
         """Softmax over the classes for each token."""
@@ -125,16 +189,18 @@ class Model:
         z /= z.sum(axis=1, keepdims=True)
         return z
 
-    def log10_classes(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-        classes = self.classes(ids)
-        rows = self.features(ids, classes, first)
-        out = np.empty(len(ids))
-        for a in range(0, len(ids), SCORE_STEP):
+    def log10_classes(self, classes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        out = np.empty(len(classes))
+        for a in range(0, len(classes), SCORE_STEP):
             p = self.probabilities(rows[:, a : a + SCORE_STEP])
             out[a : a + SCORE_STEP] = p[np.arange(len(p)), classes[a : a + SCORE_STEP]]
         return np.log10(np.maximum(out, 1e-30))
 
 
+def _rows_of(histories: np.ndarray) -> np.ndarray:
+    return (histories & np.uint64(ROWS - 1)).astype(np.uint16)
+
+
 def _row_sums(rows: np.ndarray, begin: np.ndarray, few: int = 8) -> np.ndarray:
     """Sum of each run of rows that starts at ``begin``: short runs row by row together, long ones each by itself."""
     size = np.diff(np.append(begin, len(rows)))
@@ -151,17 +217,32 @@ class Trainer:
     """AdaGrad steps on a model of its own; ``seen`` counts the tokens."""
 
     def __init__(self, model: Model):
-        self.model = Model(model.frequent, model.bias, model.weights.copy())
+        self.model = Model(model.frequent, model.bias, model.weights.copy(), model.node_bias, model.node_weights.copy())
         self.squares = np.full_like(model.weights, 1.0)
+        self.node_squares = np.full_like(model.node_weights, 1.0)
         self.seen = 0
 
     def learn(self, ids: np.ndarray, first: np.ndarray) -> None:
         classes = self.model.classes(ids)
-        rows = self.model.features(ids, classes, first)
+        histories = self.model.histories(ids, classes, first)
+        rows = _rows_of(histories)
         for a in range(0, len(ids), STEP):
             self._step(rows[:, a : a + STEP], classes[a : a + STEP])
+        formed = np.flatnonzero(classes < FORMS)
+        leaves = leaves_of(ids[formed], classes[formed])
+        for a in range(0, len(formed), STEP):
+            self._leaf_step(leaves[a : a + STEP], histories[:, formed[a : a + STEP]])
         self.seen += len(ids)
 
+    def _leaf_step(self, leaves: np.ndarray, histories: np.ndarray) -> None:
+        cells, odds, up = self.model.choices(leaves, histories)
+        off = 1 / (1 + np.exp(-odds.astype(np.float64))) - up
+        sums = np.bincount(cells.ravel(), np.broadcast_to(off, cells.shape).ravel(), CELLS)
+        at = np.flatnonzero(sums)
+        gradient = sums[at].astype(np.float32)
+        self.node_squares[at] += gradient * gradient
+        self.model.node_weights[at] -= RATE * gradient / np.sqrt(self.node_squares[at])
+
     def _step(self, rows: np.ndarray, classes: np.ndarray) -> None:
         off = self.model.probabilities(rows)
         off[np.arange(len(off)), classes] -= 1
@@ -209,21 +290,25 @@ def _most_common(counts: DataFrame, most: int) -> DataFrame:
     return counts.where(step >= F.lit(least))
 
 
-def _class_counts(counts: DataFrame, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and distinct words of each class; ``CLASSES`` rows come to the driver."""
-    blank = Model.fresh(frequent, np.zeros(CLASSES))
+def _cell_counts(counts: DataFrame, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and distinct words of each leaf, then of each class without leaves; as many rows at most come to the driver."""
+    size = FORMS * LEAVES + CLASSES
 
-    def by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, v = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for batch in batches:
-            own = blank.classes(batch.column(0).to_numpy().view(np.uint64))
-            n = np.bincount(own, batch.column(1).to_numpy(), minlength=CLASSES).astype(np.int64)
-            v = np.bincount(own, minlength=CLASSES)
-            yield pa.record_batch([pa.array(np.arange(CLASSES)), pa.array(n), pa.array(v, pa.int64())], names=["class", "n", "v"])
-
-    rows = counts.mapInArrow(by_class, "class long, n long, v long").groupBy("class").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
-    n, v = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-    for row in rows.collect():
-        n[row["class"]], v[row["class"]] = row["n"], row["v"]
+            ids = batch.column(0).to_numpy().view(np.uint64)
+            own = classes_of(ids, frequent)
+            cell = np.where(own < FORMS, leaves_of(ids, own), FORMS * LEAVES + own)
+            n += np.bincount(cell, batch.column(1).to_numpy(), minlength=size).astype(np.int64)
+            v += np.bincount(cell, minlength=size)
+        at = np.flatnonzero(v)
+        yield pa.record_batch([pa.array(at, pa.int64()), pa.array(n[at]), pa.array(v[at])], names=["cell", "n", "v"])
+
+    rows = counts.mapInArrow(by_cell, "cell long, n long, v long").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+    n, v = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    found = rows.toPandas()
+    n[found["cell"]], v[found["cell"]] = found["n"], found["v"]
     return n, v
 
 
@@ -237,9 +322,9 @@ def _round(texts: DataFrame, model: Model) -> Model:
             for part in slices(batch, 0, 2 << 20):
                 trainer.learn(*tokens(part.column(0)))
         if trainer.seen:
-            pieces = np.array_split(trainer.model.weights.reshape(-1, CLASSES), 64)
+            pieces = np.array_split(trainer.model.weights.ravel(), PIECES) + np.array_split(trainer.model.node_weights, PIECES)
             yield pa.record_batch(
-                [pa.array(range(64), pa.int64()), pa.array([trainer.seen] * 64, pa.int64()),
+                [pa.array(range(2 * PIECES), pa.int64()), pa.array([trainer.seen] * 2 * PIECES, pa.int64()),
                  pa.array([p.tobytes() for p in pieces], pa.binary())],
                 names=["piece", "seen", "weights"],
             )
@@ -256,23 +341,23 @@ def _round(texts: DataFrame, model: Model) -> Model:
         )
 
     parts = texts.mapInArrow(learn, "piece long, seen long, weights binary")
-    # 64 rows, the size of the model together.
+    # 2 * PIECES rows, the size of the model together.
     rows = parts.groupBy("piece").applyInArrow(average, "piece long, weights binary").collect()
     if not rows:
         return model
-    flat = np.concatenate([np.frombuffer(r.weights, np.float32) for r in sorted(rows, key=lambda r: r.piece)])
-    return Model(model.frequent, model.bias, flat.reshape(model.weights.shape))
+    flat = [np.frombuffer(r.weights, np.float32) for r in sorted(rows, key=lambda r: r.piece)]
+    weights = np.concatenate(flat[:PIECES]).reshape(model.weights.shape)
+    return Model(model.frequent, model.bias, weights, model.node_bias, np.concatenate(flat[PIECES:]))
 
 
 def _scan(
-    rows: DataFrame, model: Model, words: np.ndarray, n: np.ndarray, class_n: np.ndarray, class_v: np.ndarray
+    rows: DataFrame, model: Model, words: np.ndarray, n: np.ndarray, leaf_sums: np.ndarray
 ) -> DataFrame:
     """Per document what the model and the common words give, and the words that are not common."""
     words = words.view(np.uint64)
     order = np.argsort(words)
-    # What P(word | class) has besides log10(n + ALPHA): nothing where the word is the class.
-    spread = np.where(np.arange(CLASSES) < FORMS, -np.log10(class_n + ALPHA * (class_v + 1)), 0.0)
-    shared = rows.sparkSession.sparkContext.broadcast((model, words[order], np.log10(n[order] + ALPHA), spread))
+    # What P(word | leaf) has besides log10(n + ALPHA).
+    shared = rows.sparkSession.sparkContext.broadcast((model, words[order], np.log10(n[order] + ALPHA), -np.log10(leaf_sums)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, words, logs, spread = shared.value
@@ -284,7 +369,11 @@ def _scan(
                 is_common = words[at] == ids if len(words) else np.zeros(len(ids), bool)
                 log = np.where(is_common, logs[at], 0.0) if len(words) else np.zeros(len(ids))
                 classes = model.classes(ids)
-                factor = model.log10_classes(ids, first) + spread[classes] - np.where(classes < FORMS, 0.0, log)
+                histories = model.histories(ids, classes, first)
+                factor = model.log10_classes(classes, _rows_of(histories)) - np.where(classes < FORMS, 0.0, log)
+                formed = np.flatnonzero(classes < FORMS)
+                leaves = leaves_of(ids[formed], classes[formed])
+                factor[formed] += model.log10_leaves(leaves, histories[:, formed]) + spread[leaves]
                 rare_first = np.concatenate([[0], np.cumsum(~is_common)])[first]
                 rare = pa.ListArray.from_arrays(
                     pa.array(rare_first, pa.int32()), pa.array(ids[~is_common].view(np.int64))
@@ -337,15 +426,18 @@ def language_scores(
     end = int(END_ID.astype(np.int64))
     top = counts.where(F.col("word") != end).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
     frequent = np.array(sorted(np.array([r.word for r in top], np.int64).view(np.uint64)), np.uint64)
-    class_n, class_v = _class_counts(counts, frequent)
-    n, v = int(class_n.sum()), int(class_v.sum())
-    model = Model.fresh(frequent, class_n)
+    cell_n, cell_v = _cell_counts(counts, frequent)
+    n, v = int(cell_n.sum()), int(cell_v.sum())
+    leaf_n, leaf_v = cell_n[: FORMS * LEAVES], cell_v[: FORMS * LEAVES]
+    class_n = cell_n[FORMS * LEAVES :] + np.append(leaf_n.reshape(FORMS, LEAVES).sum(axis=1), np.zeros(CLASSES - FORMS, np.int64))
+    leaf_sums = leaf_n + ALPHA * (leaf_v + 1)
+    model = Model.fresh(frequent, class_n, leaf_sums)
     for i in range(rounds):
         part = training.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == i)
         model = _round(part.select("text"), model)
 
     common = _most_common(counts, most_common).toPandas()
-    table = written(_scan(rows, model, common["word"].to_numpy(np.int64), common["n"].to_numpy(np.int64), class_n, class_v), "scores")
+    table = written(_scan(rows, model, common["word"].to_numpy(np.int64), common["n"].to_numpy(np.int64), leaf_sums), "scores")
     rare = (
         table.select("row", F.explode("rare").alias("word"))
         .join(counts, "word", "left")

@@ -108,3 +108,32 @@ def test_row_sums(n):
     rows = rng.random((n, 5), dtype=np.float32)
     begin = np.unique(np.concatenate([[0], rng.integers(0, n, n // 9 + 1)]))
     assert np.allclose(maxent._row_sums(rows, begin), np.add.reduceat(rows, begin, axis=0), rtol=1e-4)
+
+
+def test_leaves_of_a_history_sum_to_one():
+    ids, first = tokens(pa.array([f"cat{a}xy sees dog{b}xy" for a in range(9) for b in range(9)] * 5))
+    trainer = Trainer(Model.fresh(np.zeros(0, np.uint64), np.zeros(CLASSES), np.random.default_rng(1).random(FORMS * maxent.LEAVES) + 0.1))
+    trainer.learn(ids, first)
+    model = trainer.model
+    histories = model.histories(ids, model.classes(ids), first)
+    for t in (0, 1, 2, 30):
+        leaves = 5 * maxent.LEAVES + np.arange(maxent.LEAVES)
+        p = 10 ** model.log10_leaves(leaves, np.repeat(histories[:, t : t + 1], maxent.LEAVES, axis=1))
+        assert p.sum() == pytest.approx(1, abs=1e-5)
+
+
+def test_leaf_bias_is_the_share_of_the_counts():
+    sums = np.random.default_rng(2).random(FORMS * maxent.LEAVES) + 0.1
+    model = Model.fresh(np.zeros(0, np.uint64), np.zeros(CLASSES), sums)
+    leaves = np.array([0, 3, maxent.LEAVES - 1, 7 * maxent.LEAVES + 5])
+    own = sums.reshape(FORMS, -1).sum(axis=1)[leaves >> maxent.LEAF_BITS]
+    assert np.allclose(10 ** model.log10_leaves(leaves, np.ones((4, 4), np.uint64)), sums[leaves] / own, rtol=1e-4)
+
+
+def test_history_tells_words_of_one_class_apart(spark):
+    # 40 common words take the classes of their own; paxy and pbxy end alike and are as frequent.
+    common = " ".join(f"common{i}" for i in range(40))
+    rows = [(i, f"{common} {common} {'red paxy' if i % 2 else 'blue pbxy'}") for i in range(2000)]
+    rows += [(5000, f"{common} red paxy"), (5001, f"{common} red pbxy")]
+    scores = {r.doc_id: r.score for r in language_scores(frame(spark, rows), F.col("doc_id") >= 5000).collect()}
+    assert scores[5000] > scores[5001] + 0.3
