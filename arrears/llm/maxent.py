@@ -55,7 +55,7 @@ TEMPLATES = 4
 ALPHA = 0.1
 RATE = 0.15
 #: Leaves of a form class's tree, and weights of all nodes and histories together.
-LEAF_BITS = 10
+LEAF_BITS = 5
 LEAVES = 1 << LEAF_BITS
 CELLS_BITS = 20
 CELLS = 1 << CELLS_BITS
@@ -164,10 +164,14 @@ class Model:
         depth = np.arange(LEAF_BITS)
         code = (leaves & (LEAVES - 1))[:, None]
         nodes = ((leaves >> LEAF_BITS) << LEAF_BITS)[:, None] | (1 << depth) | (code >> (LEAF_BITS - depth))
-        marks = (nodes + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        cells = ((histories[:, :, None] ^ marks) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - CELLS_BITS)).astype(np.int64)
+        marks = (nodes + 1).astype(np.uint32) * np.uint32(0x9E3779B1)
         odds = self.node_bias[nodes]
-        for own in cells:
+        cells = np.empty((len(histories), *nodes.shape), np.int64)
+        for own, history in zip(cells, (histories >> np.uint64(32)).astype(np.uint32), strict=True):
+            mixed = history[:, None] ^ marks
+            mixed *= np.uint32(0x85EBCA6B)
+            mixed >>= np.uint32(32 - CELLS_BITS)
+            own[...] = mixed
             odds += np.take(self.node_weights, own)
         return cells, odds, (code >> (LEAF_BITS - 1 - depth)) & 1
 
@@ -176,8 +180,9 @@ class Model:
         out = np.empty(len(leaves))
         for a in range(0, len(leaves), SCORE_STEP):
             _, odds, up = self.choices(leaves[a : a + SCORE_STEP], histories[:, a : a + SCORE_STEP])
-            out[a : a + SCORE_STEP] = -np.logaddexp(0, np.where(up, -odds, odds)).sum(axis=1, dtype=np.float64)
-        return out / math.log(10)
+            # Log-odds are far below 100: the product of all nodes stays finite.
+            out[a : a + SCORE_STEP] = (1 + np.exp(np.where(up, -odds, odds))).prod(axis=1, dtype=np.float64)
+        return -np.log10(out)
 
     def probabilities(self, rows: np.ndarray) -> np.ndarray:
         """Softmax over the classes for each token."""
@@ -236,7 +241,7 @@ class Trainer:
 
     def _leaf_step(self, leaves: np.ndarray, histories: np.ndarray) -> None:
         cells, odds, up = self.model.choices(leaves, histories)
-        off = 1 / (1 + np.exp(-odds.astype(np.float64))) - up
+        off = 1 / (1 + np.exp(-odds)) - up
         sums = np.bincount(cells.ravel(), np.broadcast_to(off, cells.shape).ravel(), CELLS)
         at = np.flatnonzero(sums)
         gradient = sums[at].astype(np.float32)
