@@ -232,3 +232,43 @@ def test_summaries_in_one_pass_over_many_tasks(spark, monkeypatch):
     assert found[0].total == pytest.approx(20_000 * 20_001 / 2) and found[0].rank_error() < 0.06
     assert found[1].value.tolist() == [1, 3, 5, 7, 9] and found[1].rank_error() == 0
     assert len(found[2].value) == 0 and len(found[2].cuts(10)) == 0
+
+
+def test_small_trees_are_walked_like_large_ones(monkeypatch):
+    rng = np.random.default_rng(5)
+    for kind, missing in (np.uint8, 9), (np.uint16, 300):
+        bins = rng.integers(0, missing + 1, (4, 500)).astype(kind)
+        for depth in range(1, 5):
+            tree = boosting.Tree.leaf(depth, 0.0)
+            for i in range((1 << depth) - 1):
+                if (not i or tree.feature[(i - 1) // 2] >= 0) and rng.random() < 0.8:
+                    tree.feature[i], tree.bin[i], tree.missing_left[i] = rng.integers(4), rng.integers(missing), rng.random() < 0.5
+            monkeypatch.setattr(boosting, "SMALL_TREE", 255)
+            small = tree.nodes(bins, missing)
+            monkeypatch.setattr(boosting, "SMALL_TREE", 0)
+            assert small.tolist() == tree.nodes(bins, missing).tolist()
+
+
+def test_files_do_not_set_how_many_histograms_are_sent(spark, tmp_path):
+    few, many = frame(spark, files=2), frame(spark).repartition(40)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "2k")
+    try:
+        first, second = blocks_of(few, tmp_path / "few"), blocks_of(many, tmp_path / "many")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert second.parts <= spark.sparkContext.defaultParallelism
+    assert second.table.rdd.getNumPartitions() == second.parts
+    settings = Settings(n_estimators=1, max_depth=2, colsample_bytree=0.6)
+    sent = boosting._level_sums(boosting._shared(first, [_fitting(first, settings)], level=0, number=0, seed=88))
+    rows = first.table.mapInArrow(sent, boosting._SUMS).collect()
+    # Of three features the tree may split on one, and only its sums travel.
+    assert {len(r.sums) for r in rows} == {2 * 8 * (first.missing + 1)}
+
+
+def _fitting(blocks, settings):
+    return boosting._Fitting(
+        boosting.Model(settings, blocks.start(-1), blocks.cuts), [], boosting.Tree.leaf(settings.max_depth, 0.0),
+        boosting.columns_of(settings, 0, 88, len(blocks.cuts)),
+    )
