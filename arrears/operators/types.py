@@ -21,7 +21,6 @@ from arrears.schemas import SNAPSHOT, quoted
 
 # The kinds in the order of their bits, and the pattern of each.
 KINDS = ["boolean", "int", "bigint", "double", "date", "timestamp", "string"]
-_WHOLE = "^[+-]?[0-9]+$"
 _DOUBLE = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 _DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 _TIMESTAMP = "^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?$"
@@ -43,16 +42,25 @@ def _bit(kind: str) -> int:
 
 def kind_bit(text: Column) -> Column:
     """The bit of a text's kind; 0 for an empty one and NULL."""
-    value = F.trim(text.cast("string"))
+    return _trimmed_bit(F.trim(text.cast("string")))
+
+
+def _trimmed_bit(value: Column) -> Column:
     date = F.try_to_date(value, "yyyy-MM-dd")
+    # Without point and exponent a number is whole; one too great for bigint is a double.
+    number = (
+        F.when(value.contains(".") | value.contains("e") | value.contains("E"), _bit("double"))
+        .when(value.try_cast("int").isNotNull(), _bit("int"))
+        .when(value.try_cast("bigint").isNotNull(), _bit("bigint"))
+        .otherwise(_bit("double"))
+    )
+    # The patterns exclude each other; the most common kinds are tried first.
     return (
         F.when(value.isNull() | (value == ""), 0)
-        .when(F.lower(value).isin("true", "false"), _bit("boolean"))
-        .when(value.rlike(_WHOLE) & value.try_cast("int").isNotNull(), _bit("int"))
-        .when(value.rlike(_WHOLE) & value.try_cast("bigint").isNotNull(), _bit("bigint"))
-        .when(value.rlike(_DOUBLE), _bit("double"))
+        .when(value.rlike(_DOUBLE), number)
         .when(value.rlike(_DATE) & date.isNotNull(), _bit("date"))
         .when(value.rlike(_TIMESTAMP) & value.try_cast("timestamp").isNotNull(), _bit("timestamp"))
+        .when(F.length(value).between(4, 5) & F.lower(value).isin("true", "false"), _bit("boolean"))
         .otherwise(_bit("string"))
     )
 
@@ -67,11 +75,16 @@ def merged_type(kinds: Column) -> Column:
 
 
 def month_kinds(feed: DataFrame, date_format: str | None = None) -> DataFrame:
-    """snapshot_date, column and its set of kinds: one aggregation of the feed, a row for each month and column."""
+    """snapshot_date, column and its set of kinds: one aggregation of the feed, a row for each month and column.
+
+    A cell becomes a row first: one expression judges all cells, which is little
+    code that the JVM compiles. One for each column is more than it does.
+    """
     names = [name for name in feed.columns if name != SNAPSHOT]
-    sets = [F.struct(F.lit(name).alias("column"), F.bit_or(kind_bit(F.col(quoted(name)))).alias("kinds")) for name in names]
+    cells = [F.struct(F.lit(name).alias("column"), F.trim(F.col(quoted(name)).cast("string")).alias("cell")) for name in names]
     month = conform(SNAPSHOT, "date", date_format).alias(SNAPSHOT)
-    return feed.groupBy(month).agg(F.array(*sets).alias("sets")).select(SNAPSHOT, F.inline("sets"))
+    long = feed.select(month, F.inline(F.array(*cells)))
+    return long.groupBy(SNAPSHOT, "column").agg(F.bit_or(_trimmed_bit(F.col("cell"))).alias("kinds"))
 
 
 def month_types(kinds: DataFrame) -> DataFrame:

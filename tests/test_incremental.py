@@ -138,3 +138,18 @@ def test_a_count_that_never_came_is_null(spark, tmp_path, monkeypatch):
     audit = Audit(spark, str(tmp_path), "job")
     audit.seen(spark.range(3), "never computed")
     assert audit.close().first().n is None
+
+
+def test_month_kinds_judge_all_cells_by_one_expression(spark):
+    feed = spark.createDataFrame(
+        [("2023-01-01", " 5 ", "9" * 30, "TRUE", None), ("2023-01-01", "-7", "1e5", "x", ""), (None, "2.", "+3000000000", "Off", "2023-02-30")],
+        "snapshot_date string, `a.b` string, c string, d string, e string",
+    )
+    found = month_kinds(feed)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("gettimestamp") == 1
+    got = {(str(r.snapshot_date), r.column): r.kinds for r in found.collect()}
+    bit = {kind: 1 << i for i, kind in enumerate(["boolean", "int", "bigint", "double", "date", "timestamp", "string"])}
+    assert got == {
+        ("2023-01-01", "a.b"): bit["int"], ("2023-01-01", "c"): bit["double"], ("2023-01-01", "d"): bit["boolean"] | bit["string"],
+        ("2023-01-01", "e"): 0, ("None", "a.b"): bit["double"], ("None", "c"): bit["bigint"], ("None", "d"): bit["string"], ("None", "e"): bit["string"],
+    }
