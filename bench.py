@@ -16,7 +16,7 @@ from arrears.plans import datamart, scoring, training
 from arrears.session import build_session
 from catalogue import queries as q
 from catalogue.fixtures import CALENDAR, MONTHS, TRAIN_DATE
-from catalogue.store import Store
+from catalogue.store import BRONZE_FORMAT, Store
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -48,7 +48,7 @@ def jobs(mart: Store) -> dict:
         "bronze_backfill": lambda: datamart.build_bronze(
             spark, mart.raw, mart.folder("bench_bronze"), MONTHS),
         "silver_backfill": lambda: datamart.build_silver(
-            spark, mart.bronze, mart.folder("bench_silver"), MONTHS),
+            spark, mart.bronze, mart.folder("bench_silver"), MONTHS, fmt=BRONZE_FORMAT),
         "gold_backfill": lambda: datamart.build_labels(
             spark, mart.silver, mart.folder("bench_gold"), MONTHS),
         "layer_counts": query("layer_counts"),

@@ -38,7 +38,7 @@ from catalogue.fixtures import (
     feature_clickstream,
     loan_daily,
 )
-from catalogue.store import store, write_feed
+from catalogue.store import BRONZE_FORMAT, store, write_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -139,14 +139,14 @@ def bronze_backfill(spark, sf_dir):
 
 
 def bronze_scan(spark, sf_dir):
-    return raw_typed(datamart.read_bronze(spark, store(spark, sf_dir).bronze, [POINT]))
+    return raw_typed(datamart.read_bronze(spark, store(spark, sf_dir).bronze, [POINT], fmt=BRONZE_FORMAT))
 
 
 def silver_backfill(spark, sf_dir):
     mart = store(spark, sf_dir)
     path = mart.folder("silver_backfill")
-    datamart.build_silver(spark, mart.bronze, path, MONTHS)
-    datamart.build_silver(spark, mart.bronze, path, [POINT])
+    datamart.build_silver(spark, mart.bronze, path, MONTHS, fmt=BRONZE_FORMAT)
+    datamart.build_silver(spark, mart.bronze, path, [POINT], fmt=BRONZE_FORMAT)
     return widen(datamart.read_silver(spark, path))
 
 
@@ -170,7 +170,7 @@ def label_store_scan(spark, sf_dir):
 def layer_counts(spark, sf_dir):
     mart = store(spark, sf_dir)
     return datamart.layer_counts(
-        bronze=datamart.read_bronze(spark, mart.bronze),
+        bronze=datamart.read_bronze(spark, mart.bronze, fmt=BRONZE_FORMAT),
         silver=datamart.read_silver(spark, mart.silver, others=False),
         gold=datamart.read_labels(spark, mart.labels),
     )
@@ -293,15 +293,19 @@ def score_input(spark, sf_dir):
 
 
 def audit_counts(spark, sf_dir):
-    """Rows that each job saw at its loads and filters, of one run of all jobs but the training's search."""
+    """Rows that each job saw at its loads and filters, of one run of all jobs but the training's search.
+
+    The model that scores is fitted on the layers of this run, unless the store has a model or layers already.
+    """
     mart = store(spark, sf_dir)
     table = mart.folder(f"audit-{uuid.uuid4().hex}")
     audits = {job: Audit(spark, table, job) for job in ("bronze", "silver", "labels", "training", "scoring")}
     root = mart.folder(f"audited-{uuid.uuid4().hex}")
     bronze, silver, labels = (f"{root}/{name}" for name in ("bronze", "silver", "labels"))
-    datamart.build_bronze(spark, mart.raw, bronze, MONTHS, audit=audits["bronze"])
-    datamart.build_silver(spark, bronze, silver, MONTHS, audit=audits["silver"])
+    datamart.build_bronze(spark, mart.raw, bronze, MONTHS, fmt=BRONZE_FORMAT, audit=audits["bronze"])
+    datamart.build_silver(spark, bronze, silver, MONTHS, fmt=BRONZE_FORMAT, audit=audits["silver"])
     stored = datamart.build_labels(spark, silver, labels, MONTHS, audit=audits["labels"])
+    mart.adopt(bronze=bronze, silver=silver, labels=labels)
     training.build_training_rows(spark, stored, mart.features, CALENDAR, f"{root}/bank", audits["training"])
     scoring.score(
         spark, mart.features, mart.run and mart.bank, VERSION + MODEL_SUFFIX, f"{root}/predictions", [POINT], audits["scoring"]

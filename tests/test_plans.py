@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as driver
 from arrears.operators import metrics, scaling
 from arrears.operators.training_set import join_features
+from arrears.plans import datamart, scoring
 from arrears.sources.sinks import overwrite_months
 from arrears.sources.tables import between_days, in_months, read_features
 from catalogue.store import store
@@ -86,3 +87,29 @@ def test_join_splits_hot_keys_on_both_sides(spark):
         "'x' AS Customer_ID", "date'2023-01-01' AS snapshot_date", "rand() AS fe_1")
     plan = join_features(labels, features)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Inner" in plan and "Join LeftAnti" in plan and "LeftOuter" not in plan
+
+
+def test_the_model_of_the_audit_is_fitted_on_the_audited_layers(spark, sf_dir, monkeypatch):
+    built, fitted_on = [], []
+
+    def noted(name):
+        build = getattr(datamart, name)
+
+        def call(*args, **more):
+            built.append(name)
+            return build(*args, **more)
+
+        return call
+
+    def fit(spark, labels, *args, **more):
+        fitted_on.append(labels.count())
+        return "model"
+
+    monkeypatch.setattr("catalogue.store._stores", {})
+    monkeypatch.setattr("catalogue.store.train", fit)
+    monkeypatch.setattr(scoring, "score", lambda *args: None)
+    for name in ("build_bronze", "build_silver", "build_labels"):
+        monkeypatch.setattr(datamart, name, noted(name))
+    counts = {(r.job, r.step): r.n for r in driver.queries()["audit_counts"](spark, sf_dir).collect()}
+    assert built == ["build_bronze", "build_silver", "build_labels"]
+    assert fitted_on == [counts["labels", "labels"]]
