@@ -320,7 +320,7 @@ def incremental_backfill(spark, sf_dir):
     mart = store(spark, sf_dir)
     layout = Layout(mart.folder(f"incremental-{uuid.uuid4().hex}"))
     feed = f"{layout.mart}/feed"
-    loans = loan_daily(spark, sf_dir)
+    loans = loan_daily(spark, sf_dir, spread=True)
     late = (F.col("snapshot_date") == F.lit(POINT)) & F.col("loan_id").endswith("7")
     write_feed(loans.where(~late), feed)
     incremental.refresh(spark, feed, layout, MONTHS)
