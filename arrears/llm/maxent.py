@@ -59,9 +59,9 @@ LEAF_BITS = 5
 LEAVES = 1 << LEAF_BITS
 CELLS_BITS = 20
 CELLS = 1 << CELLS_BITS
-#: Tokens in a training step, and in a step of scoring, which is kinder to the cache.
+#: Tokens in a training step, and in one of computing probabilities, which is kinder to the cache.
 STEP = 8192
-SCORE_STEP = 2048
+SCORE_STEP = 1024
 ROUNDS = 2
 #: Parts that a table of weights is averaged in.
 PIECES = 64
@@ -184,21 +184,27 @@ class Model:
             out[a : a + SCORE_STEP] = (1 + np.exp(np.where(up, -odds, odds))).prod(axis=1, dtype=np.float64)
         return -np.log10(out)
 
-    def probabilities(self, rows: np.ndarray) -> np.ndarray:
-        """Softmax over the classes for each token."""
-        z = np.repeat(self.bias[None, :], rows.shape[1], axis=0)
-        for table, row in zip(self.weights, rows, strict=True):
+    def shares(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each token what the classes have in proportion, and the sum of that."""
+        z = np.take(self.weights[0], rows[0], axis=0)
+        z += self.bias
+        for table, row in zip(self.weights[1:], rows[1:], strict=True):
             z += np.take(table, row, axis=0)
         z -= z.max(axis=1, keepdims=True)
         np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
+        return z, z.sum(axis=1)
+
+    def probabilities(self, rows: np.ndarray) -> np.ndarray:
+        """Softmax over the classes for each token."""
+        z, total = self.shares(rows)
+        z /= total[:, None]
         return z
 
     def log10_classes(self, classes: np.ndarray, rows: np.ndarray) -> np.ndarray:
         out = np.empty(len(classes))
         for a in range(0, len(classes), SCORE_STEP):
-            p = self.probabilities(rows[:, a : a + SCORE_STEP])
-            out[a : a + SCORE_STEP] = p[np.arange(len(p)), classes[a : a + SCORE_STEP]]
+            z, total = self.shares(rows[:, a : a + SCORE_STEP])
+            out[a : a + SCORE_STEP] = z[np.arange(len(z)), classes[a : a + SCORE_STEP]] / total
         return np.log10(np.maximum(out, 1e-30))
 
 
@@ -225,6 +231,7 @@ class Trainer:
         self.model = Model(model.frequent, model.bias, model.weights.copy(), model.node_bias, model.node_weights.copy())
         self.squares = np.full_like(model.weights, 1.0)
         self.node_squares = np.full_like(model.node_weights, 1.0)
+        self.places = np.zeros(len(model.node_weights), np.int32)
         self.seen = 0
 
     def learn(self, ids: np.ndarray, first: np.ndarray) -> None:
@@ -242,14 +249,25 @@ class Trainer:
     def _leaf_step(self, leaves: np.ndarray, histories: np.ndarray) -> None:
         cells, odds, up = self.model.choices(leaves, histories)
         off = 1 / (1 + np.exp(-odds)) - up
-        sums = np.bincount(cells.ravel(), np.broadcast_to(off, cells.shape).ravel(), CELLS)
-        at = np.flatnonzero(sums)
-        gradient = sums[at].astype(np.float32)
-        self.node_squares[at] += gradient * gradient
-        self.model.node_weights[at] -= RATE * gradient / np.sqrt(self.node_squares[at])
+        cells = cells.ravel()
+        # A cell goes by one of its places in the step, so that nothing as long as the table is walked.
+        place = np.arange(len(cells), dtype=np.int32)
+        self.places[cells] = place
+        named = np.take(self.places, cells)
+        is_name = named == place
+        at = cells[is_name]
+        number = np.cumsum(is_name) - 1
+        gradient = np.bincount(np.take(number, named), np.tile(off.ravel(), TEMPLATES), len(at)).astype(np.float32)
+        square = np.take(self.node_squares, at)
+        square += gradient * gradient
+        self.node_squares[at] = square
+        np.sqrt(square, out=square)
+        gradient *= RATE
+        gradient /= square
+        self.model.node_weights[at] -= gradient
 
     def _step(self, rows: np.ndarray, classes: np.ndarray) -> None:
-        off = self.model.probabilities(rows)
+        off = np.concatenate([self.model.probabilities(rows[:, a : a + SCORE_STEP]) for a in range(0, len(classes), SCORE_STEP)])
         off[np.arange(len(off)), classes] -= 1
         for table, squares, row in zip(self.model.weights, self.squares, rows, strict=True):
             order = np.argsort(row, kind="stable")

@@ -1,5 +1,6 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -137,3 +138,21 @@ def test_history_tells_words_of_one_class_apart(spark):
     rows += [(5000, f"{common} red paxy"), (5001, f"{common} red pbxy")]
     scores = {r.doc_id: r.score for r in language_scores(frame(spark, rows), F.col("doc_id") >= 5000).collect()}
     assert scores[5000] > scores[5001] + 0.3
+
+
+def test_a_leaf_step_takes_room_by_its_tokens_and_not_by_the_table():
+    ids, first = tokens(pa.array(["some few words, and some of them twice"] * 3))
+    trainer = Trainer(Model.fresh(np.zeros(0, np.uint64), np.zeros(CLASSES)))
+    classes = trainer.model.classes(ids)
+    histories = trainer.model.histories(ids, classes, first)
+    formed = np.flatnonzero(classes < FORMS)
+    leaves = maxent.leaves_of(ids[formed], classes[formed])
+    cells, odds, up = trainer.model.choices(leaves, histories[:, formed])
+    want = np.zeros(maxent.CELLS)
+    np.add.at(want, cells, np.broadcast_to(1 / (1 + np.exp(-odds)) - up, cells.shape))
+    tracemalloc.start()
+    trainer._leaf_step(leaves, histories[:, formed])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < maxent.CELLS
+    assert np.allclose(trainer.model.node_weights, -maxent.RATE * want / np.sqrt(1 + want**2), atol=1e-6)
