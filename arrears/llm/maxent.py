@@ -63,10 +63,14 @@ CELLS = 1 << CELLS_BITS
 STEP = 8192
 SCORE_STEP = 1024
 ROUNDS = 2
+#: Sums of exp(z) are finite and not 0 while no z is farther from 0.
+FINITE = 60
 #: Parts that a table of weights is averaged in.
 PIECES = 64
 #: So many words and their counts go to every task; the others' counts are joined.
 MOST_COMMON = 1 << 17
+#: Words are looked up by so many first bits of their hashes.
+INDEX_BITS = 18
 #: Fixed value: the last class and the id of the end token.
 END = CLASSES - 1
 END_ID = np.uint64(2**64 - 1)
@@ -160,15 +164,15 @@ class Model:
         ])
 
     def choices(self, leaves: np.ndarray, histories: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each word and node of its path: cells by template, log-odds of the upper side, whether it goes there."""
-        depth = np.arange(LEAF_BITS)
-        code = (leaves & (LEAVES - 1))[:, None]
-        nodes = ((leaves >> LEAF_BITS) << LEAF_BITS)[:, None] | (1 << depth) | (code >> (LEAF_BITS - depth))
+        """Of each node of a word's path and word: cells by template, log-odds of the upper side, whether it goes there."""
+        depth = np.arange(LEAF_BITS)[:, None]
+        code = leaves & (LEAVES - 1)
+        nodes = ((leaves >> LEAF_BITS) << LEAF_BITS) | (1 << depth) | (code >> (LEAF_BITS - depth))
         marks = (nodes + 1).astype(np.uint32) * np.uint32(0x9E3779B1)
         odds = self.node_bias[nodes]
         cells = np.empty((len(histories), *nodes.shape), np.int64)
         for own, history in zip(cells, (histories >> np.uint64(32)).astype(np.uint32), strict=True):
-            mixed = history[:, None] ^ marks
+            mixed = history ^ marks
             mixed *= np.uint32(0x85EBCA6B)
             mixed >>= np.uint32(32 - CELLS_BITS)
             own[...] = mixed
@@ -181,7 +185,7 @@ class Model:
         for a in range(0, len(leaves), SCORE_STEP):
             _, odds, up = self.choices(leaves[a : a + SCORE_STEP], histories[:, a : a + SCORE_STEP])
             # Log-odds are far below 100: the product of all nodes stays finite.
-            out[a : a + SCORE_STEP] = (1 + np.exp(np.where(up, -odds, odds))).prod(axis=1, dtype=np.float64)
+            out[a : a + SCORE_STEP] = (1 + np.exp(np.where(up, -odds, odds))).prod(axis=0, dtype=np.float64)
         return -np.log10(out)
 
     def shares(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,7 +194,9 @@ class Model:
         z += self.bias
         for table, row in zip(self.weights[1:], rows[1:], strict=True):
             z += np.take(table, row, axis=0)
-        z -= z.max(axis=1, keepdims=True)
+        # The largest of each row is dear to find, and needed only where exp could overflow or all of a row vanish.
+        if max(z.max(initial=0), -z.min(initial=0)) > FINITE:
+            z -= z.max(axis=1, keepdims=True)
         np.exp(z, out=z)
         return z, z.sum(axis=1)
 
@@ -212,15 +218,24 @@ def _rows_of(histories: np.ndarray) -> np.ndarray:
     return (histories & np.uint64(ROWS - 1)).astype(np.uint16)
 
 
-def _row_sums(rows: np.ndarray, begin: np.ndarray, few: int = 8) -> np.ndarray:
-    """Sum of each run of rows that starts at ``begin``: short runs row by row together, long ones each by itself."""
-    size = np.diff(np.append(begin, len(rows)))
-    out = rows[begin]
+def _row_sums(rows: np.ndarray, begin: np.ndarray, order: np.ndarray | None = None, few: int = 32) -> np.ndarray:
+    """Sum of each run of rows, taken in ``order``, that starts at ``begin``: all short runs together, long ones each by itself."""
+    order = np.arange(len(rows)) if order is None else order
+    size = np.diff(np.append(begin, len(order)))
+    # Longest first, so that the runs with another row are always the first ones.
+    by = np.argsort(-size)
+    size, start = size[by], begin[by]
+    sums = np.take(rows, order[start], axis=0)
+    longer = np.searchsorted(-size, -np.arange(few + 1)).tolist()
+    long = longer[few]
     for i in range(1, few):
-        at = np.flatnonzero((size > i) & (size <= few))
-        out[at] += rows[begin[at] + i]
-    for i in np.flatnonzero(size > few).tolist():
-        out[i] = rows[begin[i] : begin[i] + size[i]].sum(axis=0)
+        if longer[i] == long:
+            break
+        sums[long : longer[i]] += np.take(rows, order[start[long : longer[i]] + i], axis=0)
+    for i in range(long):
+        np.add.reduce(np.take(rows, order[start[i] : start[i] + size[i]], axis=0), axis=0, out=sums[i])
+    out = np.empty_like(sums)
+    out[by] = sums
     return out
 
 
@@ -231,7 +246,6 @@ class Trainer:
         self.model = Model(model.frequent, model.bias, model.weights.copy(), model.node_bias, model.node_weights.copy())
         self.squares = np.full_like(model.weights, 1.0)
         self.node_squares = np.full_like(model.node_weights, 1.0)
-        self.places = np.zeros(len(model.node_weights), np.int32)
         self.seen = 0
 
     def learn(self, ids: np.ndarray, first: np.ndarray) -> None:
@@ -248,16 +262,17 @@ class Trainer:
 
     def _leaf_step(self, leaves: np.ndarray, histories: np.ndarray) -> None:
         cells, odds, up = self.model.choices(leaves, histories)
-        off = 1 / (1 + np.exp(-odds)) - up
-        cells = cells.ravel()
-        # A cell goes by one of its places in the step, so that nothing as long as the table is walked.
-        place = np.arange(len(cells), dtype=np.int32)
-        self.places[cells] = place
-        named = np.take(self.places, cells)
-        is_name = named == place
-        at = cells[is_name]
-        number = np.cumsum(is_name) - 1
-        gradient = np.bincount(np.take(number, named), np.tile(off.ravel(), TEMPLATES), len(at)).astype(np.float32)
+        off = (1 / (1 + np.exp(-odds)) - up).astype(np.float32)
+        # Sorted by cell, all tables are walked in their order; the gradient goes along in the low half.
+        keys = cells.view(np.uint64)
+        keys <<= np.uint64(32)
+        keys |= off.view(np.uint32)
+        keys = np.sort(keys, axis=None)
+        cells = (keys >> np.uint64(32)).astype(np.uint32)
+        last = np.flatnonzero(np.append(cells[1:] != cells[:-1], True))
+        at = np.take(cells, last).astype(np.int64)
+        parts = keys.astype(np.uint32).view(np.float32)
+        gradient = np.diff(np.take(np.cumsum(parts, dtype=np.float64), last), prepend=0).astype(np.float32)
         square = np.take(self.node_squares, at)
         square += gradient * gradient
         self.node_squares[at] = square
@@ -267,13 +282,16 @@ class Trainer:
         self.model.node_weights[at] -= gradient
 
     def _step(self, rows: np.ndarray, classes: np.ndarray) -> None:
-        off = np.concatenate([self.model.probabilities(rows[:, a : a + SCORE_STEP]) for a in range(0, len(classes), SCORE_STEP)])
+        off = np.empty((len(classes), CLASSES), np.float32)
+        for a in range(0, len(classes), SCORE_STEP):
+            z, total = self.model.shares(rows[:, a : a + SCORE_STEP])
+            np.divide(z, total[:, None], out=off[a : a + SCORE_STEP])
         off[np.arange(len(off)), classes] -= 1
         for table, squares, row in zip(self.model.weights, self.squares, rows, strict=True):
             order = np.argsort(row, kind="stable")
             ordered = row[order]
             begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-            gradient = _row_sums(np.take(off, order, axis=0), begin)
+            gradient = _row_sums(off, begin, order)
             at = ordered[begin]
             square = np.take(squares, at, axis=0)
             square += gradient * gradient
@@ -373,6 +391,25 @@ def _round(texts: DataFrame, model: Model) -> Model:
     return Model(model.frequent, model.bias, weights, model.node_bias, np.concatenate(flat[PIECES:]))
 
 
+def _index(words: np.ndarray) -> np.ndarray:
+    """Where the words of each ``INDEX_BITS`` first bits begin; ``words`` is sorted."""
+    return np.searchsorted(words, np.arange(1 << INDEX_BITS, dtype=np.uint64) << np.uint64(64 - INDEX_BITS))
+
+
+def _find(words: np.ndarray, index: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each id in ``words``, and whether it is there; hashes leave few words to each of the first bits."""
+    last = len(words) - 1
+    if last < 0:
+        return np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
+    at = np.minimum(np.take(index, (ids >> np.uint64(64 - INDEX_BITS)).astype(np.int64)), last)
+    behind = np.flatnonzero(np.take(words, at) < ids)
+    while len(behind):
+        behind = behind[at[behind] < last]
+        at[behind] += 1
+        behind = behind[words[at[behind]] < ids[behind]]
+    return at, np.take(words, at) == ids
+
+
 def _scan(
     rows: DataFrame, model: Model, words: np.ndarray, n: np.ndarray, leaf_sums: np.ndarray
 ) -> DataFrame:
@@ -384,13 +421,14 @@ def _scan(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, words, logs, spread = shared.value
+        index = _index(words)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in slices(batch, 2, 2 << 20):
+            # Small parts, whose arrays stay in the cache.
+            for part in slices(batch, 2, 256 << 10):
                 ids, first = tokens(part.column(2))
-                at = np.minimum(np.searchsorted(words, ids), max(len(words) - 1, 0))
-                is_common = words[at] == ids if len(words) else np.zeros(len(ids), bool)
-                log = np.where(is_common, logs[at], 0.0) if len(words) else np.zeros(len(ids))
+                at, is_common = _find(words, index, ids)
+                log = np.where(is_common, np.take(logs, at), 0.0) if len(words) else np.zeros(len(ids))
                 classes = model.classes(ids)
                 histories = model.histories(ids, classes, first)
                 factor = model.log10_classes(classes, _rows_of(histories)) - np.where(classes < FORMS, 0.0, log)

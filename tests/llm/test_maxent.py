@@ -156,3 +156,44 @@ def test_a_leaf_step_takes_room_by_its_tokens_and_not_by_the_table():
     tracemalloc.stop()
     assert peak < maxent.CELLS
     assert np.allclose(trainer.model.node_weights, -maxent.RATE * want / np.sqrt(1 + want**2), atol=1e-6)
+
+
+def test_a_class_step_keeps_one_array_of_probabilities():
+    rng = np.random.default_rng(4)
+    classes = rng.integers(0, CLASSES, maxent.STEP)
+    # Rows with one token, with some and with many; each sum is that of the tokens' own rows.
+    rows = np.minimum(rng.zipf(1.3, (maxent.TEMPLATES, maxent.STEP)), maxent.ROWS - 1).astype(np.uint16)
+    trainer = Trainer(Model.fresh(np.zeros(0, np.uint64), rng.integers(0, 99, CLASSES)))
+    off = trainer.model.probabilities(rows).astype(np.float64)
+    off[np.arange(len(off)), classes] -= 1
+    want = np.zeros(trainer.model.weights.shape)
+    for own, row in zip(want, rows, strict=True):
+        np.add.at(own, row, off)
+    tracemalloc.start()
+    trainer._step(rows, classes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.9 * maxent.STEP * CLASSES * 4
+    assert np.allclose(trainer.model.weights, -maxent.RATE * want / np.sqrt(1 + want**2), atol=1e-4)
+
+
+def test_large_weights_neither_overflow_nor_vanish():
+    model = Model.fresh(np.zeros(0, np.uint64), np.zeros(CLASSES))
+    model.weights[0, 1] = -500
+    model.weights[0, 2, 3] = 500
+    rows = np.zeros((maxent.TEMPLATES, 3), np.uint16)
+    rows[0] = [0, 1, 2]
+    p = model.probabilities(rows)
+    assert np.allclose(p[:2], 1 / CLASSES) and p[2, 3] == 1 and np.allclose(p.sum(axis=1), 1)
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 5000])
+def test_words_are_found_by_the_first_bits(n):
+    rng = np.random.default_rng(n)
+    # Many share their first bits; the smallest and the largest id are asked for too.
+    near = (np.uint64(5) << np.uint64(60)) + rng.integers(0, 60, 40).astype(np.uint64)
+    words = np.unique(np.concatenate([rng.integers(0, 2**64, n, np.uint64), near, [maxent.END_ID]])[: n + 30 if n else 0])
+    ids = np.concatenate([words, words + np.uint64(1), near, rng.integers(0, 2**64, 99, np.uint64), [np.uint64(0), maxent.END_ID]])
+    at, found = maxent._find(words, maxent._index(words), ids)
+    assert (found == np.isin(ids, words)).all()
+    assert not found.any() or (words[at[found]] == ids[found]).all()
