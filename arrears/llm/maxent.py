@@ -36,6 +36,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -59,12 +60,11 @@ LEAF_BITS = 5
 LEAVES = 1 << LEAF_BITS
 CELLS_BITS = 20
 CELLS = 1 << CELLS_BITS
-#: Tokens in a training step, and in one of computing probabilities, which is kinder to the cache.
+#: Tokens in a training step, and in one of computing probabilities of classes and leaves, which is kinder to the cache.
 STEP = 8192
 SCORE_STEP = 1024
+LEAF_SCORE_STEP = 4096
 ROUNDS = 2
-#: Sums of exp(z) are finite and not 0 while no z is farther from 0.
-FINITE = 60
 #: Parts that a table of weights is averaged in.
 PIECES = 64
 #: So many words and their counts go to every task; the others' counts are joined.
@@ -111,6 +111,19 @@ def leaves_of(ids: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return (classes << LEAF_BITS) | (mix(ids) >> np.uint64(64 - LEAF_BITS)).astype(np.int64)
 
 
+def _paths() -> tuple[np.ndarray, np.ndarray]:
+    """Of each level and leaf: the node there, all classes' nodes numbered through in heap order, and the side it takes."""
+    leaf = np.arange(FORMS << LEAF_BITS)
+    depth = np.arange(LEAF_BITS)[:, None]
+    code = leaf & (LEAVES - 1)
+    nodes = ((leaf >> LEAF_BITS) << LEAF_BITS) | (1 << depth) | (code >> (LEAF_BITS - depth))
+    return nodes, (code >> (LEAF_BITS - 1 - depth)) & 1
+
+
+NODES, SIDES = _paths()
+MARKS = (NODES + 1).astype(np.uint32) * np.uint32(0x9E3779B1)
+
+
 def node_bias(leaf_sums: np.ndarray) -> np.ndarray:
     """Log-odds of the upper side of each node, in heap order by form class, from what lies in the leaves."""
     bias = np.zeros((FORMS, LEAVES))
@@ -163,29 +176,31 @@ class Model:
             mix(three * np.uint64(CLASSES + 1) + four + np.uint64(4)),
         ])
 
+    @cached_property
+    def path_bias(self) -> np.ndarray:
+        """``node_bias`` of each node of a leaf's path and leaf."""
+        return self.node_bias[NODES]
+
     def choices(self, leaves: np.ndarray, histories: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each node of a word's path and word: cells by template, log-odds of the upper side, whether it goes there."""
-        depth = np.arange(LEAF_BITS)[:, None]
-        code = leaves & (LEAVES - 1)
-        nodes = ((leaves >> LEAF_BITS) << LEAF_BITS) | (1 << depth) | (code >> (LEAF_BITS - depth))
-        marks = (nodes + 1).astype(np.uint32) * np.uint32(0x9E3779B1)
-        odds = self.node_bias[nodes]
-        cells = np.empty((len(histories), *nodes.shape), np.int64)
+        marks = np.take(MARKS, leaves, axis=1)
+        odds = np.take(self.path_bias, leaves, axis=1)
+        cells = np.empty((len(histories), *marks.shape), np.int64)
         for own, history in zip(cells, (histories >> np.uint64(32)).astype(np.uint32), strict=True):
             mixed = history ^ marks
             mixed *= np.uint32(0x85EBCA6B)
             mixed >>= np.uint32(32 - CELLS_BITS)
             own[...] = mixed
             odds += np.take(self.node_weights, own)
-        return cells, odds, (code >> (LEAF_BITS - 1 - depth)) & 1
+        return cells, odds, np.take(SIDES, leaves, axis=1)
 
     def log10_leaves(self, leaves: np.ndarray, histories: np.ndarray) -> np.ndarray:
         """log10 P(leaf | class, history) of words of the form classes."""
         out = np.empty(len(leaves))
-        for a in range(0, len(leaves), SCORE_STEP):
-            _, odds, up = self.choices(leaves[a : a + SCORE_STEP], histories[:, a : a + SCORE_STEP])
+        for a in range(0, len(leaves), LEAF_SCORE_STEP):
+            _, odds, up = self.choices(leaves[a : a + LEAF_SCORE_STEP], histories[:, a : a + LEAF_SCORE_STEP])
             # Log-odds are far below 100: the product of all nodes stays finite.
-            out[a : a + SCORE_STEP] = (1 + np.exp(np.where(up, -odds, odds))).prod(axis=0, dtype=np.float64)
+            out[a : a + LEAF_SCORE_STEP] = (1 + np.exp(np.where(up, -odds, odds))).prod(axis=0, dtype=np.float64)
         return -np.log10(out)
 
     def shares(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,9 +209,8 @@ class Model:
         z += self.bias
         for table, row in zip(self.weights[1:], rows[1:], strict=True):
             z += np.take(table, row, axis=0)
-        # The largest of each row is dear to find, and needed only where exp could overflow or all of a row vanish.
-        if max(z.max(initial=0), -z.min(initial=0)) > FINITE:
-            z -= z.max(axis=1, keepdims=True)
+        # Short rows have their argmax found faster than their max.
+        z -= np.take_along_axis(z, z.argmax(axis=1)[:, None], axis=1)
         np.exp(z, out=z)
         return z, z.sum(axis=1)
 
@@ -262,17 +276,18 @@ class Trainer:
 
     def _leaf_step(self, leaves: np.ndarray, histories: np.ndarray) -> None:
         cells, odds, up = self.model.choices(leaves, histories)
-        off = (1 / (1 + np.exp(-odds)) - up).astype(np.float32)
-        # Sorted by cell, all tables are walked in their order; the gradient goes along in the low half.
+        upper = 1 / (1 + np.exp(-odds))
+        # Sorted by cell, all tables are walked in their order; the probability goes along in the low half, its sign is the side.
         keys = cells.view(np.uint64)
         keys <<= np.uint64(32)
-        keys |= off.view(np.uint32)
+        keys |= np.where(up, -upper, upper).view(np.uint32)
         keys = np.sort(keys, axis=None)
         cells = (keys >> np.uint64(32)).astype(np.uint32)
         last = np.flatnonzero(np.append(cells[1:] != cells[:-1], True))
         at = np.take(cells, last).astype(np.int64)
         parts = keys.astype(np.uint32).view(np.float32)
-        gradient = np.diff(np.take(np.cumsum(parts, dtype=np.float64), last), prepend=0).astype(np.float32)
+        off = np.subtract(np.abs(parts), np.signbit(parts), dtype=np.float64)
+        gradient = np.diff(np.take(np.cumsum(off), last), prepend=0).astype(np.float32)
         square = np.take(self.node_squares, at)
         square += gradient * gradient
         self.node_squares[at] = square
