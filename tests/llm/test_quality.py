@@ -7,7 +7,7 @@ from awkward import AWKWARD, frame
 from pyspark.sql import functions as F
 
 from arrears.llm import quality, queries
-from arrears.llm.quality import features, fit, fit_pairs, keep_good, scored
+from arrears.llm.quality import PENALTY, features, fit, fit_pairs, fit_table, keep_good, labelled_rows, scored
 
 
 def corpus(n, seed=0):
@@ -91,6 +91,70 @@ def test_fit_pairs_learns_the_difference():
     assert np.argmax(np.abs(model.weights)) == 1 and model.weights[1] > 0
 
 
+def all_pairs(x, good):
+    """Weights and cut of the mean loss over every pair, pair by pair."""
+    scale = x.std(axis=0)
+    z = np.clip((x - x.mean(axis=0)) / np.where(scale > 1e-9, scale, 1), -8, 8)
+    diff = (z[good][:, None] - z[~good][None]).reshape(-1, x.shape[1])
+    w = np.zeros(x.shape[1])
+    for _ in range(25):
+        p = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
+        hessian = (diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + PENALTY * np.eye(len(w))
+        w += np.linalg.solve(hessian, diff.T @ p / len(diff) - PENALTY * w)
+    raw = np.sort(z @ w)
+    return w, raw[(~good).sum() - 1 : (~good).sum() + 1].mean()
+
+
+@pytest.mark.parametrize("noise", [0.1, 3.0])
+def test_every_pair_counts(noise):
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.normal(size=(600, 6)) * [1, 30, 1, 0.01, 5, 1] + 9, np.full(600, 3.0)])
+    good = x[:, 0] + x[:, 1] / 30 + noise * rng.normal(size=600) > 9
+    weights, cut = all_pairs(x, good)
+    model = fit_pairs(x, good)
+    assert np.allclose(model.weights, weights, atol=3e-5) and model.cut == pytest.approx(cut, abs=2e-4)
+    order = rng.permutation(600)
+    again = fit_pairs(x[order], good[order])
+    assert (again.weights == model.weights).all() and again.cut == model.cut
+
+
+def test_tables_and_arrays_give_the_same_model(spark, labelled, monkeypatch):
+    _, docs, labels = labelled
+    here = fit(docs, labels)
+    monkeypatch.setattr(quality, "LOCAL_ROWS", 0)
+    there = fit(docs.repartition(40), labels.repartition(3))
+    for name in ("mean", "scale", "weights"):
+        assert (getattr(here, name) == getattr(there, name)).all()
+    assert here.cut == there.cut and here.weights.any()
+
+
+def test_sums_of_many_tasks_are_merged(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 3))
+    good = x[:, 2] > 0.3
+    rows = spark.createDataFrame([(r.tolist(), int(g)) for r, g in zip(x, good, strict=True)], "x array<double>, label long")
+    here, there = fit_pairs(x, good), fit_table(rows.repartition(70), 3)
+    assert (here.weights == there.weights).all() and here.cut == there.cut
+
+
+def test_every_labelled_row_is_learnt_from(spark):
+    n = 20_500
+    docs = spark.range(n).selectExpr("id AS doc_id", "repeat('ab ', CAST(id % 50 AS INT)) AS text")
+    model = fit(docs, docs.selectExpr("doc_id", "CAST(doc_id % 50 > 20 AS INT) AS quality"))
+    x = features(pa.array(["ab " * (i % 50) for i in range(50)]))
+    assert np.allclose(model.mean, x.mean(axis=0), atol=1e-6) and model.weights.any()
+
+
+def test_ids_of_other_types_and_unlabelled_rows(spark, labelled):
+    _, docs, labels = labelled
+    small = labels.where("doc_id < 40").withColumn("doc_id", F.col("doc_id").cast("int"))
+    lowest = small.selectExpr("doc_id AS labelled_id", "quality AS label")
+    unknown = docs.union(frame(spark, [(None, "none"), (10**15, "far")]))
+    assert labelled_rows(unknown, lowest, "doc_id", "text").count() == 40
+    same = lowest.withColumn("labelled_id", F.col("labelled_id").cast("long"))
+    assert labelled_rows(unknown, same, "doc_id", "text").count() == 40
+
+
 def test_query_marks_its_held_out_fold(spark, sf_dir):
     import zlib
 
