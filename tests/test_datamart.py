@@ -183,6 +183,73 @@ def test_swapped_header_fails_instead_of_mixing_columns(spark, tmp_path):
         read_csv(spark, str(tmp_path)).collect()
 
 
+def test_the_header_is_found_without_a_task_for_each_file(spark, tmp_path):
+    for i in range(50):
+        folder = tmp_path / "feed" / f"snapshot_date=2023-{i % 2 + 1:02d}-01"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{i}.csv").write_text(f"x,a`b\n{i},007\n")
+    context = spark.sparkContext
+    group = uuid.uuid4().hex
+    context.setJobGroup(group, "")
+    try:
+        df = read_csv(spark, str(tmp_path / "feed"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds]
+    sizes = [info.numTasks for info in map(tracker.getStageInfo, stages) if info is not None]
+    assert sizes and max(sizes) < 32
+    assert df.dtypes == [("x", "string"), ("a`b", "string"), ("snapshot_date", "date")]
+    assert df.count() == 50 and {r[1] for r in df.collect()} == {"007"}
+
+
+@pytest.mark.parametrize("files", [
+    {"a.csv": "\n  \na,b\n1,2\n", "b.csv": ""},
+    {"a.csv": '"a b","c,d",e.f\n1,"x""y",\n'},
+    {"b=1/a.csv": "a,b\n1,2\n", "b=2/a.csv": "a,b\n3,4\n"},
+    {"value=1/a.csv": "a,b\n1,2\n"},
+    {"a.csv": " a , b\r\n 1 ,2\r\n"},
+    {"a.csv": ""},
+])
+def test_feeds_have_the_columns_that_spark_finds(spark, tmp_path, files):
+    for name, text in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(text.encode())
+    own = spark.read.options(header=True, enforceSchema=False).csv(str(tmp_path))
+    got = read_csv(spark, str(tmp_path))
+    assert got.dtypes == own.dtypes and rows(got) == rows(own)
+
+
+def test_months_beyond_the_open_files_are_written_too(spark, tmp_path, monkeypatch):
+    from arrears.sources import sinks
+
+    monkeypatch.setattr(sinks, "OPEN_FILES", 2)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    df = spark.range(0, 700, 1, 1).selectExpr("CAST(id AS STRING) AS loan_id", "add_months(DATE'2023-01-01', CAST(id % 7 AS INT)) AS snapshot_date")
+    months = [date(2023, m, 1) for m in range(1, 8)]
+    overwrite_months(df, str(tmp_path / "t"), months, "csv", rebalance=False)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    back = datamart.read_bronze(spark, str(tmp_path / "t"), months)
+    assert rows(back.select("loan_id", "snapshot_date")) == rows(df)
+    assert len(list((tmp_path / "t").glob("*/part-*"))) == 7
+
+
+def test_silver_is_written_without_dictionaries(spark, mart):
+    import pyarrow.parquet as pq
+
+    raw, bronze, silver, _ = mart
+    datamart.build_bronze(spark, raw, bronze, MONTHS)
+    datamart.build_silver(spark, bronze, silver, MONTHS)
+    chunks = [
+        group.column(i)
+        for file in Path(silver).rglob("part-*.parquet")
+        for meta in [pq.ParquetFile(file).metadata]
+        for group in map(meta.row_group, range(meta.num_row_groups))
+        for i in range(group.num_columns)
+    ]
+    assert chunks and not any(chunk.has_dictionary_page for chunk in chunks)
+
+
 def test_feature_feed(spark, tmp_path):
     (tmp_path / "f.csv").write_text(
         "snapshot_date,Customer_ID,fe_1,note,fe_2\n2023-01-01,007,1,hello,2.5\n2023-02-01,8,,x,bad\n"
